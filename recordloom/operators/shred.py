@@ -21,6 +21,7 @@ from recordloom.operators.flatten import (
     Style,
     as_json,
     at,
+    extract_path,
     flatten_prefix,
     flatten_record,
     is_nested,
@@ -42,6 +43,17 @@ def _element(df: DataFrame, array: str) -> T.DataType | None:
     return t.elementType if isinstance(t, T.ArrayType) else None
 
 
+def _rows_of(df: DataFrame, columns: Sequence[Column], array: Column, name: str = "_e", pos: str | None = None) -> DataFrame:
+    """One row per element that is there.
+
+    An outer explode with a filter behind it: for an inner explode Spark pushes ``size > 0``
+    below the projection, and a column that is parsed from text would be parsed again for it.
+    """
+    if pos:
+        return df.select(*columns, F.posexplode_outer(array).alias(pos, name)).filter(F.col(name).isNotNull())
+    return df.select(*columns, F.explode_outer(array).alias(name)).filter(F.col(name).isNotNull())
+
+
 def child_table(
     df: DataFrame,
     array: str,
@@ -58,8 +70,8 @@ def child_table(
     """
     carried = dict(parent or {"id": "parent_id"})
     index = position or "_pos"
-    rows = df.select(*[at(*s.split(".")).alias(n) for s, n in carried.items()], F.posexplode(at(*array.split("."))).alias(index, "_e"))
-    rows = rows.filter(F.col("_e").isNotNull())
+    parents = [at(*s.split(".")).alias(n) for s, n in carried.items()]
+    rows = _rows_of(df, parents, at(*array.split(".")), pos=index)
     fields = [f for f in rows.schema["_e"].dataType.fields if f.name not in carried.values() and f.name != index]
     flat = rows.select(*carried.values(), index, *[F.col(f"_e.`{f.name}`") for f in fields])
     if own_key:
@@ -84,13 +96,15 @@ def with_position(df: DataFrame, array: str, position: str = "pos", element: str
 class Node:
     """A level of a document tree.
 
-    ``spread`` are objects to flatten with a prefix, ``drop`` fields that other outputs cover,
-    ``derived_key`` the columns a missing id is hashed from.
+    ``spread`` are objects to flatten with a prefix, ``extract`` single sub-fields to take
+    (``field, sub_field, name``), ``drop`` fields that other outputs cover, ``derived_key`` the
+    columns a missing id is hashed from (a zero counts as missing there).
     """
 
     table: str
     array: str = ""
     spread: tuple[str, ...] = ()
+    extract: tuple[tuple[str, str, str], ...] = ()
     drop: tuple[str, ...] = ()
     children: tuple[Node, ...] = ()
     derived_key: tuple[str, ...] = ()
@@ -114,7 +128,8 @@ def shred_tree(
     def visit(node: Node, rows: DataFrame, inherited: list[str]) -> None:
         child_arrays = [c.array for c in node.children]
         if node is not root or emit_root:
-            flat = flatten_prefix(rows.drop(*child_arrays, *node.drop), node.spread)
+            flat = extract_path(rows.drop(*child_arrays, *node.drop), node.extract)
+            flat = flatten_prefix(flat, node.spread)
             if node.derived_key:
                 flat = flat.withColumn("id", F.coalesce("id", hash_key(_parts(flat, node.derived_key))))
             out[node.table] = json_rest(flat)
@@ -122,9 +137,8 @@ def shred_tree(
             if child.array not in rows.columns:
                 continue
             parent_id = f"{node.table}_id"
-            exploded = rows.select(
-                at(key).alias(parent_id), *[at(c) for c in inherited], F.explode(at(child.array)).alias("_e")
-            ).filter(F.col("_e").isNotNull())
+            above = [at(key).alias(parent_id), *[at(c) for c in inherited]]
+            exploded = _rows_of(rows, above, at(child.array))
             fields = [n for n in exploded.schema["_e"].dataType.fieldNames() if n not in (parent_id, *inherited)]
             visit(
                 child,
@@ -137,17 +151,22 @@ def shred_tree(
 
 
 def _parts(df: DataFrame, names: Sequence[str]) -> list[Column]:
-    return [at(n) if n in df.columns else F.lit(None).cast("string") for n in names]
+    def part(name: str) -> Column:
+        f = struct_field(df.schema, name)
+        if f is None:
+            return F.lit(None).cast("string")
+        return F.nullif(at(name), F.lit(0)) if isinstance(f.dataType, T.NumericType) else at(name)
+
+    return [part(n) for n in names]
 
 
 def payment_junction(
     orders: DataFrame, tenant: str = "restaurant_id"
 ) -> tuple[DataFrame, DataFrame]:
     """Pairs of check and payment, and the payment records themselves."""
-    checks = orders.select(at("guid").alias("orders_id"), at(tenant), F.explode("checks").alias("_c"))
-    payments = checks.select(
-        "orders_id", tenant, F.col("_c.guid").alias("orders_check_id"), F.explode("_c.payments").alias("_p")
-    )
+    checks = _rows_of(orders, [at("guid").alias("orders_id"), at(tenant)], F.col("checks"), "_c")
+    above = [F.col("orders_id"), F.col(tenant), F.col("_c.guid").alias("orders_check_id")]
+    payments = _rows_of(checks, above, F.col("_c.payments"), "_p")
     junction = payments.select("orders_check_id", F.col("_p.guid").alias("payment_id"), "orders_id", tenant)
     return junction, payments.select(tenant, "_p.*")
 
@@ -178,11 +197,8 @@ def bridge(
         sources.insert(0, F.when(one.isNotNull(), F.array(one)))
     if scope:
         sources.append(F.array(at(scope).cast("string")))
-    pairs = df.select(
-        *[at(c) for c in carry],
-        at(a).cast("string").alias(a_as or a),
-        F.explode(F.coalesce(*sources)).alias(b),
-    ).filter(F.col(b).isNotNull() & F.col(a_as or a).isNotNull())
+    left = [*[at(c) for c in carry], at(a).cast("string").alias(a_as or a)]
+    pairs = _rows_of(df, left, F.coalesce(*sources), b).filter(F.col(a_as or a).isNotNull())
     return pairs.distinct() if distinct else pairs
 
 
@@ -199,12 +215,12 @@ def grandchild_bridge(
     ``parent`` maps record columns, ``child`` element fields and ``fields`` inner fields to
     output names; missing text is empty, as the keys may not be NULL.
     """
-    outer = df.select(*[at(s).alias(n) for s, n in parent.items()], F.explode(at(array)).alias("_c"))
-    both = outer.select(
-        *parent.values(),
+    outer = _rows_of(df, [at(s).alias(n) for s, n in parent.items()], at(array), "_c")
+    above = [
+        *[F.col(n) for n in parent.values()],
         *[F.coalesce(F.col(f"_c.`{s}`"), F.lit("")).alias(n) for s, n in child.items()],
-        F.explode(F.col(f"_c.`{inner}`")).alias("_g"),
-    )
+    ]
+    both = _rows_of(outer, above, F.col(f"_c.`{inner}`"), "_g")
     have = names_of(both.schema["_g"].dataType)
     return both.select(
         *parent.values(),
@@ -236,7 +252,7 @@ def auto_children(
     ]
     out = {table: flatten_record(df, style, drop=arrays)}
     for name in arrays:
-        rows = df.select(at(id_column).cast("string").alias(parent_key), F.posexplode(at(name)).alias("_pos", "_e"))
+        rows = _rows_of(df, [at(id_column).cast("string").alias(parent_key)], at(name), pos="_pos")
         have = [k for k in id_keys if k in rows.schema["_e"].dataType.fieldNames()]
         made = parent_index_key(parent_key, "_pos")
         key = F.coalesce(first_truthy(*[F.col(f"_e.`{k}`") for k in have]), made) if have else made
@@ -301,7 +317,7 @@ def tagged_union(
         return F.coalesce(F.transform(at(*name.split(".")), make), empty)
 
     present = [n for n in arrays if _element(df, n) is not None]
-    rows = df.select(*[at(c) for c in carry], F.explode(F.concat(*[lifted(n) for n in present])).alias("_e"))
+    rows = _rows_of(df, [at(c) for c in carry], F.concat(*[lifted(n) for n in present]))
     made = [F.col("_e._tag").alias(tag)]
     if position:
         made.append(F.concat_ws("_", F.col("_e._tag"), F.col("_e._pos").cast("string")).alias(position))
@@ -415,7 +431,7 @@ def melt_custom_fields(
             F.array().cast(entry_type),
         ),
     )
-    rows = df.select(*[at(k) for k in keys], F.explode(entries).alias("_e")).select(
+    rows = _rows_of(df, [at(k) for k in keys], entries).select(
         *keys, F.col("_e.name").alias("field_api_name"), F.col("_e.json").alias("_json")
     )
     json = F.col("_json")

@@ -12,7 +12,13 @@ _DISCOUNT_SPREAD = ("approver", "appliedDiscountReason", "discount")
 
 ORDER_TREE = Node(
     "orders",
-    spread=("server", "createdDevice", "lastModifiedDevice", "diningOption", "table", "serviceArea", "revenueCenter"),
+    spread=("server", "createdDevice", "lastModifiedDevice"),
+    extract=(
+        ("diningOption", "guid", "diningOption_guid"),
+        ("table", "guid", "table_guid"),
+        ("serviceArea", "guid", "serviceArea_guid"),
+        ("revenueCenter", "guid", "revenueCenter_guid"),
+    ),
     drop=("pricingFeatures",),
     children=(
         Node(

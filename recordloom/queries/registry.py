@@ -52,7 +52,8 @@ def nest(
         place = F.xxhash64("_metadata.file_path", "_metadata.row_index")
         rows = df.withColumn("_part", F.pmod(place, F.lit(parts)))
         group.append("_part")
-    return rows.groupBy(*group).agg(F.collect_list(element).alias(name)).drop("_part")
+    # collecting lists does not shrink anything, so rows are shuffled once and grouped after it
+    return rows.repartition(*[F.col(c) for c in group]).groupBy(*group).agg(F.collect_list(element).alias(name)).drop("_part")
 
 
 def iso(c: Column | str) -> Column:

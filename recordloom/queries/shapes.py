@@ -34,6 +34,7 @@ from recordloom.operators.shred import (
 from recordloom.plans.pos import ORDER_TREE, VOIDED_PAYMENT
 from recordloom.queries.registry import cents, day, nest, query, table
 from recordloom.sources import as_record
+from recordloom.store import cut_lineage
 
 # ---- the order document: header, checks, selections, taxes, payments --------------------------
 
@@ -130,7 +131,7 @@ def staged_orders(spark, sf):
 def shred_orders_header(spark, sf):
     return shred_tree(staged_orders(spark, sf), ORDER_TREE, "restaurant_id")["orders"].select(
         "id", "restaurant_id", "openedDate", "deleted", "server_id", "server_entityType",
-        F.col("diningOption_id").alias("diningOption_guid"),
+        "diningOption_guid",
     )
 
 
@@ -164,7 +165,7 @@ def shred_orders_lines(spark, sf):
     "hash_key_taxes",
     """
     SELECT CASE WHEN l_returnflag = 'A' THEN 'tax-' || line
-                ELSE 'gen-' || md5(line || '_' || l_suppkey || '_VAT_' || CAST(l_tax AS VARCHAR)) END AS id,
+                ELSE 'gen-' || md5(line || '_' || l_suppkey || '_VAT_' || CASE WHEN l_tax = 0 THEN '' ELSE CAST(l_tax AS VARCHAR) END) END AS id,
            line AS orders_check_selection_id, CAST(o_custkey AS VARCHAR) AS restaurant_id,
            'VAT' AS name, l_tax AS rate, CAST(l_suppkey AS VARCHAR) AS "taxRate_id"
     FROM (SELECT *, concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS line FROM lineitem) JOIN orders ON l_orderkey = o_orderkey
@@ -230,9 +231,10 @@ def pricing_features(spark, sf):
 )
 def segment_revenue(spark, sf):
     """Flagship: documents are shredded, a second delivery closes the open orders, then the report."""
-    tables = shred_tree(staged_orders(spark, sf), ORDER_TREE, "restaurant_id")
+    staged = cut_lineage(staged_orders(spark, sf))  # parsed once, read by both tables
+    tables = shred_tree(staged, ORDER_TREE, "restaurant_id")
     header, _ = require_key(tables["orders"], ["id"])
-    header = header.select("id", "restaurant_id", F.col("diningOption_id").alias("status"))
+    header = header.select("id", "restaurant_id", F.col("diningOption_guid").alias("status"))
     second = (
         table(spark, sf, "orders")
         .filter("o_orderstatus = 'O'")
@@ -246,7 +248,7 @@ def segment_revenue(spark, sf):
     orders = upsert(header, second, ["id"], ["run_id"])
     lines = (
         tables["orders_check_selection"]
-        .groupBy(F.substring_index("id", "-", 1).alias("id"))
+        .groupBy(F.substring("orders_check_id", len("chk-") + 1, 20).alias("id"))
         .agg(F.sum(cents("price")).alias("revenue"), F.count("*").alias("n"))
     )
     customers = table(spark, sf, "customer").select(

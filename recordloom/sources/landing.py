@@ -60,30 +60,43 @@ def read_pages(
     """
     keys = [*array_keys, *(k for k in GENERIC_KEYS if k not in array_keys)]
     others = [c for c in pages.columns if c != body]
+    text = F.col(body)
     if schema is not None:
         element = schema if isinstance(schema, T.DataType) else T._parse_datatype_string(schema)
-        lists = [_typed_list(F.col(body), key, element) for key in keys]
-        bare = F.when(
-            F.ltrim(F.col(body)).startswith("["), F.from_json(F.col(body), T.ArrayType(element))
+        is_list = F.ltrim(text).startswith("[")
+        parsed = pages.select(
+            *others,
+            F.when(~is_list, F.from_json(text, _envelope(keys, element))).alias("_page"),
+            F.when(is_list, F.from_json(text, T.ArrayType(element))).alias("_bare"),
         )
-        found = _first_list([*lists, bare])
-        return pages.select(*others, F.posexplode(found).alias("pos", "record"))
-    parsed = pages.select(*others, F.try_parse_json(F.col(body)).alias("_page"))
-    lists = [_array_at(F.col("_page"), key) for key in keys]
-    bare = F.try_variant_get(F.col("_page"), "$", "array<variant>")
-    return parsed.select(*others, F.posexplode(_first_list([*lists, bare])).alias("pos", "record"))
-
-
-def _typed_list(text: Column, key: str, element: T.DataType) -> Column:
-    """Typed list under a dotted key; Spark merges equal parses of one text into one."""
-    parts = key.split(".")
-    shape: T.DataType = T.ArrayType(element)
-    for part in reversed(parts):
-        shape = T.StructType([T.StructField(part, shape)])
-    found = F.from_json(text, shape)
-    for part in parts:
-        found = found.getField(part)
-    return found
+        lists = [F.col("_page." + ".".join(f"`{part}`" for part in key.split("."))) for key in keys]
+        lists.append(F.col("_bare"))
+    else:
+        parsed = pages.select(*others, F.try_parse_json(text).alias("_page"))
+        lists = [_array_at(F.col("_page"), key) for key in keys]
+        lists.append(F.try_variant_get("_page", "$", "array<variant>"))
+    # each list is a column of its own, so that it is taken out of the page only once
+    taken = parsed.select(*others, *[c.alias(f"_l{i}") for i, c in enumerate(lists)])
+    found = _first_list([F.col(f"_l{i}") for i in range(len(lists))])
+    return taken.select(*others, F.posexplode_outer(found).alias("pos", "record")).filter("record is not null")
+
+
+def _envelope(keys: Sequence[str], element: T.DataType) -> T.StructType:
+    """Schema of an envelope that may hold the list under any of the dotted keys."""
+    tree: dict = {}
+    for key in keys:
+        node = tree
+        *above, last = key.split(".")
+        for part in above:
+            node = node.setdefault(part, {})
+        node.setdefault(last, None)
+
+    def shape(node: dict) -> T.StructType:
+        return T.StructType(
+            [T.StructField(n, T.ArrayType(element) if sub is None else shape(sub)) for n, sub in node.items()]
+        )
+
+    return shape(tree)
 
 
 def read_single(pages: DataFrame, keys: Sequence[str] = (), body: str = "body") -> DataFrame:
@@ -108,7 +121,7 @@ def read_keyed(pages: DataFrame, map_key: str = "", key_as: str = "key", body: s
     """Dictionary responses: one row per entry with the key as a column; values that are no objects are skipped."""
     others = [c for c in pages.columns if c != body]
     entries = F.try_variant_get(F.try_parse_json(F.col(body)), _path(map_key), "map<string,variant>")
-    return pages.select(*others, F.explode(entries).alias(key_as, "record")).filter(
+    return pages.select(*others, F.explode_outer(entries).alias(key_as, "record")).filter(
         F.schema_of_variant("record").startswith("OBJECT")
     )
 
