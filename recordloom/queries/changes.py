@@ -198,8 +198,8 @@ def reconcile_customers(spark, sf):
 @query(
     "reconcile_composite",
     """
-    SELECT DISTINCT CAST(l_suppkey AS VARCHAR) AS l_suppkey, CAST(l_partkey AS VARCHAR) AS l_partkey FROM lineitem
-    EXCEPT SELECT CAST(l_suppkey AS VARCHAR), CAST(l_partkey AS VARCHAR) FROM lineitem WHERE l_shipdate >= TIMESTAMP '1998-01-01'
+    SELECT DISTINCT l_suppkey, l_partkey FROM lineitem
+    EXCEPT SELECT l_suppkey, l_partkey FROM lineitem WHERE l_shipdate >= TIMESTAMP '1998-01-01'
     """,
 )
 def reconcile_composite(spark, sf):
@@ -215,7 +215,7 @@ def reconcile_composite(spark, sf):
     """
     WITH c AS (SELECT c_nationkey, COUNT(*) AS n FROM customer WHERE c_acctbal >= 0 GROUP BY 1),
     whole AS (SELECT c_nationkey FROM c WHERE n < (SELECT MAX(n) FROM c))
-    SELECT CAST(c_nationkey AS VARCHAR) AS nation, CAST(c_custkey AS VARCHAR) AS id FROM customer
+    SELECT c_nationkey AS nation, c_custkey AS id FROM customer
     WHERE c_acctbal < 0 AND c_mktsegment <> 'BUILDING' AND c_nationkey IN (SELECT c_nationkey FROM whole)
     """,
 )
@@ -236,7 +236,7 @@ def reconcile_scoped(spark, sf):
 
 @query(
     "reconcile_incomplete",
-    "SELECT CAST(c_custkey AS VARCHAR) AS id FROM customer WHERE false",
+    "SELECT c_custkey AS id FROM customer WHERE false",
 )
 def reconcile_incomplete(spark, sf):
     """A snapshot that was not read to its end deletes nothing."""

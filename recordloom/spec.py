@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
 from enum import Enum
 
 from pyspark.sql import DataFrame
@@ -36,33 +36,39 @@ class TableSpec:
     delete_statuses: tuple[str, ...] = ()
     status_column: str | None = None
 
-    def typed(self, **types: str) -> TableSpec:
-        return replace(self, types={**self.types, **types})
-
 
 @dataclass(frozen=True)
 class Child:
-    """An array of a record that becomes a table of its own."""
+    """An array of a record that becomes a table of its own.
+
+    ``keys`` maps columns of the record to columns of the child. ``own_key`` is filled with the
+    position where an element brings none. ``inner`` names an array inside the elements that
+    becomes the junction ``inner_table``, keyed by the child's keys and ``own_key``.
+    """
 
     array: str
     table: str
-    parent_key: str
-    own_key: str | None = None  # filled with the position where the element has no id
-    children: tuple[Child, ...] = ()
+    keys: tuple[tuple[str, str], ...]
+    own_key: str | None = None
     drop: tuple[str, ...] = ()
+    style: str | None = None
+    inner: str | None = None
+    inner_table: str | None = None
+    inner_fields: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)
 class Entity:
-    """One kind of record and the tables it feeds."""
+    """One kind of record: how it is flattened and which tables it feeds."""
 
-    table: TableSpec
-    array_keys: tuple[str, ...] = ()
-    style: str = "plain"  # name of a flattening rule set
+    spec: TableSpec
+    style: str = "plain"
     drop: tuple[str, ...] = ()
-    extract: tuple[tuple[str, str, str], ...] = ()
+    paths: tuple[tuple[str, str], ...] = ()
     children: tuple[Child, ...] = ()
-    id_columns: tuple[str, ...] = ()
+    id_keys: tuple[str, ...] = ()
+    spread: tuple[str, ...] = ()
+    slash_dates: bool = False
     transform: Callable[[DataFrame], DataFrame] | None = None
 
 
