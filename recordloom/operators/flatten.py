@@ -371,7 +371,7 @@ def extract_path(df: DataFrame, paths: Sequence[tuple[str, str, str]]) -> DataFr
     return df.select(*rest, *[at(name, subs[new]).alias(new) for new, name in taken.items()])
 
 
-def flatten_jsonapi(df: DataFrame, relation_lists: bool = True) -> DataFrame:
+def flatten_jsonapi(df: DataFrame) -> DataFrame:
     """``{id, type, attributes, relationships}`` to one row.
 
     A relation to one record gives ``<name>_id``, a relation to many gives ``<name>_ids`` as a
@@ -384,9 +384,11 @@ def flatten_jsonapi(df: DataFrame, relation_lists: bool = True) -> DataFrame:
     for f in relationships.dataType.fields if relationships is not None else []:
         data = struct_field(f.dataType, "data") if isinstance(f.dataType, T.StructType) else None
         if data is not None and isinstance(data.dataType, T.ArrayType):
-            if relation_lists:
+            if isinstance(data.dataType.elementType, T.StructType):
                 ids = F.transform(at("relationships", f.name, "data"), lambda r: r["id"])
                 pairs.append((f"{f.name}_ids", F.when(F.size(ids) > 0, F.to_json(ids))))
+            else:  # the list is empty in every record of the batch
+                pairs.append((f"{f.name}_ids", F.lit(None).cast("string")))
         elif data is not None and isinstance(data.dataType, T.StructType):
             pairs.append((f"{f.name}_id", at("relationships", f.name, "data", "id")))
         else:
