@@ -64,6 +64,66 @@ def names_of(t: T.StructType) -> set[str]:
     return {f.name for f in t.fields}
 
 
+def merge_types(a: T.DataType, b: T.DataType) -> T.DataType:
+    """Common type of two shapes of a field: objects get the union of their fields, an empty list
+    takes the other's elements, numbers become double, anything else text."""
+    if a == b:
+        return a
+    if isinstance(a, T.StructType) and isinstance(b, T.StructType):
+        fields = {f.name: f.dataType for f in a.fields}
+        for f in b.fields:
+            fields[f.name] = merge_types(fields[f.name], f.dataType) if f.name in fields else f.dataType
+        return T.StructType([T.StructField(n, t) for n, t in fields.items()])
+    if isinstance(a, T.ArrayType) and isinstance(b, T.ArrayType):
+        pair = (a.elementType, b.elementType)
+        structs = [t for t in pair if isinstance(t, T.StructType)]
+        if len(structs) == 1:
+            return T.ArrayType(structs[0])
+        return T.ArrayType(merge_types(*pair))
+    if isinstance(a, T.NumericType) and isinstance(b, T.NumericType):
+        return T.DoubleType()
+    return T.StringType()
+
+
+def conform(c: Column, have: T.DataType, want: T.DataType) -> Column:
+    """A value in the wider shape made by ``merge_types``."""
+    if have == want:
+        return c
+    if isinstance(have, T.StructType) and isinstance(want, T.StructType):
+        types = {f.name: f.dataType for f in have.fields}
+        made = [
+            (conform(c[f.name], types[f.name], f.dataType) if f.name in types else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in want.fields
+        ]
+        return F.when(c.isNotNull(), F.struct(*made))
+    if isinstance(have, T.ArrayType) and isinstance(want, T.ArrayType):
+        if isinstance(want.elementType, T.StructType) and not isinstance(have.elementType, T.StructType):
+            return F.lit(None).cast(want)  # inferred from empty lists only
+        return F.transform(c, lambda x: conform(x, have.elementType, want.elementType))
+    if is_nested(have):
+        return as_json(c, have)
+    return c.cast(want)
+
+
+def merge_case_variants(df: DataFrame) -> DataFrame:
+    """Columns whose names differ only in case become one, known values first; Spark could not tell them apart."""
+    grouped: dict[str, list[int]] = {}
+    for i, name in enumerate(df.columns):
+        grouped.setdefault(name.lower(), []).append(i)
+    if len(grouped) == len(df.columns):
+        return df
+    names, types = df.columns, [f.dataType for f in df.schema.fields]
+    by_place = df.toDF(*[f"_c{i}" for i in range(len(names))])
+    out = []
+    for places in grouped.values():
+        cs = [F.col(f"_c{i}") for i in places]
+        if len(cs) > 1 and any(types[i] != types[places[0]] for i in places):
+            cs = [as_json(c, types[i]).cast("string") for c, i in zip(cs, places, strict=True)]
+        text = all(isinstance(types[i], T.StringType) for i in places)
+        out.append((coalesce_blank(cs) if text else F.coalesce(*cs)).alias(names[places[0]]))
+    return by_place.select(*out)
+
+
 # ---- the shapes an object can have ----------------------------------------------------------
 
 

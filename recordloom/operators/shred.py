@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,11 +22,13 @@ from recordloom.operators.flatten import (
     Style,
     as_json,
     at,
+    conform,
     extract_path,
     flatten_prefix,
     flatten_record,
     is_nested,
     json_rest,
+    merge_types,
     names_of,
 )
 from recordloom.operators.keys import hash_key, parent_index_key
@@ -298,25 +301,25 @@ def tagged_union(
 
     Elements of different shape are widened to the union of their fields.
     """
-    fields: dict[str, T.DataType] = {}
-    for name in arrays:
-        element = _element(df, name)
-        for f in element.fields if isinstance(element, T.StructType) else []:
-            fields.setdefault(f.name, f.dataType)
+    elements = {n: _element(df, n) for n in arrays}
+    present = [n for n, t in elements.items() if isinstance(t, T.StructType)]
+    if not present:
+        raise ValueError(f"no array of objects among {list(arrays)}")
+    common = reduce(merge_types, [elements[n] for n in present])
+    fields = {f.name: f.dataType for f in common.fields}
 
     def lifted(name: str) -> Column:
-        have = names_of(_element(df, name))
+        have = {f.name: f.dataType for f in elements[name].fields}
 
         def make(x: Column, i: Column) -> Column:
             body = [
-                (x[n] if n in have else F.lit(None)).cast(t).alias(n) for n, t in fields.items()
+                (conform(x[n], have[n], t) if n in have else F.lit(None).cast(t)).alias(n) for n, t in fields.items()
             ]
             return F.struct(F.lit(arrays[name]).alias("_tag"), i.alias("_pos"), *body)
 
         empty = F.array().cast(_lifted_type(fields))
         return F.coalesce(F.transform(at(*name.split(".")), make), empty)
 
-    present = [n for n in arrays if _element(df, n) is not None]
     rows = _rows_of(df, [at(c) for c in carry], F.concat(*[lifted(n) for n in present]))
     made = [F.col("_e._tag").alias(tag)]
     if position:

@@ -15,6 +15,7 @@ from recordloom.operators.flatten import (
     at,
     coalesce_keys,
     flatten_record,
+    merge_case_variants,
     project_deep,
     stamp,
     strip_nulls,
@@ -133,6 +134,7 @@ def pick_columns(
     paths allowed). Fields the batch lacks are NULL, nested values JSON, and ``raw`` keeps the
     whole record.
     """
+    records = merge_case_variants(records)
     made: list[Column] = []
     for name in names:
         options = (sources or {}).get(name) or (camel(name), camel(name, upper=True))

@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from recordloom.operators.flatten import merge_case_variants
+
 GENERIC_KEYS = ("data", "result")
 
 # Keys that mark an error envelope and keys that mark a record.
@@ -131,7 +133,7 @@ def as_record(df: DataFrame, schema: T.StructType | str, column: str = "record")
     element = schema if isinstance(schema, T.DataType) else T._parse_datatype_string(schema)
     others = [c for c in df.columns if c != column]
     parsed = F.from_json(F.to_json(F.col(column)), element)
-    return df.select(*others, parsed.alias("_r")).select(*others, "_r.*")
+    return merge_case_variants(df.select(*others, parsed.alias("_r")).select(*others, "_r.*"))
 
 
 def infer_schema(df: DataFrame, column: str = "record") -> T.StructType:
