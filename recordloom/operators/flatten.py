@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from recordloom.functions.naming import safe_name
 from recordloom.functions.scalars import coalesce_blank, first_truthy, ms_to_iso
-from recordloom.spec import TableSpec, spark_type, struct_field
+from recordloom.spec import TableSpec, quote, spark_type, struct_field
 
 Pairs = list[tuple[str, Column]]
 
@@ -34,13 +34,9 @@ UNPREFIXED = ("refundDetails", "jobReference")
 CUSTOM_FIELD = r"^UDF_[A-Z]+\d+$"
 
 
-def _q(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
 def at(*path: str) -> Column:
     """Column at a path of exact field names."""
-    return F.col(".".join(_q(p) for p in path))
+    return F.col(".".join(quote(p) for p in path))
 
 
 def is_nested(t: T.DataType) -> bool:

@@ -138,7 +138,7 @@ def reconcile_snapshot(
 ) -> DataFrame:
     """Keys that were there before and are missing now: the hard deletes.
 
-    Ids are compared as text. With ``complete`` (scope columns and a ``complete`` flag, see
+    Ids of different type are compared as text. With ``complete`` (scope columns and a ``complete`` flag, see
     ``snapshot_complete``) only scopes whose list was read to its end are compared; ``within``
     restricts the comparison to what the read could have returned at all, such as its window.
     """
@@ -151,11 +151,13 @@ def reconcile_snapshot(
             before = before.filter(whole.exists())
     names = list(dict.fromkeys([*scope, *key]))
 
-    def as_text(df: DataFrame) -> DataFrame:
-        return df.select(*[F.col(c).cast("string").alias(f"_k_{c}") for c in names])
+    same = {c for c in names if before.schema[c].dataType == current.schema[c].dataType}
 
-    now = as_text(current).filter(" and ".join(f"`_k_{c}` is not null" for c in names)).distinct()
-    keyed = before.withColumns({f"_k_{c}": F.col(c).cast("string") for c in names})
+    def key_of(c: str) -> Column:
+        return F.col(c) if c in same else F.col(c).cast("string")
+
+    now = current.select(*[key_of(c).alias(f"_k_{c}") for c in names]).dropna().distinct()
+    keyed = before.withColumns({f"_k_{c}": key_of(c) for c in names})
     missing = keyed.join(now, [f"_k_{c}" for c in names], "left_anti")
     return missing.select(*names)
 

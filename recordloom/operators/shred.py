@@ -11,7 +11,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,7 +33,6 @@ from recordloom.operators.flatten import (
 )
 from recordloom.operators.keys import hash_key, parent_index_key
 from recordloom.spec import struct_field
-from recordloom.store import cut_lineage
 
 
 def _element(df: DataFrame, array: str) -> T.DataType | None:
@@ -389,10 +388,13 @@ ENTITY_CODES = {
 }
 
 
-def _raw_text(record: Column) -> Column:
-    """Map of field name to JSON text of a VARIANT object."""
-    return F.transform_values(
-        F.try_variant_get(record, "$", "map<string,variant>"), lambda k, v: F.to_json(v)
+def _entry(name: Column, value: Column) -> Column:
+    """Name, text and kind of one custom-field value; a JSON null has no text."""
+    kind = F.schema_of_variant(value)
+    return F.struct(
+        name.alias("name"),
+        F.try_variant_get(value, "$", "string").alias("text"),
+        F.coalesce(kind.startswith("OBJECT") | kind.startswith("ARRAY"), F.lit(False)).alias("nested"),
     )
 
 
@@ -411,52 +413,47 @@ def melt_custom_fields(
     ``meta_on``) is joined for label and type; Spark picks the join by the measured size.
     """
     value = F.col(record)
+    fields = F.try_variant_get(value, "$", "map<string,variant>")
     top = F.transform(
-        F.filter(F.map_entries(_raw_text(value)), lambda e: e["key"].rlike(CUSTOM_FIELD)),
-        lambda e: F.struct(e["key"].alias("name"), e["value"].alias("json")),
+        F.filter(F.map_entries(fields), lambda e: e["key"].rlike(CUSTOM_FIELD)),
+        lambda e: _entry(e["key"], e["value"]),
     )
     listed = F.transform(
         F.try_variant_get(value, "$.customfields", "array<variant>"),
-        lambda v: F.struct(
+        lambda v: _entry(
             first_truthy(
                 F.try_variant_get(v, "$.column_name", "string"),
                 F.try_variant_get(v, "$.api_name", "string"),
                 F.try_variant_get(v, "$.field_api_name", "string"),
-            ).alias("name"),
-            F.to_json(F.try_variant_get(v, "$.value", "variant")).alias("json"),
-        ),
-    )
-    entry_type = "array<struct<name:string,json:string>>"
-    entries = F.concat(
-        F.coalesce(top.cast(entry_type), F.array().cast(entry_type)),
-        F.coalesce(
-            F.filter(listed, lambda e: F.coalesce(e["name"], F.lit("")) != "").cast(entry_type),
-            F.array().cast(entry_type),
+            ),
+            F.try_variant_get(v, "$.value", "variant"),
         ),
     )
+    entry_type = "array<struct<name:string,text:string,nested:boolean>>"
+    named = F.filter(listed, lambda e: F.coalesce(e["name"], F.lit("")) != "")
+    empty = F.array().cast(entry_type)
+    entries = F.concat(F.coalesce(top.cast(entry_type), empty), F.coalesce(named.cast(entry_type), empty))
     rows = _rows_of(df, [at(k) for k in keys], entries).select(
-        *keys, F.col("_e.name").alias("field_api_name"), F.col("_e.json").alias("_json")
+        *keys,
+        F.col("_e.name").alias("field_api_name"),
+        F.col("_e.text").alias("raw_value"),
+        F.col("_e.nested").alias("_nested"),
+        F.regexp_extract("_e.name", r"^UDF_([A-Z]+)\d+$", 1).alias("_code"),
     )
-    json = F.col("_json")
-    is_string = json.startswith('"')
-    text = F.when(json == "null", F.lit(None)).when(
-        is_string, F.try_variant_get(F.try_parse_json(json), "$", "string")
-    ).otherwise(json)
-    complex_ = json.startswith("{") | json.startswith("[")
-    code = F.regexp_extract("field_api_name", r"^UDF_([A-Z]+)\d+$", 1)
-    known = F.nullif(text, F.lit(""))
-    number = known.try_cast("double")
-    scalar = known.isNotNull() & ~complex_
+    known = F.nullif(F.col("raw_value"), F.lit(""))
+    code = F.col("_code")
+    scalar = known.isNotNull() & ~F.col("_nested")
     is_number = code.isin(*NUMBER_CODES)
-    slots = rows.select(
+    typed = rows.withColumn("_number", F.when(scalar & is_number, known.try_cast("double")))
+    slots = typed.select(
         *keys,
         "field_api_name",
-        text.alias("raw_value"),
-        F.when(complex_, json)
-        .when(scalar & is_number & number.isNull(), known)
+        "raw_value",
+        F.when(F.col("_nested"), F.col("raw_value"))
+        .when(scalar & is_number & F.col("_number").isNull(), known)
         .when(scalar & ~is_number & ~code.isin("BOOL", "DATE", *DATETIME_CODES), known)
         .alias("value_text"),
-        F.when(scalar & is_number, number).alias("value_number"),
+        F.col("_number").alias("value_number"),
         F.when(scalar & (code == "DATE"), known).alias("value_date"),
         F.when(scalar & code.isin(*DATETIME_CODES), known).alias("value_datetime"),
         F.when(scalar & (code == "BOOL"), bool_text(known)).alias("value_boolean"),
@@ -530,55 +527,71 @@ def tag_associations(df: DataFrame, entity_type: str, entity_id: str, scope: str
 # ---- trees of any depth ---------------------------------------------------------------------
 
 
+def tree_depth(df: DataFrame, rows: Column, child_key: str) -> int:
+    """Levels of the deepest tree in the batch, from the merged schema: one pass, one text to the driver."""
+    merged = df.agg(F.schema_of_variant_agg(rows.cast("variant"))).first()[0]
+    level = _variant_type(merged)
+    depth = 0
+    while isinstance(level, T.ArrayType) and isinstance(level.elementType, T.StructType):
+        depth += 1
+        below = next((f for f in level.elementType.fields if f.name == child_key), None)
+        if below is not None and isinstance(below.dataType, T.StringType):
+            return depth + 8  # lists in some records, something else in others: leave room
+        level = below.dataType if below is not None else None
+    return max(depth, 1)
+
+
+def _variant_type(text: str) -> T.DataType:
+    ddl = text.replace("OBJECT<", "STRUCT<").replace("VOID", "STRING").replace("VARIANT", "STRING")
+    return T._parse_datatype_string(ddl)
+
+
+def _too_deep(children: Column, result: Column) -> Column:
+    """``result``, unless there is a level that the measured depth did not show: then the job fails."""
+    return F.when(
+        F.coalesce(F.size(children), F.lit(0)) > 0, F.raise_error(F.lit("tree is deeper than measured")).cast("boolean")
+    ).otherwise(result)
+
+
 def walk_tree(
     df: DataFrame,
     roots: Column,
     child_key: str,
     keys: Sequence[str],
-    step: Callable[[DataFrame], DataFrame] | None = None,
-    max_depth: int = 100,
+    depth: int | None = None,
 ) -> DataFrame:
     """All nodes of VARIANT trees: ``keys``, ``depth``, ``path``, ``parent`` and ``node``.
 
-    ``roots`` is the array of top nodes. Level by level, each level is one narrow explode of
-    the one before; it is written to the checkpoint folder so that no level is parsed twice
-    and a lost executor costs one level. The loop ends with the first empty level.
+    ``roots`` is the array of top nodes (``array<variant>``). A tree is one landed document, so it
+    is unrolled inside its row, level by level to the depth of the batch, and exploded once: the
+    plan is narrow, without a loop of jobs. A tree deeper than ``depth`` fails, it is never cut.
     """
-    level = df.select(
-        *[at(k) for k in keys],
-        F.lit(0).alias("depth"),
-        F.lit(None).cast("variant").alias("parent"),
-        F.posexplode(roots).alias("_pos", "node"),
-    )
-    level = _with_path(level, keys, None)
-    levels = []
-    for depth in range(max_depth):
-        level = cut_lineage(level)
-        if level.isEmpty():
-            break
-        levels.append(level)
-        children = F.try_variant_get("node", f"$['{child_key}']", "array<variant>")
-        level = level.select(
-            *keys,
-            F.lit(depth + 1).alias("depth"),
-            F.col("node").alias("parent"),
-            F.col("path").alias("_parent_path"),
-            F.posexplode(children).alias("_pos", "node"),
-        )
-        level = _with_path(level, keys, "_parent_path")
-    else:
-        raise ValueError(f"tree is deeper than {max_depth} levels")
-    out = levels[0] if levels else level
-    for other in levels[1:]:
-        out = out.unionByName(other)
-    return out
+    staged = df.select(*[at(k) for k in keys], roots.alias("_roots"))
+    levels = depth or tree_depth(staged, F.col("_roots"), child_key)
+    inner = f"$['{child_key}']"
+
+    def children(node: Column) -> Column:
+        return F.try_variant_get(node, inner, "array<variant>")
+
+    def unroll(nodes: Column, level: int, parent: Column, path: Column) -> Column:
+        def own(n: Column, i: Column) -> Column:
+            entry = F.struct(
+                F.lit(level).alias("depth"), F.concat(path, F.array(i)).alias("path"), parent.alias("parent"), n.alias("node")
+            )
+            return entry if level + 1 < levels else _checked(n, entry)
 
+        def _checked(n: Column, entry: Column) -> Column:
+            return F.when(_too_deep(children(n), F.lit(True)), entry)
 
-def _with_path(level: DataFrame, keys: Sequence[str], parent_path: str | None) -> DataFrame:
-    path = F.array(F.col("_pos"))
-    if parent_path:
-        path = F.concat(F.col(parent_path), path)
-    return level.select(*keys, "depth", path.alias("path"), "parent", "node")
+        mine = F.transform(nodes, own)
+        if level + 1 >= levels:
+            return mine
+        below = F.transform(nodes, lambda n, i: unroll(children(n), level + 1, n, F.concat(path, F.array(i))))
+        return F.concat(mine, F.flatten(F.filter(below, lambda b: b.isNotNull())))
+
+    everything = unroll(F.col("_roots"), 0, F.lit(None).cast("variant"), F.array().cast("array<int>"))
+    rows = _rows_of(staged, [at(k) for k in keys], everything)
+    return rows.select(*keys, "_e.depth", "_e.path", "_e.parent", "_e.node")
 
 
 def node_text(path: str, of: str = "node") -> Column:
@@ -586,55 +599,62 @@ def node_text(path: str, of: str = "node") -> Column:
     return F.try_variant_get(of, "$." + path, "string")
 
 
+def typed_variant(value: Column, shape: str) -> Column:
+    """VARIANT to a declared shape. The direct cast is fast but gives up on a value in which any part
+    does not fit; such a value takes the lenient way through its text, where only that part is NULL."""
+    return F.coalesce(F.try_variant_get(value, "$", shape), F.from_json(F.to_json(value), shape))
+
+
 # ---- hierarchical reports -------------------------------------------------------------------
 
+_CELLS = "array<struct<Value:string,Attributes:array<struct<Id:string,Value:string>>>>"
+
 
-def flatten_report(df: DataFrame, keys: Sequence[str], rows: str = "Rows", max_depth: int = 100) -> DataFrame:
+def flatten_report(df: DataFrame, keys: Sequence[str], rows: str = "Rows", depth: int | None = None) -> DataFrame:
     """Rows of reports: ``keys, row_index, section, row_type, cells``.
 
     All rows of one level come first; then the rows of its **last** section, and so on to the
     first. A blank section title is inherited. The order key is the path of negated section
     positions: a prefix sorts before what it is a prefix of, and later sections sort first.
+
+    A report is one landed document, so it is unrolled and sorted inside its row: no shuffle.
     """
-    section = F.lit("")
-    level = df.select(
-        *[at(k) for k in keys],
-        F.array().cast("array<int>").alias("group"),
-        section.alias("outer"),
-        F.posexplode(F.try_variant_get(at(rows), "$", "array<variant>")).alias("pos", "node"),
-    )
-    levels = []
-    for _ in range(max_depth):
-        level = cut_lineage(level)
-        if level.isEmpty():
-            break
-        levels.append(level)
-        title = F.coalesce(F.nullif(node_text("Title"), F.lit("")), F.col("outer"))
-        level = level.filter(node_text("RowType") == "Section").select(
-            *keys,
-            F.concat("group", F.array(-F.col("pos") - 1)).alias("group"),
-            title.alias("outer"),
-            F.posexplode(F.try_variant_get("node", "$.Rows", "array<variant>")).alias("pos", "node"),
-        )
-    else:
-        raise ValueError(f"report is deeper than {max_depth} levels")
-    everything = levels[0] if levels else level
-    for other in levels[1:]:
-        everything = everything.unionByName(other)
-    order = Window.partitionBy(*keys).orderBy("group", "pos")
-    row_type = F.coalesce(node_text("RowType"), F.lit(""))
-    return everything.select(
-        *keys,
-        (F.row_number().over(order) - 1).alias("row_index"),
-        F.when(row_type == "Section", F.coalesce(F.nullif(node_text("Title"), F.lit("")), F.col("outer")))
-        .otherwise(F.col("outer"))
-        .alias("section"),
-        row_type.alias("row_type"),
-        F.from_json(
-            F.to_json(F.try_variant_get("node", "$.Cells", "variant")),
-            "array<struct<Value:string,Attributes:array<struct<Id:string,Value:string>>>>",
-        ).alias("cells"),
-    )
+    staged = df.select(*[at(k) for k in keys], at(rows).alias("_rows"))
+    levels = depth or tree_depth(staged, F.col("_rows"), "Rows")
+    # one level more than measured, so that a deeper report is noticed
+    shape = f"array<struct<RowType:string,Title:string,Cells:{_CELLS}>>"
+    for _ in range(levels):
+        shape = f"array<struct<RowType:string,Title:string,Cells:{_CELLS},Rows:{shape}>>"
+    typed = staged.select(*keys, typed_variant(F.col("_rows"), shape).alias("_rows"))
+
+    def unroll(level_rows: Column, level: int, group: Column, outer: Column) -> Column:
+        def title(r: Column) -> Column:
+            return F.when(r["RowType"] == "Section", F.coalesce(F.nullif(r["Title"], F.lit("")), outer)).otherwise(outer)
+
+        def own(r: Column, i: Column) -> Column:
+            entry = F.struct(
+                group.alias("group"),
+                i.alias("pos"),
+                title(r).alias("section"),
+                F.coalesce(r["RowType"], F.lit("")).alias("row_type"),
+                r["Cells"].alias("cells"),
+            )
+            return entry if level < levels else F.when(_too_deep(r["Rows"], F.lit(True)), entry)
+
+        mine = F.transform(level_rows, own)
+        if level >= levels:
+            return mine
+
+        def section(r: Column, i: Column) -> Column:
+            inside = unroll(r["Rows"], level + 1, F.concat(group, F.array(-i - 1)), title(r))
+            return F.when(r["RowType"] == "Section", inside)
+
+        below = F.filter(F.transform(level_rows, section), lambda b: b.isNotNull())
+        return F.concat(mine, F.flatten(below))
+
+    everything = unroll(F.col("_rows"), 1, F.array().cast("array<int>"), F.lit(""))
+    flat = _rows_of(typed, [at(k) for k in keys], F.sort_array(everything), pos="row_index")
+    return flat.select(*keys, "row_index", "_e.section", "_e.row_type", "_e.cells")
 
 
 def _cell(i: int) -> Column:

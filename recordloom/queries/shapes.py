@@ -716,7 +716,7 @@ def walk_category_tree(spark, sf):
     )
 
 
-def _order_reports(spark, sf):
+def order_reports(spark, sf):
     """One small report per order: two sections with a row each, a nested section, and a closing row."""
 
     def cell(value, account=None):
@@ -762,7 +762,7 @@ def _order_reports(spark, sf):
 )
 def report_rows(spark, sf):
     """Level by level, later sections first: heads, the second section with its nested one, the first section."""
-    rows = flatten_report(_order_reports(spark, sf), ["report_id"])
+    rows = flatten_report(order_reports(spark, sf), ["report_id"])
     return rows.withColumn("n_cells", F.coalesce(F.size("cells"), F.lit(0))).drop("cells")
 
 
@@ -779,7 +779,7 @@ def report_rows(spark, sf):
     """,
 )
 def report_trial_balance(spark, sf):
-    return trial_balance(flatten_report(_order_reports(spark, sf), ["report_id"]), ["report_id"])
+    return trial_balance(flatten_report(order_reports(spark, sf), ["report_id"]), ["report_id"])
 
 
 @query(
@@ -793,7 +793,7 @@ def report_trial_balance(spark, sf):
     """,
 )
 def report_cell_rows(spark, sf):
-    return report_cells(flatten_report(_order_reports(spark, sf), ["report_id"]), ["report_id"])
+    return report_cells(flatten_report(order_reports(spark, sf), ["report_id"]), ["report_id"])
 
 
 @query(
@@ -801,7 +801,7 @@ def report_cell_rows(spark, sf):
     "SELECT DISTINCT 'BalanceSheet' AS report_type, strftime(o_orderdate, '%Y-%m-%d') AS report_date FROM orders",
 )
 def report_headers(spark, sf):
-    return report_runs(_order_reports(spark, sf), ["report_type", "report_date"])
+    return report_runs(order_reports(spark, sf), ["report_type", "report_date"])
 
 
 @query(

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from recordloom.operators.flatten import merge_case_variants
+from recordloom.operators.shred import typed_variant
+from recordloom.spec import ddl_of
 
 GENERIC_KEYS = ("data", "result")
 
@@ -130,9 +132,9 @@ def read_keyed(pages: DataFrame, map_key: str = "", key_as: str = "key", body: s
 
 def as_record(df: DataFrame, schema: T.StructType | str, column: str = "record") -> DataFrame:
     """VARIANT record to typed columns; fields of another type become NULL instead of failing the row."""
-    element = schema if isinstance(schema, T.DataType) else T._parse_datatype_string(schema)
+    element = ddl_of(schema if isinstance(schema, T.DataType) else T._parse_datatype_string(schema))
     others = [c for c in df.columns if c != column]
-    parsed = F.from_json(F.to_json(F.col(column)), element)
+    parsed = typed_variant(F.col(column), element)
     return merge_case_variants(df.select(*others, parsed.alias("_r")).select(*others, "_r.*"))
 
 
@@ -177,8 +179,11 @@ def parse_bulk_csv(lines: DataFrame, columns: Sequence[str], text: str = "line")
 
 
 def _has_any(record: Column, keys: Sequence[str]) -> Column:
-    names = F.map_keys(F.try_variant_get(record, "$", "map<string,variant>"))
-    return F.coalesce(F.arrays_overlap(names, F.array(*[F.lit(k) for k in keys])), F.lit(False))
+    """Is any of the keys there, with whatever value? Stops at the first one."""
+    found = F.lit(False)
+    for key in keys:
+        found = found | F.try_variant_get(record, f"$['{key}']", "variant").isNotNull()
+    return found
 
 
 def drop_sentinels(records: DataFrame, column: str = "record") -> tuple[DataFrame, DataFrame]:
@@ -188,7 +193,7 @@ def drop_sentinels(records: DataFrame, column: str = "record") -> tuple[DataFram
     Returns both sides so that a rejected page is counted, never lost.
     """
     record = F.col(column)
-    sentinel = _has_any(record, ERROR_KEYS) & ~_has_any(record, RECORD_KEYS)
+    sentinel = ~_has_any(record, RECORD_KEYS) & _has_any(record, ERROR_KEYS)
     tagged = records.withColumn(
         "reject_reason",
         F.when(~F.coalesce(F.schema_of_variant(record).startswith("OBJECT"), F.lit(False)), "not an object")

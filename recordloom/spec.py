@@ -102,3 +102,18 @@ def parse_tables(text: str, **common) -> dict[str, TableSpec]:
 def struct_field(schema: T.StructType, name: str) -> T.StructField | None:
     """Field of that exact name, or None."""
     return next((f for f in schema.fields if f.name == name), None)
+
+
+def ddl_of(t: T.DataType) -> str:
+    """Type as text with every field name quoted, so that any name survives."""
+    if isinstance(t, T.StructType):
+        return "struct<" + ",".join(f"{quote(f.name)}:{ddl_of(f.dataType)}" for f in t.fields) + ">"
+    if isinstance(t, T.ArrayType):
+        return f"array<{ddl_of(t.elementType)}>"
+    if isinstance(t, T.MapType):
+        return f"map<{ddl_of(t.keyType)},{ddl_of(t.valueType)}>"
+    return t.simpleString()
+
+
+def quote(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"

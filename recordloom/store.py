@@ -15,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recordloom.spec import ddl_of, quote
+
 BUCKET = "_bucket"
 
 
@@ -143,7 +145,7 @@ class TableStore:
             "number": number,
             "buckets": buckets,
             "pk": list(pk),
-            "schema": ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields),
+            "schema": ", ".join(f"{quote(f.name)} {ddl_of(f.dataType)}" for f in rows.schema.fields),
             "versions": versions,
             "state": {**before.get("state", {}), **(state or {})},
         }

@@ -122,3 +122,14 @@ def test_discover_forms(spark, rows_of):
     assert rows_of(got, "form_link_name", "default_view", "table") == [
         ("P_Employee", "B", "form_p_employee"), ("case", "caseView", "form_case"), ("leave", "First", "form_leave"),
     ]
+
+
+def test_records_with_any_field_name(pages, rows_of):
+    df = S.read_pages(pages('[{"First Name":"A","a.b":{"x y":1},"n":"5"},{"First Name":"B","n":"bad"}]'))
+    got = S.as_record(df, "`First Name` string, `a.b` struct<`x y`:bigint>, n bigint")
+    assert rows_of(got.selectExpr("`First Name` f", "`a.b`.`x y` x", "n")) == [("A", 1, 5), ("B", None, None)]
+
+
+def test_case_variants_are_merged(pages, rows_of):
+    df = S.as_record(S.read_pages(pages('[{"Unit":"d"},{"unit":"h"}]')), "Unit string, unit string")
+    assert df.columns.count("Unit") == 1 and rows_of(df, "Unit") == [("d",), ("h",)]
