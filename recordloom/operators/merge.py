@@ -201,6 +201,8 @@ def commit(
 
     Only the buckets that the delta touches are read and rewritten. The list of touched
     buckets is at most ``buckets`` numbers, whatever the delta's size. Returns their number.
+    The delta is evaluated once for that list and once for the merge, so land it first when it
+    is costly; a first load writes all buckets and needs no list.
     """
     good, _ = require_key(delta, spec.pk)
     n = store.buckets(spec.name, buckets)
@@ -210,16 +212,18 @@ def commit(
         good = tombstone_status(good, spec.status_column, spec.delete_statuses or DELETED_STATUSES)
     elif OP not in good.columns:
         good = good.withColumn(OP, F.lit("U"))
-    touched = [r[0] for r in good.select(bucket_of(spec.pk, n).alias(BUCKET)).distinct().collect()]
-    if not touched:
-        if state and store.exists(spec.name):
-            store.write(spec.name, store.read(spec.name, only=[]), spec.pk, n, [], state)
-        return 0
-    if not store.exists(spec.name):
+    first_load = not store.exists(spec.name)
+    touched = None
+    if first_load:
         columns = [c for c in good.columns if c not in (OP, "present") and (c not in seq or c in spec.pk)]
         base = good.select(*columns).limit(0)
     else:
+        touched = [r[0] for r in good.select(bucket_of(spec.pk, n).alias(BUCKET)).distinct().collect()]
         base = store.read(spec.name, only=touched)
+        if not touched:
+            if state:
+                store.write(spec.name, base, spec.pk, n, touched, state)
+            return 0
     if spec.sparse and "present" in good.columns:
         deletes = latest_per_key(good, spec.pk, seq).filter(F.col(OP) == "D")
         merged = upsert_sparse(base, good.drop(OP), spec.pk, seq)
@@ -227,4 +231,4 @@ def commit(
     else:
         merged = apply_changes(base, good.drop("present"), spec.pk, seq)
     store.write(spec.name, merged, spec.pk, n, touched, state)
-    return len(touched)
+    return n if first_load else len(touched)

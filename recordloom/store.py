@@ -46,7 +46,10 @@ def bucket_of(pk: Sequence[str], buckets: int) -> Column:
 
 
 class TableStore:
-    """Versioned tables and state under one root folder."""
+    """Versioned tables and state under one root folder; one writer per table at a time.
+
+    Superseded version folders stay until ``vacuum`` removes them, so that running readers can finish.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -137,6 +140,9 @@ class TableStore:
             for s in fs.listStatus(target)
             if s.getPath().getName().startswith(f"{BUCKET}=")
         ]
+        if touched is not None and not {int(b) for b in written} <= set(touched):
+            # the rows changed between two evaluations; the former version stays in place
+            raise RuntimeError(f"{table}: rows of other buckets than announced, land the delta first")
         versions = {} if touched is None else dict(before.get("versions", {}))
         for bucket in touched or []:
             versions.pop(str(bucket), None)
@@ -155,3 +161,17 @@ class TableStore:
 
     def state(self, table: str) -> dict:
         return self.current(table).get("state", {})
+
+    # -- housekeeping --
+
+    def vacuum(self, table: str) -> int:
+        """Remove version folders that the pointer no longer names; call it when no reader is running."""
+        live = set(self.current(table).get("versions", {}).values())
+        fs, folder = self._fs(f"{self.root}/{table}")
+        gone = 0
+        for status in fs.listStatus(folder):
+            name = status.getPath().getName()
+            if status.isDirectory() and name.startswith("v") and name not in live:
+                fs.delete(status.getPath(), True)
+                gone += 1
+        return gone

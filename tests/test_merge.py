@@ -180,3 +180,26 @@ def test_bucket_ignores_the_type_of_an_id(spark):
     df = spark.createDataFrame([(7, "7")], "a int, b string")
     row = df.select(bucket_of(["a"], 16).alias("x"), bucket_of(["b"], 16).alias("y")).first()
     assert row["x"] == row["y"]
+
+
+def test_vacuum_keeps_the_current_version(spark, store, rows_of):
+    for v in ("a", "b", "c"):
+        M.commit(store, SPEC, delta(spark, [(1, v, False, 1)]), ["seq"], buckets=2)
+    assert store.vacuum("t") == 2 and store.vacuum("t") == 0
+    assert rows_of(store.read("t"), "id", "v") == [(1, "c")]
+
+
+def test_rows_outside_the_announced_buckets_are_refused(spark, store, rows_of):
+    M.commit(store, SPEC, delta(spark, [(i, "a", False, 1) for i in range(20)]), ["seq"], buckets=4)
+    before = store.current("t")
+    rows = store.read("t")
+    with pytest.raises(RuntimeError, match="announced"):
+        store.write("t", rows, ["id"], 4, touched=[0])
+    assert store.current("t") == before
+
+
+def test_empty_first_load_makes_an_empty_table(spark, store):
+    M.commit(store, SPEC, delta(spark, []), ["seq"], {"cursor": "0"}, buckets=4)
+    assert store.read("t").count() == 0 and store.state("t") == {"cursor": "0"}
+    M.commit(store, SPEC, delta(spark, [(1, "a", False, 1)]), ["seq"])
+    assert store.read("t").count() == 1
