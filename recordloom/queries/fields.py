@@ -104,7 +104,7 @@ def flatten_lookup_nation(spark, sf):
         F.concat("n_name", F.lit("@example.com")).alias("email"),
     )
     region = F.struct(
-        F.lit("").alias("id"), F.col("r_regionkey").alias("Zoho_ID"), F.col("r_name").alias("displayName")
+        F.lit("").alias("id"), F.col("r_regionkey").alias("id_string"), F.col("r_name").alias("displayName")
     )
     records = _customers_in_nations(spark, sf).select(
         F.col("c_custkey").alias("Record"), owner.alias("Owner"), region.alias("Region"),
@@ -361,10 +361,10 @@ def coalesce_keys_people(spark, sf):
         F.when(F.col("c_acctbal") < 0, "").otherwise(F.col("c_mktsegment")).alias("Employee"),
         F.col("c_name").alias("employeeName"),
         F.lit(None).cast("bigint").alias("recordId"),
-        F.col("c_custkey").alias("Zoho_ID"),
+        F.col("c_custkey").alias("EntityId"),
     )
     named = coalesce_keys(records, ["Employee", "employeeName", "absent"], "employee")
-    found = coalesce_keys(named, ["recordId", "Zoho_ID"], "record_id", blanks=False)
+    found = coalesce_keys(named, ["recordId", "EntityId"], "record_id", blanks=False)
     return found.select("k", "employee", "record_id")
 
 
