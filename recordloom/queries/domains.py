@@ -48,7 +48,7 @@ def _invoices(spark, sf):
     """,
 )
 def accounting_invoices(spark, sf):
-    return accounting.shred("accounting_invoice", _invoices(spark, sf))["accounting_invoice"].drop("present")
+    return accounting.shred("accounting_invoice", _invoices(spark, sf))["accounting_invoice"].drop("present").distinct()
 
 
 @query(

@@ -57,7 +57,11 @@ ORDER_SCHEMA = (
 
 
 def order_documents(spark, sf):
-    """Landed order documents as JSON text; the lines of an order are the selections of its check."""
+    """Landed order documents as JSON text; the lines of an order are the selections of its check.
+
+    An order with very many lines comes as several documents that repeat its header, so what is
+    read from the header is made distinct.
+    """
     line_id = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     tax = F.struct(
         F.when(F.col("l_returnflag") == "A", F.concat(F.lit("tax-"), line_id)).alias("guid"),
@@ -132,7 +136,7 @@ def shred_orders_header(spark, sf):
     return shred_tree(staged_orders(spark, sf), ORDER_TREE, "restaurant_id")["orders"].select(
         "id", "restaurant_id", "openedDate", "deleted", "server_id", "server_entityType",
         "diningOption_guid",
-    )
+    ).distinct()
 
 
 @query(
@@ -145,7 +149,7 @@ def shred_orders_header(spark, sf):
     """,
 )
 def shred_orders_checks(spark, sf):
-    return shred_tree(staged_orders(spark, sf), ORDER_TREE, "restaurant_id")["orders_check"]
+    return shred_tree(staged_orders(spark, sf), ORDER_TREE, "restaurant_id")["orders_check"].distinct()
 
 
 @query(
@@ -184,7 +188,7 @@ def hash_key_taxes(spark, sf):
     """,
 )
 def payment_pairs(spark, sf):
-    return payment_junction(staged_orders(spark, sf))[0]
+    return payment_junction(staged_orders(spark, sf))[0].distinct()
 
 
 @query(
@@ -203,7 +207,7 @@ def voided_payments(spark, sf):
     payments = payment_junction(staged_orders(spark, sf))[1]
     flat = project_deep(payments, VOIDED_PAYMENT, drop=["voidInfo"])
     flat = flatten_prefix(flat, ["refund"])
-    return flat.drop("void_info_user_guid", "void_info_reason_entity_type", "void_info_reason_guid")
+    return flat.drop("void_info_user_guid", "void_info_reason_entity_type", "void_info_reason_guid").distinct()
 
 
 @query(
@@ -234,7 +238,7 @@ def segment_revenue(spark, sf):
     staged = cut_lineage(staged_orders(spark, sf))  # parsed once, read by both tables
     tables = shred_tree(staged, ORDER_TREE, "restaurant_id")
     header, _ = require_key(tables["orders"], ["id"])
-    header = header.select("id", "restaurant_id", F.col("diningOption_guid").alias("status"))
+    header = header.select("id", "restaurant_id", F.col("diningOption_guid").alias("status")).distinct()
     second = (
         table(spark, sf, "orders")
         .filter("o_orderstatus = 'O'")
@@ -445,7 +449,7 @@ def _nation_forms(spark, sf):
     """,
 )
 def auto_children_sites(spark, sf):
-    return auto_children(_nation_forms(spark, sf), "data_forms")["data_forms__sub_sites"]
+    return auto_children(_nation_forms(spark, sf), "data_forms")["data_forms__sub_sites"].distinct()
 
 
 @query(
