@@ -8,7 +8,6 @@ job that dies half way leaves the former version intact and can simply be run ag
 from __future__ import annotations
 
 import json
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -21,13 +20,11 @@ BUCKET = "_bucket"
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder named by the cluster. Only a local session without one gets a folder of its own."""
+    """Shared folder named by the cluster; where it names none, one inside the warehouse, which is shared as well."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="recordloom-")
+    folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_recordloom"
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 

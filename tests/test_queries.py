@@ -18,7 +18,10 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables are n
 
 
 def test_every_query_has_sql():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    from recordloom.queries import ORACLES, QUERIES
+
+    assert set(ORACLES) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry(spark):
