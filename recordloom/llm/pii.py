@@ -1,0 +1,235 @@
+"""Personal data: candidate spans from wide generators, judged by gradient boosted trees.
+
+Exact patterns (e-mail, IP address, card, phone) give the base spans, which always stay. Beside them wide
+generators propose overlapping candidates: runs of digits, things around an at-sign, assignments and opaque tokens. A
+boosted-tree model sees a candidate's format (lengths, digits, checksum, letters, separators) and context (words and marks
+before and after), and gives a probability. Per generator, the threshold is the lowest score at which a
+held-out fifth of the sample reaches ``PRECISION``; candidates above it that overlap nothing already chosen are added.
+
+Labels for training are weak: a candidate is personal if it covers a base span or looks like one of a few secret
+formats, else not. The model sees neither rule. It is fitted on at most ``TRAIN_ROWS`` candidates, those with
+the smallest hash; candidates are generated and scored for all texts.
+
+Positions come from splitting a text at the matches of a pattern and adding up lengths, so they count code points.
+Patterns use possessive repeats and begin only at the start of a run or at the end of the last match: no text
+takes more than linear time.
+
+Defined results: null and empty texts give no spans; equal rows give equal rows, null ids too; an empty table gives no
+rows; without both kinds of labels nothing is added.
+"""
+
+from __future__ import annotations
+
+import functools
+
+from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from recordloom.llm.common import FILE, ROW, cut_lineage, let, table, with_place
+
+KINDS = ("email", "ip", "card", "phone", "number", "address", "secret")
+
+# The patterns of the contract, written so that they cannot backtrack.
+EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
+IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
+CARD = r"[0-9](?:[\x20-]?[0-9])++"
+PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
+
+NUMBER = r"(?<![0-9A-Za-z])[+(]?[0-9](?:[\x20().\x2F-]{0,2}[0-9]){6,40}+"
+ADDRESS = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+\x20?(?:@|\(at\)|\[at\])\x20?[A-Za-z0-9.-]{2,64}+"
+SECRET = r"(?<![A-Za-z0-9])(?:(?:password|passwd|pwd|token|secret|key)\x20?[=:]\x20?\x22?[^\s\x22]{6,80}+|(?=[0-9]*[A-Za-z])[A-Za-z0-9]{16,80}+)"
+SEED = r"^(?:password=[0-9a-f]{16,}|token = \x22[0-9a-f]{32,}|AKIA[0-9A-Z]{16}$)"
+
+TRAIN_ROWS = 20_000
+PRECISION = 0.95
+TREES, DEPTH = 12, 3
+
+
+def found(text: Column, pattern: str, kind: int, keep=None) -> Column:
+    """Array of (start, kind, end, match, before, after) of all matches in order, leftmost and without overlap."""
+
+    def place(s: Column) -> Column:
+        def step(a: Column, i: Column) -> Column:
+            start = a["at"] + F.length(s["gaps"][i])
+            match = s["got"][i]
+            end = start + F.length(match)
+            one = F.struct(
+                start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), match.alias("match"),
+                F.right(s["gaps"][i], F.lit(24)).alias("before"), F.left(s["gaps"][i + 1], F.lit(8)).alias("after"),
+            )
+            return F.struct(end.alias("at"), F.concat(a["out"], F.array(one)).alias("out"))
+
+        none = F.struct(F.lit(0).alias("at"), EMPTY().alias("out"))
+        return F.aggregate(F.sequence(F.lit(0), F.size(s["got"]) - 1), none, step)["out"]
+
+    got = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    both = F.struct(F.split(text, pattern, -1).alias("gaps"), got.alias("got"))
+    spans = let(both, lambda s: F.when(F.size(s["got"]) > 0, place(s)).otherwise(EMPTY()))
+    return spans if keep is None else F.filter(spans, keep)
+
+
+def EMPTY() -> Column:  # noqa: N802
+    return F.array().cast("array<struct<start:int,kind:int,end:int,match:string,before:string,after:string>>")
+
+
+def digits(c: Column) -> Column:
+    return F.regexp_replace(c, "[^0-9]", "")
+
+
+def luhn(number: Column) -> Column:
+    """Whether a text of digits passes the checksum."""
+    n = F.length(number)
+
+    def add(a: Column, i: Column) -> Column:
+        d = F.substring(number, n - i, F.lit(1)).cast("int")
+        twice = F.when(d > 4, d * 2 - 9).otherwise(d * 2)
+        return a + F.when(i % 2 == 1, twice).otherwise(d)
+
+    return F.aggregate(F.sequence(F.lit(0), n - 1), F.lit(0), add) % 10 == 0
+
+
+def good_card(s: Column) -> Column:
+    d = digits(s["match"])
+    return F.when(F.length(d).between(12, 19), luhn(d)).otherwise(F.lit(False))
+
+
+def good_ip(s: Column) -> Column:
+    return F.forall(F.split(s["match"], r"\."), lambda p: F.coalesce(p.try_cast("long") <= 255, F.lit(False)))
+
+
+def good_phone(s: Column) -> Column:
+    return F.length(digits(s["match"])).between(9, 15)
+
+
+def base_spans(text: Column) -> Column:
+    has_digit = text.rlike("[0-9]")
+    parts = [
+        F.when(F.contains(text, F.lit("@")), found(text, EMAIL, 0)).otherwise(EMPTY()),
+        F.when(has_digit, found(text, IP, 1, good_ip)).otherwise(EMPTY()),
+        F.when(has_digit, found(text, CARD, 2, good_card)).otherwise(EMPTY()),
+        F.when(F.contains(text, F.lit("+")), found(text, PHONE, 3, good_phone)).otherwise(EMPTY()),
+    ]
+    return F.sort_array(F.concat(*parts))
+
+
+def candidates(text: Column) -> Column:
+    return F.concat(
+        F.when(text.rlike("[0-9]"), found(text, NUMBER, 4)).otherwise(EMPTY()),
+        F.when(text.rlike(r"@|\(at\)|\[at\]"), found(text, ADDRESS, 5)).otherwise(EMPTY()),
+        F.when(text.rlike(r"[=:]|[A-Za-z0-9]{16}"), found(text, SECRET, 6)).otherwise(EMPTY()),
+    )
+
+
+def features(match: Column, before: Column, after: Column, kind: Column) -> dict[str, Column]:
+    def count(pattern: str) -> Column:
+        return (F.length(match) - F.length(F.regexp_replace(match, pattern, ""))).cast("double")
+
+    cue, number = F.lower(before), digits(match)
+    return {
+        "f_kind": kind.cast("double"),
+        "f_length": F.length(match).cast("double"),
+        "f_digits": count("[0-9]"),
+        "f_checksum": F.when(F.length(number).between(12, 19), luhn(number)).otherwise(F.lit(False)).cast("double"),
+        "f_upper": count("[A-Z]"),
+        "f_lower": count("[a-z]"),
+        "f_dots": count(r"\."),
+        "f_spaces": count(" "),
+        "f_marks": count(r"[-()/+_%=:\x22]"),
+        "f_letters_between": F.length(F.regexp_extract(match, r"[0-9]([A-Za-z]+)[0-9]", 1)).cast("double"),
+        "f_cue": cue.rlike(r"(?:mail|phone|tel|call|fax|card|ip|address|password|token|secret|key|contact|id)\W*$").cast("double"),
+        "f_word_before": before.rlike(r"\p{L}\s$").cast("double"),
+        "f_mark_before": before.rlike(r"[=:\x22]\s?$").cast("double"),
+        "f_word_after": after.rlike(r"^[\s.,]*\s?\p{L}").cast("double"),
+        "f_digit_after": after.rlike(r"^\W?[0-9]").cast("double"),
+    }
+
+
+def overlaps(a: Column, b: Column) -> Column:
+    return (a["start"] < b["end"]) & (b["start"] < a["end"])
+
+
+def scored(cands: DataFrame, train_rows: int = TRAIN_ROWS, precision: float = PRECISION) -> DataFrame:
+    """Candidates with ``p`` and ``chosen``: the model is fitted and its thresholds are set on a bounded sample."""
+    names = [c for c in cands.columns if c.startswith("f_")]
+    order = F.xxhash64(FILE, ROW, "start", "kind")
+    sample = cut_lineage(cands.withColumn("_h", order).orderBy("_h", FILE, ROW, "start", "kind").limit(train_rows).drop("_rl"))
+    held = F.pmod(F.shiftright("_h", 8), F.lit(5)) == 0
+    vector = VectorAssembler(inputCols=names, outputCol="_features", handleInvalid="keep")
+    fit = vector.transform(sample.filter(~held)).select("_features", F.col("label").cast("double").alias("label"))
+    if fit.select("label").distinct().count() < 2:
+        return cands.withColumns({"p": F.lit(0.0), "chosen": F.lit(False)})
+    model = GBTClassifier(featuresCol="_features", labelCol="label", maxIter=TREES, maxDepth=DEPTH, maxBins=32, seed=9).fit(fit)
+
+    def predict(df: DataFrame) -> DataFrame:
+        p = F.round(F.get(vector_to_array("probability"), F.lit(1)), 3)
+        return model.transform(vector.transform(df)).withColumn("p", p).drop("_features", "rawPrediction", "probability", "prediction")
+
+    by_score = predict(sample.filter(held)).groupBy("kind", "p").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("label").cast("int")).alias("good"))
+    above = Window.partitionBy("kind").orderBy(F.desc("p"))
+    reached = by_score.select("kind", "p", (F.sum("good").over(above) >= precision * F.sum("n").over(above)).alias("ok"))
+    thresholds = reached.groupBy("kind").agg(F.min(F.when(F.col("ok"), F.col("p"))).alias("t")).collect()  # a row per generator
+    limit = functools.reduce(lambda out, r: out.when(F.col("kind") == r["kind"], r["t"]), thresholds, F.when(F.lit(False), 1.0))
+    return predict(cands).withColumn("chosen", F.coalesce((F.col("p") >= limit) & (F.col("p") > 0.5), F.lit(False)))
+
+
+def find_personal_data(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """Per text: ``base`` and ``spans`` (base and added), arrays of (start, kind number, end)."""
+    placed = with_place(df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")))
+    text = F.coalesce(F.col("text"), F.lit(""))
+    # one scan of the texts; from here on there are only spans
+    texts = cut_lineage(placed.select(FILE, ROW, "doc_id", base_spans(text).alias("base"), candidates(text).alias("wide")))
+    bare = F.transform("base", lambda s: F.struct(s["start"], s["kind"], s["end"]))
+    wide = texts.select(FILE, ROW, "base", F.explode("wide").alias("s"))
+    truth = F.exists("base", lambda b: overlaps(b, F.col("s"))) | F.col("s.match").rlike(SEED)
+    rows = wide.select(
+        FILE, ROW, F.col("s.start").alias("start"), F.col("s.kind").alias("kind"), F.col("s.end").alias("end"), truth.alias("label"),
+        F.exists("base", lambda b: overlaps(b, F.col("s"))).alias("taken"),
+        *[c.alias(n) for n, c in features(F.col("s.match"), F.col("s.before"), F.col("s.after"), F.col("s.kind")).items()],
+    )
+    chosen = scored(cut_lineage(rows), **options).filter("chosen and not taken")
+    # of overlapping candidates the surest stays, then the longest, then the first
+    picks = chosen.groupBy(FILE, ROW).agg(
+        F.sort_array(F.collect_list(F.struct((-F.col("p")).alias("q"), (F.col("start") - F.col("end")).alias("l"), "start", "kind", "end"))).alias("picks")
+    )
+
+    def pick(a: Column, c: Column) -> Column:
+        return F.when(F.exists(a, lambda b: overlaps(b, c)), a).otherwise(F.concat(a, F.array(F.struct(c["start"], c["kind"], c["end"]))))
+
+    none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
+    added = picks.select(FILE, ROW, F.aggregate("picks", none, pick).alias("added"))
+    joined = texts.select(FILE, ROW, "doc_id", bare.alias("base")).join(added, [FILE, ROW], "left")
+    return joined.select("doc_id", "base", F.sort_array(F.concat("base", F.coalesce("added", none))).alias("spans"))
+
+
+def written(spans: Column) -> Column:
+    """``kind:start:end`` of each span, joined by commas."""
+    kinds = F.array(*[F.lit(k) for k in KINDS])
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(kinds, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+def of_kind(spans: Column, kind: int) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
+def redact(text: Column, spans: Column) -> Column:
+    """The text with each span (ordered, disjoint or not) replaced by its kind in brackets."""
+    kinds = F.array(*[F.lit(f"[{k}]") for k in KINDS])
+
+    def step(a: Column, s: Column) -> Column:
+        gap = F.substring(text, a["at"] + 1, F.greatest(F.lit(0), s["start"] - a["at"]))
+        inside = s["end"] <= a["at"]
+        return F.when(inside, a).otherwise(
+            F.struct(F.greatest(a["at"], s["end"]).alias("at"), F.concat(a["out"], gap, F.get(kinds, s["kind"])).alias("out"))
+        )
+
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    return let(F.aggregate(spans, start, step), lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))
+
+
+def op9(spark, sf: str) -> DataFrame:
+    found_ = find_personal_data(table(spark, sf, "documents"))
+    counts = [of_kind(F.col("base"), i).alias(f"n_{k}") for i, k in enumerate(KINDS[:4])]
+    return found_.select("doc_id", *counts, F.sha2(written(F.col("base")), 256).alias("base_sha256"), written(F.col("spans")).alias("spans"))

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from recordloom.llm import mixing, quality, sharding, urlfilter
+from recordloom.llm import licenses, mixing, pii, quality, sharding, urlfilter
 
 QUERIES = {
     "op1_mixing": mixing.op1,
     "op4_quality_rules": quality.op4,
+    "op5_license_scans": licenses.op5,
     "op6_sharding": sharding.op6,
     "op7_url_filters": urlfilter.op7,
+    "op9_pii": pii.op9,
     "pipeline": corpus_pipeline.run,
 }
 
