@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from recordloom.llm import htmltext, licenses, mixing, pii, quality, sharding, urlfilter
+from recordloom.llm import decontaminate, htmltext, licenses, mixing, pii, quality, sharding, urlfilter
 
 QUERIES = {
     "op1_mixing": mixing.op1,
+    "op2_decontamination": decontaminate.op2,
     "op10_html_extraction": htmltext.op10,
     "op4_quality_rules": quality.op4,
     "op5_license_scans": licenses.op5,
@@ -17,5 +18,6 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op2_decontamination": decontaminate.ORACLE,
     "op7_url_filters": urlfilter.ORACLE,
 }
