@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from recordloom.llm import decontaminate, htmltext, licenses, mixing, pii, quality, sharding, urlfilter
+from recordloom.llm import decontaminate, htmltext, licenses, mixing, neardup, pii, quality, sharding, urlfilter
 
 QUERIES = {
     "op1_mixing": mixing.op1,
     "op2_decontamination": decontaminate.op2,
     "op10_html_extraction": htmltext.op10,
+    "op3_minhash_near_dedup": neardup.op3,
     "op4_quality_rules": quality.op4,
     "op5_license_scans": licenses.op5,
     "op6_sharding": sharding.op6,
