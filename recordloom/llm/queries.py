@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from recordloom.llm import decontaminate, htmltext, licenses, mixing, neardup, pii, quality, sharding, urlfilter
+from recordloom.llm import decontaminate, htmltext, licenses, mixing, neardup, pii, quality, sharding, substrings, urlfilter
 
 QUERIES = {
     "op1_mixing": mixing.op1,
@@ -14,6 +14,7 @@ QUERIES = {
     "op5_license_scans": licenses.op5,
     "op6_sharding": sharding.op6,
     "op7_url_filters": urlfilter.op7,
+    "op8_suffix_array_dedup": substrings.op8,
     "op9_pii": pii.op9,
     "pipeline": corpus_pipeline.run,
 }
