@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from recordloom.llm.common import FILE, ROW, cut_lineage, table, with_place
+from recordloom.llm.common import FILE, ROW, cut_lineage, let, table, with_place
 
 # Fixed value: what separates words here.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -95,11 +95,11 @@ def template_runs(spark: SparkSession, templates: tuple[Template, ...], k: int =
 
 def hits(docs: DataFrame, templates: tuple[Template, ...], k: int = K) -> DataFrame:
     """One row per verified meeting of a text's run with a template's; ``docs`` has the place columns and ``words``."""
-    words = F.col("words")
-    runs = F.when(
-        F.size(words) >= k,
-        F.transform(F.sequence(F.lit(0), F.size(words) - k), lambda i: F.xxhash64(*[words[i + j] for j in range(k)])),
-    )
+    def rolling(words: Column) -> Column:
+        hashed = F.transform(F.sequence(F.lit(0), F.size(words) - k), lambda i: F.xxhash64(*[words[i + j] for j in range(k)]))
+        return F.when(F.size(words) >= k, hashed)
+
+    runs = let(F.col("words"), rolling)
     rolled = docs.select(FILE, ROW, "words", F.posexplode(runs).alias("p", "hash"))
     met = rolled.join(template_runs(docs.sparkSession, templates, k), "hash")
     same = F.lit(True)

@@ -98,23 +98,31 @@ def measures(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     """One row per text with its counts; see the module for odd texts."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(WORD))
-    kept = df.select(
+
+    # words and lines are bound by ``let``: a filter on the result that Spark pushes down must not split a text once per word
+    def of_words(words: Column) -> Column:
+        stops = F.filter(words, lambda w: F.lower(w).isin(*sorted(set(STOP_WORDS))))
+        return F.struct(F.size(words).alias("n"), repeat_words(words).alias("repeated"), F.size(stops).alias("stops"))
+
+    def of_lines(found: Column) -> Column:
+        return F.struct(F.size(found).alias("n"), (F.size(found) - F.size(F.array_distinct(found))).alias("twice"))
+
+    counted = df.select(
         F.col(id_col).alias("doc_id"),
         F.length(F.regexp_replace(text, SPACE_RUN, "")).cast("long").alias("word_chars"),
         (F.length(text) - F.length(F.regexp_replace(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
-        lines.alias("_lines"),
-        split_words(text).alias("_words"),
+        let(lines, of_lines).alias("_l"),
+        let(split_words(text), of_words).alias("_w"),
     )
-    words, lines = F.col("_words"), F.col("_lines")
-    return kept.select(
+    return counted.select(
         "doc_id",
-        F.size(words).cast("long").alias("n_words"),
+        F.col("_w.n").cast("long").alias("n_words"),
         "word_chars",
         "n_symbols",
-        (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
-        repeat_words(words).alias("n_repeat_words"),
-        F.size(lines).cast("long").alias("n_lines"),
-        F.size(F.filter(words, lambda w: F.lower(w).isin(*sorted(set(STOP_WORDS))))).cast("long").alias("n_stop_words"),
+        F.col("_l.twice").cast("long").alias("n_dup_lines"),
+        F.col("_w.repeated").alias("n_repeat_words"),
+        F.col("_l.n").cast("long").alias("n_lines"),
+        F.col("_w.stops").cast("long").alias("n_stop_words"),
     )
 
 
@@ -138,14 +146,8 @@ def keep_good(df: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = R
     The measures travel inside one struct, so no column of the table can clash with them.
     """
     row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
-    judged = df.select(row.alias("_row"), F.col(text_col).alias("text"))
-    one = quality_columns(judged)
-    return judge(one, rules).filter("kept").select("_row.*")
-
-
-def quality_columns(judged: DataFrame) -> DataFrame:
-    """Measures of ``text`` beside ``_row``."""
-    return measures(judged.withColumn("doc_id", F.col("_row")), "doc_id", "text").withColumnRenamed("doc_id", "_row")
+    measured = measures(df.select(row.alias("_row"), F.col(text_col).alias("text")), "_row", "text")
+    return judge(measured, rules).filter("kept").select("doc_id.*")
 
 
 def op4(spark, sf: str) -> DataFrame:
