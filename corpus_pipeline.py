@@ -9,7 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from recordloom.llm.common import stage, table
+from recordloom.llm.decontaminate import without_leaks
 from recordloom.llm.mixing import mix_rows
+from recordloom.llm.neardup import keep_one
 from recordloom.llm.quality import keep_good
 from recordloom.llm.sharding import shard_rows
 
@@ -19,6 +21,16 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keep_good(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays: five words, similarity 0.8 or more."""
+    return keep_one(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain an item of the benchmark go."""
+    return without_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents are repeated or left out so that sources meet their target weights."""
     return mix_rows(docs)
@@ -29,9 +41,15 @@ def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return shard_rows(docs)
 
 
-STAGES = [("quality rules", quality), ("mixing", mixing), ("sharding", sharding)]
+STAGES = [
+    ("quality rules", quality),
+    ("MinHash near-dedup", near_dedup),
+    ("benchmark decontamination", decontamination),
+    ("mixing sources to target weights", mixing),
+    ("sharding", sharding),
+]
 
-#: Similarity search, decontamination and random draws are beyond SQL.
+#: Similarity search and random draws are beyond SQL.
 ORACLE_SQL = None
 
 
