@@ -3,8 +3,7 @@
 Texts with equal shingle sets are one node, so groups of exact copies are gone after one aggregation. A node has
 ``BANDS`` band values of ``ROWS`` MinHash values each, and an odd sketch: the minima of ``BINS`` bins (one MinHash
 permutation cut into bins) folded into a bitmap of ``BITS`` parities. The population count of the XOR of two
-bitmaps estimates how many minima differ, and with the numbers of minima a bound of the similarity follows that is
-most precise where similarities are high.
+bitmaps estimates how many minima differ, which is most precise where similarities are high.
 
 Nodes that share a band value form a bucket. Not all pairs of a bucket are looked up, let alone written:
 
@@ -12,8 +11,8 @@ Nodes that share a band value form a bucket. Not all pairs of a bucket are looke
    grown, one sketch against the rest at a time, and its edges, fewer than nodes, are confirmed on the full sets.
 2. Components follow. In buckets that still hold several components, pairs from different components are
    compared, in blocks of parts: nodes outside the bucket's largest component with each other and with that one.
-   Pairs whose estimate reaches ``ESTIMATE`` are confirmed; the others cannot be links but for an error of the estimate
-   of more than four standard deviations.
+   Pairs that may be links by their estimate are confirmed; the others cannot be but for an error of the estimate
+   of more than five standard deviations.
 3. Components of all confirmed links give the result. A link that no forest needed joins nothing new.
 
 With 20 bands of 4 rows a pair of similarity 0.85 is missed with probability 4e-7. Sets of fewer than seven shingles can
@@ -38,8 +37,9 @@ from recordloom.llm.components import components
 from recordloom.llm.grams import STEP, U, mix, shingle_lists
 
 BANDS, ROWS = 20, 4
-BINS, BITS = 1024, 2048
-ESTIMATE = 0.80
+BINS, BITS = 2048, 2048
+#: Standard deviations that an estimate may lie below the similarity of a link, and what the parities may add.
+SIGMAS, PARITY = 5, 0.015
 PART = 1024
 
 _numbers = np.random.default_rng(3)
@@ -101,28 +101,44 @@ def sketcher(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
     return run
 
 
-def similarity(odd: np.ndarray, minima: np.ndarray, one: int, others: np.ndarray) -> np.ndarray:
-    """Estimated similarity of one node with others, from above: sketches are rows of 64-bit words."""
-    differ = np.bitwise_count(odd[others] ^ odd[one]).sum(axis=1)
-    apart = -BITS / 2 * np.log(np.maximum(1 - 2 * differ / BITS, 1e-3))
-    shared = (minima[others] + minima[one] - apart) / 2
-    return shared / np.maximum(minima[others], minima[one])
+class Sketches:
+    """Odd sketches of a group of nodes, and the test of pairs for a similarity of ``link``."""
 
+    def __init__(self, group: pa.Table, link: float):
+        self.odd = np.frombuffer(b"".join(group.column("odd").to_pylist()), dtype=np.uint64).reshape(group.num_rows, BITS // 64)
+        self.minima, self.n = group.column("minima").to_numpy().astype(float), group.column("n").to_numpy().astype(float)
+        self.link = link
 
-def forest(odd: np.ndarray, minima: np.ndarray) -> list[tuple[int, int]]:
-    """Edges of a spanning forest of largest estimates that reach ``ESTIMATE``: memory for one row of estimates, not for pairs."""
-    rest = np.arange(1, len(odd))
-    best, parent = similarity(odd, minima, 0, rest), np.zeros(len(rest), int)
+    def excess(self, one: int, others: np.ndarray) -> np.ndarray:
+        """Shared minima of one node with others, over those that a linked pair has at least; less than 0: no link.
+
+        The XOR's population count gives how many minima differ, and so how many are shared. A pair of similarity s shares a
+        share s of the bins that its union fills. The slack is that of sampling the union without replacement.
+        """
+        differ = np.bitwise_count(self.odd[others] ^ self.odd[one]).sum(axis=1)
+        apart = -BITS / 2 * np.log(np.maximum(1 - 2 * differ / BITS, 1e-3))
+        shared = (self.minima[others] + self.minima[one] - apart) / 2
+        fewest, largest = np.minimum(self.minima[others], self.minima[one]), np.maximum(self.n[others], self.n[one])
+        spread = np.sqrt(self.link * (1 - self.link) / fewest * np.maximum(0, 1 - fewest / largest))
+        low = self.link - PARITY - SIGMAS * spread
+        filled = BINS * (1 - np.exp(-(self.n[others] + self.n[one]) / (1 + low) / BINS))
+        return shared / (low * filled) - 1
+
+
+def forest(sketches: Sketches) -> list[tuple[int, int]]:
+    """Edges of a spanning forest of largest estimates among possible links: memory for one row of estimates, not for pairs."""
+    rest = np.arange(1, len(sketches.n))
+    best, parent = sketches.excess(0, rest), np.zeros(len(rest), int)
     edges = []
     while len(rest):
         k = int(np.argmax(best))
         node = int(rest[k])
-        if best[k] >= ESTIMATE:
+        if best[k] >= 0:
             edges.append((int(parent[k]), node))
         keep = np.arange(len(rest)) != k
         rest, best, parent = rest[keep], best[keep], parent[keep]
         if len(rest):
-            again = similarity(odd, minima, node, rest)
+            again = sketches.excess(node, rest)
             better = again > best
             best, parent = np.where(better, again, best), np.where(better, node, parent)
     return edges
@@ -151,35 +167,43 @@ def grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.T
         yield pa.Table.from_batches(open_)
 
 
-def words_of(column: pa.ChunkedArray) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint64).reshape(len(column), BITS // 64)
-
-
 def pair_batch(pairs: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
     a, b = ([min(p) for p in pairs], [max(p) for p in pairs])
     return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
 
 
-def forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for group in grouped(batches, ["key", "part"]):
-        sigs = group.column("sig").to_pylist()
-        edges = forest(words_of(group.column("odd")), group.column("minima").to_numpy())
-        yield pair_batch([(sigs[i], sigs[j]) for i, j in edges])
+def forests(link: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in grouped(batches, ["key", "part"]):
+            sigs = group.column("sig").to_pylist()
+            yield pair_batch([(sigs[i], sigs[j]) for i, j in forest(Sketches(group, link))])
+
+    return run
+
+
+def crossings(link: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Pairs of different components in a block; ``side`` 0 rows are compared with each other (if the block is square) and with side 1.
 
+    A pair that meets in several buckets is named in the one of its first common band.
+    """
 
-def crossings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of different components in a block; ``side`` 0 rows are compared with each other (if the block is square) and with side 1."""
-    for group in grouped(batches, ["key", "block"]):
-        sigs, labels = group.column("sig").to_pylist(), np.array([hash(x) for x in group.column("label").to_pylist()])
-        odd, minima, side = words_of(group.column("odd")), group.column("minima").to_numpy(), group.column("side").to_numpy()
-        square = bool(group.column("square")[0].as_py())
-        pairs = []
-        for i in np.flatnonzero(side == 0):
-            others = np.flatnonzero((labels != labels[i]) & ((side == 1) | (square & (np.arange(len(side)) > i))))
-            if len(others):
-                near = others[similarity(odd, minima, int(i), others) >= ESTIMATE]
-                pairs += [(sigs[i], sigs[j]) for j in near]
-        yield pair_batch(pairs)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in grouped(batches, ["key", "block"]):
+            sigs, sketches = group.column("sig").to_pylist(), Sketches(group, link)
+            numbers: dict[bytes, int] = {}
+            labels = np.array([numbers.setdefault(x, len(numbers)) for x in group.column("label").to_pylist()])
+            bands = np.array(group.column("bands").to_pylist(), np.int64)
+            key, side, square = group.column("key")[0].as_py(), group.column("side").to_numpy(), group.column("square")[0].as_py()
+            pairs = []
+            for i in np.flatnonzero(side == 0):
+                others = np.flatnonzero((labels != labels[i]) & ((side == 1) | (square & (np.arange(len(side)) > i))))
+                if len(others):
+                    near = others[sketches.excess(int(i), others) >= 0]
+                    first = np.argmax(bands[near] == bands[i], axis=1)
+                    pairs += [(sigs[i], sigs[j]) for j in near[bands[i][first] == key]]
+            yield pair_batch(pairs)
+
+    return run
 
 
 def confirmer(width: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -211,7 +235,7 @@ def duplicate_links(nodes: DataFrame, texts: DataFrame, width: int, percent: int
     shared = banded.groupBy("key").count().filter("count > 1").withColumnRenamed("count", "held")
     members = stage(banded.join(shared, "key"))
     asked = members.select("sig").distinct()
-    sketches = stage(nodes.select("sig", "odd", "minima").join(asked, "sig", "left_semi"))
+    sketches = stage(nodes.select("sig", "odd", "minima", "n", "bands").join(asked, "sig", "left_semi"))
     wanted = stage(texts(asked))
 
     def confirm(pairs: DataFrame) -> DataFrame:
@@ -220,9 +244,9 @@ def duplicate_links(nodes: DataFrame, texts: DataFrame, width: int, percent: int
         return cut_lineage(both.select("a", "b", "text_a", "text_b").mapInArrow(confirmer(width, percent), "a binary, b binary"))
 
     part = F.pmod(F.xxhash64("sig"), F.ceil(F.col("held") / PART)).alias("part")
-    first = members.select("key", part, "sig").join(sketches, "sig").select("key", "part", "sig", "odd", "minima")
+    first = members.select("key", part, "sig").join(sketches, "sig").select("key", "part", "sig", "odd", "minima", "n")
     dealt = first.repartition("key", "part").sortWithinPartitions("key", "part", "sig")
-    links = confirm(dealt.mapInArrow(forests, "a binary, b binary"))
+    links = confirm(dealt.mapInArrow(forests(percent / 100), "a binary, b binary"))
 
     labelled = members.join(components(links), members["sig"] == F.col("node"), "left").select(
         "key", members["sig"], F.coalesce("label", members["sig"]).alias("label")
@@ -249,9 +273,9 @@ def duplicate_links(nodes: DataFrame, texts: DataFrame, width: int, percent: int
     flat = blocks.select(
         "key", F.xxhash64("b.i", "b.j", "b.kind").alias("block"), "sig", "label", F.col("b.side").alias("side"), F.col("b.square").alias("square")
     )
-    withs = flat.join(sketches, "sig").select("key", "block", "sig", "label", "side", "square", "odd", "minima")
+    withs = flat.join(sketches, "sig").select("key", "block", "sig", "label", "side", "square", "odd", "minima", "n", "bands")
     ready = withs.repartition("key", "block").sortWithinPartitions("key", "block", "side", "sig")
-    more = confirm(ready.mapInArrow(crossings, "a binary, b binary"))
+    more = confirm(ready.mapInArrow(crossings(percent / 100), "a binary, b binary"))
     return spark.createDataFrame([], "a binary, b binary").unionByName(links).unionByName(more)
 
 
@@ -261,7 +285,7 @@ def near_duplicates(placed: DataFrame, width: int, percent: int) -> DataFrame:
     nodes = stage(
         sketched.filter("sig is not null").groupBy("sig").agg(
             F.min(F.struct(FILE, ROW)).alias("at"), F.min("doc_id").alias("least"), F.first("bands").alias("bands"), F.first("odd").alias("odd"),
-            F.first("minima").alias("minima"),
+            F.first("minima").alias("minima"), F.first("n").alias("n"),
         )
     )
 
