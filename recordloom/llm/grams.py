@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 
 U = np.uint64
 #: Texts are hashed in pieces of about this many bytes, so that memory does not follow the batch.
-PIECE_BYTES = 2 * 1024 * 1024
+PIECE_BYTES = 512 * 1024
 
 _numbers = np.random.default_rng(7)
 BYTE = _numbers.integers(1, 2**63, 256, dtype=np.uint64) * U(2) + U(1)

@@ -11,7 +11,8 @@ alone: two equal strings of ``SPAN`` bytes have equal anchors at equal places. S
 3. Contexts of one anchor are compared by a suffix array, built by linear grouping (``suffix.py``). Its symbols are not bytes but
    the blocks between the places where any two contexts part, so that a context is a few symbols, and its repeated
    runs are whole blocks. Runs of ``SPAN`` bytes or more are covered. An anchor with more than ``MOST`` different contexts
-   does not come to one task: its windows are hashed and counted one by one.
+   does not come to one task: the bytes that ``STRIDE`` neighbouring windows share are hashed and counted, and where they
+   repeat, the windows one by one.
 4. Covered stretches go back to all occurrences of their context, and are cut out of the texts, once, at the end.
 
 Defined results: a null text is empty; texts shorter than ``SPAN`` bytes lose nothing; overlapping occurrences, also
@@ -40,6 +41,10 @@ MOST = 2048
 BATCH_SYMBOLS = 50_000
 
 CHUNK = 1 << 19
+#: Neighbouring windows that are tried together before they are hashed one by one.
+STRIDE = 24
+#: Rows of a batch that are worked on together.
+SLICE = 500
 PLACE_BITS = U(20)
 PLACE = (U(1) << PLACE_BITS) - U(1)
 INVERSE = U(pow(int(STEP), -1, 2**64))
@@ -111,9 +116,15 @@ def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["anchor", "context", FILE, ROW, "pos"])
 
 
+def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE):
+            yield batch.slice(at, SLICE)
+
+
 def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Bytes before and from the anchor on, for the wanted contexts of each text."""
-    for batch in batches:
+    for batch in sliced(batches):
         out: dict[str, list] = {"anchor": [], "context": [], "n": [], "many": [], "before": [], "after": []}
         for i in range(batch.num_rows):
             data = batch.column("text")[i].as_py().encode()
@@ -236,6 +247,7 @@ class Sorter:
                 yield anchor, context, stretches
 
 
+HASHES = "anchor long, context long, n long, low int, hash long"
 COVER = "anchor long, context long, low int, high int"
 
 
@@ -268,19 +280,40 @@ def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield drain()
 
 
+def hashed(before: bytes, after: bytes, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Hash of the bytes low..high from the anchor on."""
+    data = np.frombuffer(before + after, np.uint8)
+    a, b = low + len(before), high + len(before)
+    return context_hashes(data, a, a, b).view(np.int64)
+
+
+def window_batch(keys: list, low: np.ndarray, h: np.ndarray) -> pa.RecordBatch:
+    columns = [pa.array(np.full(len(low), k, np.int64)) for k in keys]
+    return pa.RecordBatch.from_arrays([*columns, pa.array(low.astype(np.int32)), pa.array(h)], ["anchor", "context", "n", "low", "hash"])
+
+
+def strides(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hash of the bytes that all windows of a stride share, for anchors with too many contexts to be compared in one task."""
+    for batch in batches:
+        for r in batch.to_pylist():
+            before, after = r["before"], r["after"]
+            grid = np.arange(-REACH, 1, STRIDE)
+            # a stride counts if any of its windows is whole
+            grid = grid[(grid + STRIDE > -len(before)) & (grid + SPAN <= len(after))]
+            if len(grid):
+                h = hashed(before, after, grid + STRIDE - 1, grid + SPAN)
+                yield window_batch([r["anchor"], r["context"], r["n"]], grid, h)
+
+
 def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Hash of each window of a context, for anchors with too many contexts to be compared in one task."""
+    """Hash of each window of the strides ``lows``."""
     for batch in batches:
-        for i in range(batch.num_rows):
-            before, after = batch.column("before")[i].as_py(), batch.column("after")[i].as_py()
-            data = np.frombuffer(before + after, np.uint8)
-            starts = np.arange(len(data) - SPAN + 1)
-            if not len(starts):
-                continue
-            h = context_hashes(data, starts, starts, starts + SPAN).view(np.int64)
-            size = len(starts)
-            one = [np.full(size, batch.column(k)[i].as_py()) for k in ("anchor", "context", "n")]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (*one, (starts - len(before)).astype(np.int32), h)], ["anchor", "context", "n", "low", "hash"])
+        for r in batch.to_pylist():
+            before, after = r["before"], r["after"]
+            starts = (np.array(r["lows"])[:, None] + np.arange(STRIDE)[None, :]).ravel()
+            starts = starts[(starts >= -len(before)) & (starts <= 0) & (starts + SPAN <= len(after))]
+            if len(starts):
+                yield window_batch([r["anchor"], r["context"], r["n"]], starts, hashed(before, after, starts, starts + SPAN))
 
 
 def merged(stretches: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -294,7 +327,7 @@ def merged(stretches: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in sliced(batches):
         out: list[tuple] = []
         texts, lists, ids = batch.column("text"), batch.column("covered"), batch.column("doc_id")
         for i in range(batch.num_rows):
@@ -333,9 +366,15 @@ def repeated(placed: DataFrame, most: int = MOST) -> DataFrame:
         texts.join(wanted, [FILE, ROW]).select("text", "wanted").mapInArrow(fetch, "anchor long, context long, n long, many boolean, before binary, after binary")
     )
     few = contexts.filter("not many").repartition("anchor").sortWithinPartitions("anchor", "context").mapInArrow(compare, COVER)
-    each = contexts.filter("many").mapInArrow(windows, "anchor long, context long, n long, low int, hash long")
-    twice = each.groupBy("anchor", "low", "hash").agg(F.sum("n").alias("all")).filter("all > 1").drop("all")
-    hot = each.join(twice, ["anchor", "low", "hash"]).select("anchor", "context", "low", (F.col("low") + SPAN).alias("high"))
+
+    def again_in(hashes: DataFrame) -> DataFrame:
+        twice = hashes.groupBy("anchor", "low", "hash").agg(F.sum("n").alias("all")).filter("all > 1").drop("all")
+        return hashes.join(twice, ["anchor", "low", "hash"]).select("anchor", "context", "low")
+
+    crowded = contexts.filter("many")
+    alive = again_in(crowded.mapInArrow(strides, HASHES)).groupBy("anchor", "context").agg(F.collect_list("low").alias("lows"))
+    each = stage(crowded.join(alive, ["anchor", "context"]).select("anchor", "context", "n", "before", "after", "lows").mapInArrow(windows, HASHES))
+    hot = again_in(each).withColumn("high", F.col("low") + SPAN)
     stretches = few.unionByName(hot).groupBy("anchor", "context").agg(F.collect_list(F.struct("low", "high")).alias("parts"))
     whole = held.filter("not mixed").select(FILE, ROW, F.array(F.struct((F.col("pos") - REACH).alias("low"), (F.col("pos") + SPAN).alias("high"))).alias("parts"))
     partly = held.filter("mixed").join(stretches, ["anchor", "context"]).select(
