@@ -11,8 +11,8 @@ alone: two equal strings of ``SPAN`` bytes have equal anchors at equal places. S
 3. Contexts of one anchor are compared by a suffix array, built by linear grouping (``suffix.py``). Its symbols are not bytes but
    the blocks between the places where any two contexts part, so that a context is a few symbols, and its repeated
    runs are whole blocks. Runs of ``SPAN`` bytes or more are covered. An anchor with more than ``MOST`` different contexts
-   does not come to one task: the bytes that ``STRIDE`` neighbouring windows share are hashed and counted, and where they
-   repeat, the windows one by one.
+   does not come to one task: the bytes that ``STRIDE`` neighbouring windows share, and all that they cover, are hashed and
+   counted. If the former are unique, none of the windows repeats; if the latter repeat, all do; else they are counted one by one.
 4. Covered stretches go back to all occurrences of their context, and are cut out of the texts, once, at the end.
 
 Defined results: a null text is empty; texts shorter than ``SPAN`` bytes lose nothing; overlapping occurrences, also
@@ -36,7 +36,7 @@ from recordloom.llm.suffix import common, suffix_array
 SPAN = 200
 GRAM = 32
 REACH = SPAN - GRAM  # bytes that a window can go beyond its anchor on either side
-MOST = 2048
+MOST = 256
 #: Symbols of contexts that are sorted together.
 BATCH_SYMBOLS = 50_000
 
@@ -181,8 +181,8 @@ class Sorter:
         """Contexts (hash, occurrences, before, from the anchor on) of one anchor."""
         left = [c[2][::-1] for c in contexts]
         right = [c[3] for c in contexts]
-        far_left, cuts_left = reaches(left)
-        far_right, cuts_right = reaches(right)
+        far_left, _ = reaches(left)
+        far_right, _ = reaches(right)
         seen: dict[tuple[bytes, bytes], int] = {}
         trimmed: list[int | None] = []
         for (context, n, before, after), i in zip(contexts, range(len(contexts)), strict=True):
@@ -203,6 +203,9 @@ class Sorter:
                     trimmed[-1] = len(self.keys) - 1
         if len(seen) < 2:
             return
+        # only contexts that agree with another over a window are sorted, and only where these part
+        _, cuts_left = reaches([a for a, _ in seen])
+        _, cuts_right = reaches([b for _, b in seen])
         members: dict[tuple[bytes, bytes], int] = {}
         for i, key in enumerate(trimmed):
             if key is None:
@@ -211,8 +214,8 @@ class Sorter:
             if (a, b) in members:
                 continue
             members[a, b] = key
-            lefts = [0, *[c for c in cuts_left if c <= len(a)]]
-            rights = [0, *[c for c in cuts_right if c <= len(b)]]
+            lefts = [*sorted({0, len(a), *[c for c in cuts_left if c < len(a)]})]
+            rights = [*sorted({0, len(b), *[c for c in cuts_right if c < len(b)]})]
             blocks = [(-hi, -lo, a[lo:hi]) for lo, hi in zip(lefts[:-1], lefts[1:], strict=True)][::-1]
             blocks += [(lo, hi, b[lo:hi]) for lo, hi in zip(rights[:-1], rights[1:], strict=True)]
             for lo, hi, text in blocks:
@@ -248,6 +251,7 @@ class Sorter:
 
 
 HASHES = "anchor long, context long, n long, low int, hash long"
+STRIDES = f"{HASHES}, first int, end int, whole long"
 COVER = "anchor long, context long, low int, high int"
 
 
@@ -287,22 +291,22 @@ def hashed(before: bytes, after: bytes, low: np.ndarray, high: np.ndarray) -> np
     return context_hashes(data, a, a, b).view(np.int64)
 
 
-def window_batch(keys: list, low: np.ndarray, h: np.ndarray) -> pa.RecordBatch:
-    columns = [pa.array(np.full(len(low), k, np.int64)) for k in keys]
-    return pa.RecordBatch.from_arrays([*columns, pa.array(low.astype(np.int32)), pa.array(h)], ["anchor", "context", "n", "low", "hash"])
-
-
 def strides(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Hash of the bytes that all windows of a stride share, for anchors with too many contexts to be compared in one task."""
+    """What the windows of a stride share (``hash``) and cover (``whole``, from ``first`` to ``end``)."""
     for batch in batches:
         for r in batch.to_pylist():
             before, after = r["before"], r["after"]
             grid = np.arange(-REACH, 1, STRIDE)
             # a stride counts if any of its windows is whole
-            grid = grid[(grid + STRIDE > -len(before)) & (grid + SPAN <= len(after))]
-            if len(grid):
-                h = hashed(before, after, grid + STRIDE - 1, grid + SPAN)
-                yield window_batch([r["anchor"], r["context"], r["n"]], grid, h)
+            grid = grid[(grid + STRIDE > -len(before)) & (np.maximum(grid, -len(before)) + SPAN <= len(after))]
+            if not len(grid):
+                continue
+            first, end = np.maximum(grid, -len(before)), np.minimum(grid + STRIDE - 1 + SPAN, len(after))
+            shared, whole = hashed(before, after, grid + STRIDE - 1, grid + SPAN), hashed(before, after, first, end)
+            # the shared bytes end with the text at the latest
+            columns = [np.full(len(grid), r[k], np.int64) for k in ("anchor", "context", "n")]
+            columns += [grid.astype(np.int32), shared, first.astype(np.int32), end.astype(np.int32), whole ^ mix((end - grid).astype(U)).view(np.int64)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["anchor", "context", "n", "low", "hash", "first", "end", "whole"])
 
 
 def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -313,7 +317,9 @@ def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             starts = (np.array(r["lows"])[:, None] + np.arange(STRIDE)[None, :]).ravel()
             starts = starts[(starts >= -len(before)) & (starts <= 0) & (starts + SPAN <= len(after))]
             if len(starts):
-                yield window_batch([r["anchor"], r["context"], r["n"]], starts, hashed(before, after, starts, starts + SPAN))
+                h = hashed(before, after, starts, starts + SPAN)
+                columns = [np.full(len(starts), r[k], np.int64) for k in ("anchor", "context", "n")]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (*columns, starts.astype(np.int32), h)], ["anchor", "context", "n", "low", "hash"])
 
 
 def merged(stretches: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -326,20 +332,29 @@ def merged(stretches: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def joined(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Stretches without overlap and not touching, in order."""
+    order = np.argsort(low, kind="stable")
+    low, high = low[order], np.maximum.accumulate(high[order])
+    first = np.ones(len(low), bool)
+    first[1:] = low[1:] > high[:-1]
+    return low[first], high[np.flatnonzero(np.append(first[1:], True))]
+
+
 def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in sliced(batches):
         out: list[tuple] = []
-        texts, lists, ids = batch.column("text"), batch.column("covered"), batch.column("doc_id")
+        texts, ids, covered = batch.column("text"), batch.column("doc_id"), batch.column("covered")
+        parts = covered.flatten()
+        lows, highs = (parts.field(k).to_numpy() for k in ("low", "high"))
+        ends = np.cumsum(covered.value_lengths().fill_null(0).to_numpy())
         for i in range(batch.num_rows):
             data = (texts[i].as_py() or "").encode()
-            spans = merged([(c["low"], c["high"]) for c in lists[i].as_py() or []])
-            kept, at = [], 0
-            for lo, hi in spans:
-                kept.append(data[at:lo])
-                at = hi
-            kept.append(data[at:])
-            rest = b"".join(kept)
-            out.append((ids[i].as_py(), len(data), len(data) - len(rest), len(spans), hashlib.sha256(rest).hexdigest(), rest))
+            here = slice(ends[i - 1] if i else 0, ends[i])
+            low, high = joined(lows[here], highs[here]) if here.stop > here.start else (lows[:0], highs[:0])
+            edges = zip([0, *high.tolist()], [*low.tolist(), len(data)], strict=True)
+            rest = b"".join(data[a:b] for a, b in edges)
+            out.append((ids[i].as_py(), len(data), len(data) - len(rest), len(low), hashlib.sha256(rest).hexdigest(), rest))
         columns = list(zip(*out, strict=True)) if out else [[]] * 6
         types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
         yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types, strict=True)], NAMES)
@@ -353,7 +368,8 @@ def repeated(placed: DataFrame, most: int = MOST) -> DataFrame:
     """(place, covered): the stretches of each text that repeat, as byte offsets; texts without any are left out."""
     texts = placed.select(FILE, ROW, "text").filter(F.octet_length("text") >= SPAN)
     found = texts.mapInArrow(occurrences, OCCURRENCE)
-    again = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("all"), F.min("context").alias("c0"), F.max("context").alias("c1")).filter("all > 1")
+    # staged, so that the join below can split the occurrences of a frequent anchor
+    again = stage(found.groupBy("anchor").agg(F.count(F.lit(1)).alias("all"), F.min("context").alias("c0"), F.max("context").alias("c1")).filter("all > 1"))
     held = stage(found.join(again.select("anchor", (F.col("c0") != F.col("c1")).alias("mixed")), "anchor"))
     kinds = held.filter("mixed").groupBy("anchor", "context").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(FILE, ROW, "pos")).alias("at"))
     kinds = stage(kinds)
@@ -367,14 +383,24 @@ def repeated(placed: DataFrame, most: int = MOST) -> DataFrame:
     )
     few = contexts.filter("not many").repartition("anchor").sortWithinPartitions("anchor", "context").mapInArrow(compare, COVER)
 
-    def again_in(hashes: DataFrame) -> DataFrame:
-        twice = hashes.groupBy("anchor", "low", "hash").agg(F.sum("n").alias("all")).filter("all > 1").drop("all")
-        return hashes.join(twice, ["anchor", "low", "hash"]).select("anchor", "context", "low")
+    def again_in(hashes: DataFrame, name: str) -> DataFrame:
+        found = hashes.groupBy("anchor", "low", name).agg(F.sum("n").alias("all"), F.min("context").alias("one"))
+        return found.filter("all > 1").drop("all")
 
     crowded = contexts.filter("many")
-    alive = again_in(crowded.mapInArrow(strides, HASHES)).groupBy("anchor", "context").agg(F.collect_list("low").alias("lows"))
-    each = stage(crowded.join(alive, ["anchor", "context"]).select("anchor", "context", "n", "before", "after", "lows").mapInArrow(windows, HASHES))
-    hot = again_in(each).withColumn("high", F.col("low") + SPAN)
+    tried = stage(crowded.mapInArrow(strides, STRIDES))
+    alive = stage(tried.join(again_in(tried, "hash").drop("one"), ["anchor", "low", "hash"]))
+    judged = alive.join(again_in(alive, "whole").withColumn("done", F.lit(True)), ["anchor", "low", "whole"], "left")
+    done = judged.filter("done").select("anchor", "context", F.col("first").alias("low"), F.col("end").alias("high"))
+    # of contexts with the same whole one goes on, since windows of others may equal its windows
+    open_ = judged.filter("done is null or context = one").groupBy("anchor", "context").agg(F.collect_list("low").alias("lows"))
+    each = stage(crowded.join(open_, ["anchor", "context"]).select("anchor", "context", "n", "before", "after", "lows").mapInArrow(windows, HASHES))
+    found_ = each.join(again_in(each, "hash").drop("one"), ["anchor", "low", "hash"]).groupBy("anchor", "context").agg(F.sort_array(F.collect_list("low")).alias("lows"))
+    # neighbouring windows become one stretch
+    begins = F.filter("lows", lambda x, i: (i == 0) | (F.get(F.col("lows"), i - 1) != x - 1))
+    ends = F.filter("lows", lambda x, i: (i == F.size("lows") - 1) | (F.get(F.col("lows"), i + 1) != x + 1))
+    joined = F.zip_with(begins, ends, lambda a, b: F.struct(a.alias("low"), (b + SPAN).alias("high")))
+    hot = done.unionByName(found_.select("anchor", "context", F.inline(joined)))
     stretches = few.unionByName(hot).groupBy("anchor", "context").agg(F.collect_list(F.struct("low", "high")).alias("parts"))
     whole = held.filter("not mixed").select(FILE, ROW, F.array(F.struct((F.col("pos") - REACH).alias("low"), (F.col("pos") + SPAN).alias("high"))).alias("parts"))
     partly = held.filter("mixed").join(stretches, ["anchor", "context"]).select(
