@@ -44,20 +44,20 @@ def hypergeometric(u: Column, population: Column, marked: Column, drawn: Column)
     """
 
     def draw(s: Column) -> Column:
-        big, good, n, chance = s["N"].cast("double"), s["K"].cast("double"), s["n"].cast("double"), s["u"]
+        big, good, n, chance = s["whole"].cast("double"), s["good"].cast("double"), s["drawn"].cast("double"), s["u"]
         low, high = F.greatest(F.lit(0.0), n - (big - good)), F.least(n, good)
         mode = F.least(high, F.greatest(low, F.floor((n + 1) * (good + 1) / (big + 2)).cast("double")))
         spread = F.sqrt(n * (good / big) * (1 - good / big) * (big - n) / F.greatest(F.lit(1.0), big - 1))
         reach = F.ceil(12 * spread + 20).cast("double")
         bounds = F.struct(
             mode.alias("mode"), F.greatest(low, mode - reach).alias("a"), F.least(high, mode + reach).alias("b"),
-            big.alias("N"), good.alias("K"), n.alias("n"), chance.alias("u"),
+            big.alias("whole"), good.alias("good"), n.alias("drawn"), chance.alias("u"),
         )
         return F.when((big <= 0) | (n <= 0) | (good <= 0), F.lit(0)).otherwise(let(bounds, invert)).cast("long")
 
     def invert(s: Column) -> Column:
         def rise(k: Column) -> Column:
-            return (s["K"] - k) * (s["n"] - k) / ((k + 1) * (s["N"] - s["K"] - s["n"] + k + 1))
+            return (s["good"] - k) * (s["drawn"] - k) / ((k + 1) * (s["whole"] - s["good"] - s["drawn"] + k + 1))
 
         def ups() -> Column:
             return F.when(s["b"] > s["mode"], F.sequence(s["mode"].cast("long"), (s["b"] - 1).cast("long"))).otherwise(
@@ -104,7 +104,7 @@ def hypergeometric(u: Column, population: Column, marked: Column, drawn: Column)
 
         return let(both, find)
 
-    return let(F.struct(population.alias("N"), marked.alias("K"), drawn.alias("n"), u.alias("u")), draw)
+    return let(F.struct(population.alias("whole"), marked.alias("good"), drawn.alias("drawn"), u.alias("u")), draw)
 
 
 def split_counts(counts: Column, drawn: Column, total: Column, node: Column, seed: int) -> Column:
@@ -112,13 +112,13 @@ def split_counts(counts: Column, drawn: Column, total: Column, node: Column, see
 
     def take(a: Column, k: Column) -> Column:
         chance = uniform(F.lit(seed), node, F.size(a["got"]))
-        got = hypergeometric(chance, a["N"], k, a["n"])
+        got = hypergeometric(chance, a["whole"], k, a["drawn"])
         return let(
             got,
-            lambda g: F.struct(F.concat(a["got"], F.array(g)).alias("got"), (a["n"] - g).alias("n"), (a["N"] - k).alias("N")),
+            lambda g: F.struct(F.concat(a["got"], F.array(g)).alias("got"), (a["drawn"] - g).alias("drawn"), (a["whole"] - k).alias("whole")),
         )
 
-    start = F.struct(F.array().cast("array<bigint>").alias("got"), drawn.alias("n"), total.alias("N"))
+    start = F.struct(F.array().cast("array<bigint>").alias("got"), drawn.alias("drawn"), total.alias("whole"))
     return F.aggregate(counts, start, take)["got"]
 
 
