@@ -7,7 +7,7 @@ iterations find the multipliers of all sources together: each is one aggregation
 (source, size, documents), which is aggregated once before and is all that the iterations read.
 
 Rates become copies from the largest size to the smallest, each size making up for what rounding left so far; a
-source therefore misses its target by about half of its smallest documents. Documents of one size share the
+source therefore misses its target by about half of its smallest documents, unless a large document is more than they can make up for. Documents of one size share the
 copies by a hash of their key. A group of equal size with very many documents is dealt in salted parts, with
 the share of each part rounded on its own.
 
@@ -121,7 +121,8 @@ def mix(docs: DataFrame, key: list[str], weights=WEIGHTS, share: float = SHARE,
     )
     state = solve(histogram, source_targets(sources, weights, share, most), most)
     r = F.when(F.col("target") <= 0, 0.0).when(F.col("target") >= F.col("source_size") * most, float(most)).otherwise(
-        rate(F.col("_l"), F.col("size") / F.col("_scale"), most)
+        # sums of doubles depend on their order in the last digits; copies must not
+        rate(F.round("_l", 6), F.col("size") / F.col("_scale"), most)
     )
     rated = histogram.join(state, KEY).withColumn("rate", r)
     groups = rated.groupBy(*KEY).agg(
