@@ -86,7 +86,9 @@ def parse_dmy(c: Column | str) -> Column:
 def parse_amount(c: Column | str) -> Column:
     """``(1,234.50)`` to -1234.5: separators dropped, parentheses mean negative, bad text is NULL."""
     text = F.trim(F.regexp_replace(_col(c).cast("string"), ",", ""))
-    return F.regexp_replace(text, r"^\((.*)\)$", "-$1").try_cast("double")
+    signed = F.regexp_replace(text, r"^\((.*)\)$", "-$1")
+    # a cast alone would also take type suffixes: the account code 12D is no amount
+    return F.when(signed.rlike(r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"), signed.try_cast("double"))
 
 
 def bool_text(c: Column | str) -> Column:

@@ -139,7 +139,7 @@ def reconcile_snapshot(
     """Keys that were there before and are missing now: the hard deletes.
 
     Ids of different type are compared as text. With ``complete`` (scope columns and a ``complete`` flag, see
-    ``snapshot_complete``) only scopes whose list was read to its end are compared; ``within``
+    ``snapshot_complete``) only scopes whose list was read to its end are compared; without a scope, all lists must have been. ``within``
     restricts the comparison to what the read could have returned at all, such as its window.
     """
     before = previous.filter(within) if within is not None else previous
@@ -148,7 +148,9 @@ def reconcile_snapshot(
         if scope:
             before = before.join(whole.select(*scope), list(scope), "left_semi")
         else:
-            before = before.filter(whole.exists())
+            # one list that was not read to its end, or none at all: nothing may count as missing
+            short = complete.filter(~F.coalesce(F.col("complete"), F.lit(False)))
+            before = before.filter(whole.exists() & ~short.exists())
     names = list(dict.fromkeys([*scope, *key]))
 
     same = {c for c in names if before.schema[c].dataType == current.schema[c].dataType}
@@ -179,7 +181,7 @@ def reject_log(rejects: DataFrame, table: str, columns: Iterable[str] | None = N
 
     def shown(c: str) -> Column:
         value = F.to_json(at(c)) if isinstance(types[c], (T.StructType, T.ArrayType, T.MapType, T.VariantType)) else at(c).cast("string")
-        return F.concat(F.lit(f"{c}:{types[c].simpleString()}="), F.coalesce(F.substring(value, 1, 80), F.lit("null")))
+        return F.concat(F.lit(f"{c}:{types[c].simpleString()}="), F.coalesce(value, F.lit("null")))
 
     return rejects.select(
         F.lit(table).alias("table"), F.col("reject_reason").alias("reason"), F.concat_ws(", ", *[shown(c) for c in names]).alias("fields")

@@ -124,9 +124,9 @@ def scope_filter(df: DataFrame, column: str, allowed: Sequence | DataFrame) -> D
     """Rows of the allowed scopes; rows without a scope stay, and an empty list allows all."""
     blank = F.col(column).isNull() | (F.col(column).cast("string") == "")
     if isinstance(allowed, DataFrame):
-        names = allowed.select(F.col(allowed.columns[0]).cast("string").alias("_scope")).distinct()
-        matched = df.join(names, F.col(column).cast("string") == F.col("_scope"), "left_semi")
-        return matched.unionByName(df.filter(blank))
+        names = allowed.select(F.col(allowed.columns[0]).cast("string").alias("_scope")).distinct().withColumn("_allowed", F.lit(True))
+        flagged = df.join(names, F.col(column).cast("string") == F.col("_scope"), "left")
+        return flagged.filter(blank | F.col("_allowed") | ~allowed.exists()).drop("_scope", "_allowed")
     if not allowed:
         return df
     return df.filter(blank | F.col(column).cast("string").isin(*[str(a) for a in allowed]))

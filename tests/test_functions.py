@@ -131,3 +131,8 @@ def test_relative_window_includes_both_ends(spark):
     day = F.lit(dt.date(2024, 1, 10))
     for offset, inside in ((-4, False), (-3, True), (2, True), (3, False)):
         assert one(spark, R.relative_window(F.date_add(day, offset), day, 3, 2)) is inside
+
+
+def test_amounts_take_no_type_suffix(spark):
+    rows = spark.createDataFrame([("12D",), ("7f",), ("(1,234.50)",), (" .5 ",), ("1e3",), ("x",)], "v string")
+    assert [r[0] for r in rows.select(R.parse_amount("v")).collect()] == [None, None, -1234.5, 0.5, 1000.0, None]

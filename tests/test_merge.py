@@ -203,3 +203,16 @@ def test_empty_first_load_makes_an_empty_table(spark, store):
     assert store.read("t").count() == 0 and store.state("t") == {"cursor": "0"}
     M.commit(store, SPEC, delta(spark, [(1, "a", False, 1)]), ["seq"])
     assert store.read("t").count() == 1
+
+
+def test_snapshot_of_several_lists_needs_all_complete(spark):
+    before = spark.createDataFrame([(1,), (2,), (3,)], "id long")
+    now = spark.createDataFrame([(1,)], "id long")
+    for flags, gone in (([True, False], []), ([True, None], []), ([], []), ([True, True], [2, 3])):
+        lists = spark.createDataFrame([(f,) for f in flags], "complete boolean")
+        assert sorted(r["id"] for r in M.reconcile_snapshot(before, now, ["id"], complete=lists).collect()) == gone
+
+
+def test_rejected_values_stay_whole(spark):
+    rows = spark.createDataFrame([("x" * 200, "no key")], "v string, reject_reason string")
+    assert "x" * 200 in M.reject_log(rows, "t").first()["fields"]

@@ -75,3 +75,10 @@ def test_profile(spark, rows_of):
     assert P.distinct_dims(df, ["s", "n"]).first().asDict() == {"n_s": 2, "n_n": 3}
     assert rows_of(P.max_value(df, "n", ["s"])) == [("a", 2), ("b", 3)]
     assert [r["n"] for r in P.report_sample(df, ["n"], [df.n.desc()], 1, "s = 'a'").collect()] == [2]
+
+
+def test_scope_table_empty_allows_all_and_blank_is_not_doubled(spark):
+    df = spark.createDataFrame([("a",), ("b",), ("",), (None,)], "s string")
+    none, some = spark.createDataFrame([], "k string"), spark.createDataFrame([("a",), ("",)], "k string")
+    assert R.scope_filter(df, "s", none).count() == 4
+    assert sorted(str(r["s"]) for r in R.scope_filter(df, "s", some).collect()) == ["", "None", "a"]
