@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordloom.functions.scalars import all_not_null
+from recordloom.spec import quote
 
 
 def hash_key(columns: Sequence[Column | str], prefix: str = "gen-") -> Column:
@@ -33,15 +33,15 @@ def composite_key(text: str) -> list[str]:
 
 
 def require_key(df: DataFrame, pk: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Split into rows that have all key columns and rejects that lack one (empty text counts as lacking)."""
-    known = [F.nullif(F.col(c).cast("string"), F.lit("")) for c in pk]
+    """Split into rows that have all key columns and rejects that lack one.
+
+    Empty text counts as lacking, and so does a column that the whole batch is without.
+    """
+    there = set(df.columns)
+    known = [F.nullif(F.col(quote(c)).cast("string"), F.lit("")) if c in there else F.lit(None).cast("string") for c in pk]
     has_all = all_not_null(known)
     missing = F.concat_ws(", ", *[F.when(k.isNull(), F.lit(c)) for k, c in zip(known, pk, strict=True)])
     return (
         df.filter(has_all),
         df.filter(~has_all).withColumn("reject_reason", F.concat(F.lit("missing key: "), missing)),
     )
-
-
-def same_key(a: DataFrame, b: DataFrame, pk: Sequence[str]) -> Column:
-    return reduce(lambda x, y: x & y, [a[c] == b[c] for c in pk])

@@ -34,6 +34,13 @@ def latest_per_key(df: DataFrame, pk: Sequence[str], seq: Sequence[str]) -> Data
     return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
+def _once_per_key(df: DataFrame, pk: Sequence[str]) -> DataFrame:
+    """The rows, each key at most once, or a failure that names the key columns."""
+    second = F.row_number().over(Window.partitionBy(*pk).orderBy(*pk)) > 1
+    failure = F.raise_error(F.lit(f"two rows of one key ({', '.join(pk)}) and no order between them")).cast("boolean")
+    return df.withColumn("_second", second).filter(F.when(F.col("_second"), failure).otherwise(F.lit(True))).drop("_second")
+
+
 def dedupe_run(df: DataFrame, pk: Sequence[str], seq: Sequence[str]) -> DataFrame:
     """The first row met per key in a run."""
     w = Window.partitionBy(*pk).orderBy(*[F.col(c).asc_nulls_last() for c in seq])
@@ -41,8 +48,11 @@ def dedupe_run(df: DataFrame, pk: Sequence[str], seq: Sequence[str]) -> DataFram
 
 
 def upsert(target: DataFrame, delta: DataFrame, pk: Sequence[str], seq: Sequence[str] = ()) -> DataFrame:
-    """Target with the delta's latest rows put in by key. The delta may have new columns and lack old ones."""
-    rows = latest_per_key(delta, pk, seq) if seq else delta
+    """Target with the delta's latest rows put in by key. The delta may have new columns and lack old ones.
+
+    Without ``seq`` the delta must hold each key once; a key that it repeats fails the job, since nothing says which row is later.
+    """
+    rows = latest_per_key(delta, pk, seq) if seq else _once_per_key(delta, pk)
     rows = rows.drop(*[c for c in seq if c not in target.columns and c not in pk])
     kept = target.join(rows.select(*pk), list(pk), "left_anti")
     return kept.unionByName(rows, allowMissingColumns=True)

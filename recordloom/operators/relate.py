@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from itertools import count
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -78,20 +79,21 @@ def recover_orphans(
     refs: Sequence[Reference],
     ids: Mapping[str, str],
     resolved: Mapping[str, DataFrame] | None = None,
-    max_iterations: int = 3,
+    max_iterations: int | None = None,
 ) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
-    """Complete the target tables from the detail source, at most ``max_iterations`` rounds.
+    """Complete the target tables from the detail source, until a round recovers nothing.
 
     Each round takes the ids that are referenced, not present and not resolved before, and
     looks them up by an equi-join. What was found may refer to further records, hence the
-    rounds; they end when one recovers nothing. Returns the recovered rows and the resolved
-    ids (found or not) per target, the latter to be kept for the next run.
+    rounds. Returns the recovered rows and the resolved ids (found or not) per target, the latter to be kept for
+    the next run. A caller that bounds the rounds by ``max_iterations`` may stop a longer chain early; what is still missing
+    then is what ``orphan_report`` counts on the completed tables.
     """
     targets = [t for t in details if any(r.target == t for r in refs)]
     now = dict(tables)
     done = dict(resolved or {})
     recovered: dict[str, DataFrame] = {}
-    for _ in range(max_iterations):
+    for _ in count() if max_iterations is None else range(max_iterations):
         found_any = False
         for target in targets:
             key = ids[target]

@@ -32,7 +32,8 @@ from recordloom.operators.flatten import (
     names_of,
 )
 from recordloom.operators.keys import hash_key, parent_index_key
-from recordloom.spec import struct_field
+from recordloom.spec import struct_field, variant_schema
+from recordloom.store import cut_lineage
 
 
 def _element(df: DataFrame, array: str) -> T.DataType | None:
@@ -303,7 +304,10 @@ def tagged_union(
     elements = {n: _element(df, n) for n in arrays}
     present = [n for n, t in elements.items() if isinstance(t, T.StructType)]
     if not present:
-        raise ValueError(f"no array of objects among {list(arrays)}")
+        # no record of the batch has any of them: no rows, but the columns that are known
+        text = F.lit(None).cast("string")
+        made = [text.alias(tag), *([text.alias(position)] if position else [])]
+        return df.filter(F.lit(False)).select(*[at(c) for c in carry], *made)
     common = reduce(merge_types, [elements[n] for n in present])
     fields = {f.name: f.dataType for f in common.fields}
 
@@ -528,22 +532,32 @@ def tag_associations(df: DataFrame, entity_type: str, entity_id: str, scope: str
 
 
 def tree_depth(df: DataFrame, rows: Column, child_key: str) -> int:
-    """Levels of the deepest tree in the batch, from the merged schema: one pass, one text to the driver."""
-    merged = df.agg(F.schema_of_variant_agg(rows.cast("variant"))).first()[0]
-    level = _variant_type(merged)
+    """Levels of the deepest tree in the batch, from the merged schema: one pass, one text to the driver.
+
+    Where some records hold something else than lists the schema does not tell; levels are then counted one by one.
+    """
+    level = variant_schema(df.agg(F.schema_of_variant_agg(rows.cast("variant"))).first()[0])
     depth = 0
     while isinstance(level, T.ArrayType) and isinstance(level.elementType, T.StructType):
         depth += 1
         below = next((f for f in level.elementType.fields if f.name == child_key), None)
         if below is not None and isinstance(below.dataType, T.StringType):
-            return depth + 8  # lists in some records, something else in others: leave room
+            return _counted_depth(df, rows, child_key)
         level = below.dataType if below is not None else None
     return max(depth, 1)
 
 
-def _variant_type(text: str) -> T.DataType:
-    ddl = text.replace("OBJECT<", "STRUCT<").replace("VOID", "STRING").replace("VARIANT", "STRING")
-    return T._parse_datatype_string(ddl)
+def _counted_depth(df: DataFrame, rows: Column, child_key: str) -> int:
+    """Levels until no node has children: one job per level."""
+
+    def nodes(lists: DataFrame, children: Column) -> DataFrame:
+        return cut_lineage(lists.select(F.explode(children).alias("node")))
+
+    level, depth = nodes(df, F.try_variant_get(rows.cast("variant"), "$", "array<variant>")), 0
+    while not level.isEmpty():
+        depth += 1
+        level = nodes(level, F.try_variant_get("node", f"$['{child_key}']", "array<variant>"))
+    return max(depth, 1)
 
 
 def _too_deep(children: Column, result: Column) -> Column:
@@ -629,7 +643,8 @@ def flatten_report(df: DataFrame, keys: Sequence[str], rows: str = "Rows", depth
 
     def unroll(level_rows: Column, level: int, group: Column, outer: Column) -> Column:
         def title(r: Column) -> Column:
-            return F.when(r["RowType"] == "Section", F.coalesce(F.nullif(r["Title"], F.lit("")), outer)).otherwise(outer)
+            # the outer title is named once, so that the expression grows with the depth, not with its powers
+            return F.coalesce(F.when(r["RowType"] == "Section", F.nullif(r["Title"], F.lit(""))), outer)
 
         def own(r: Column, i: Column) -> Column:
             entry = F.struct(

@@ -51,7 +51,6 @@ SPECS: dict[str, TableSpec] = parse_tables(
         "attendance_regularization", ("record_id",), policy=Policy.WINDOW, cursor=("start_date",), window_days=180
     ),
 }
-ANNOUNCEMENT_CAP = 50 * 10
 RECORD_IDS = ("recordId", "Zoho_ID", "ZohoID", "id", "ID", "EntityId")
 
 # Columns by table, taken from the field of the same name in camel case.

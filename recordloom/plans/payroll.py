@@ -29,12 +29,12 @@ payroll_payment_method: employeeID
 payroll_pay_run: payRunID
 payroll_payslip: paySlipID
 payroll_payslip_earning_line: paySlipID, earningsLineID
-payroll_payslip_deduction_line: paySlipID, deductionTypeID
-payroll_payslip_leave_accrual_line: paySlipID, leaveTypeID
-payroll_payslip_reimbursement_line: paySlipID, reimbursementTypeID
-payroll_payslip_benefit_line: paySlipID, benefitTypeID
+payroll_payslip_deduction_line: paySlipID, deductionLineID
+payroll_payslip_leave_accrual_line: paySlipID, leaveAccrualLineID
+payroll_payslip_reimbursement_line: paySlipID, reimbursementLineID
+payroll_payslip_benefit_line: paySlipID, benefitLineID
 payroll_payslip_tax_line: paySlipID, taxLineID
-payroll_payslip_court_order_line: paySlipID, courtOrderTypeID
+payroll_payslip_court_order_line: paySlipID, courtOrderLineID
 payroll_payslip_payment_line: paySlipID, paymentLineID
 payroll_timesheet: timesheetID
 payroll_timesheet_line: timesheetID, timesheetLineID

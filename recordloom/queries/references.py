@@ -192,17 +192,21 @@ def id_set_ops(spark, sf):
 
 # ---- counts and reports ---------------------------------------------------------------------
 
+ALL_TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages",
+    "benchmark", "labels", "conversations",
+)
+
 
 @query(
     "table_counts",
     " UNION ALL ".join(
         f"SELECT '{t}' AS \"table\", COUNT(*) AS rows FROM {t}"
-        for t in ("region", "nation", "customer", "orders", "lineitem", "events", "documents", "benchmark")
+        for t in ALL_TABLES
     ),
 )
 def counts(spark, sf):
-    names = ("region", "nation", "customer", "orders", "lineitem", "events", "documents", "benchmark")
-    return table_counts({n: table(spark, sf, n) for n in names})
+    return table_counts({n: table(spark, sf, n) for n in ALL_TABLES})
 
 
 @query(

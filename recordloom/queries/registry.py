@@ -40,18 +40,16 @@ def nest(
 ) -> DataFrame:
     """Rows of a key to documents with an array, the way an interface pages a long list.
 
-    The largest key decides into how many documents a key is split, so no array grows without
-    bound however many rows one key holds. The split is by file and row number, which spreads
-    equal rows as well and is the same again when a task is repeated.
+    Each key is split into as many documents as its own rows need, so no array grows without bound and small keys
+    stay whole. The split is by file and row number, which spreads equal rows as well and is the same again when a
+    task is repeated. Rows per key are counted before the shuffle; the join that brings them back can be split where a key is hot.
     """
-    largest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-    parts = -(-largest // per_document)
-    group = list(keys)
-    rows = df
-    if parts > 1:
-        place = F.xxhash64("_metadata.file_path", "_metadata.row_index")
-        rows = df.withColumn("_part", F.pmod(place, F.lit(parts)))
-        group.append("_part")
+    place = F.xxhash64("_metadata.file_path", "_metadata.row_index")
+    held = df.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(F.count("*").alias("_held"))
+    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
+    rows = df.withColumn("_place", place).join(held, same)
+    rows = rows.withColumn("_part", F.pmod("_place", F.ceil(F.col("_held") / per_document)))
+    group = [*keys, "_part"]
     # collecting lists does not shrink anything, so rows are shuffled once and grouped after it
     return rows.repartition(*[F.col(c) for c in group]).groupBy(*group).agg(F.collect_list(element).alias(name)).drop("_part")
 

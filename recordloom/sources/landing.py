@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from recordloom.operators.flatten import merge_case_variants
 from recordloom.operators.shred import typed_variant
-from recordloom.spec import ddl_of
+from recordloom.spec import ddl_of, variant_schema
 
 GENERIC_KEYS = ("data", "result")
 
@@ -141,8 +141,7 @@ def as_record(df: DataFrame, schema: T.StructType | str, column: str = "record")
 def infer_schema(df: DataFrame, column: str = "record") -> T.StructType:
     """Schema of the records in a batch, from one distributed pass; fields of mixed type stay text."""
     merged = df.agg(F.schema_of_variant_agg(column)).first()[0]
-    ddl = merged.replace("OBJECT<", "STRUCT<").replace("VOID", "STRING").replace("VARIANT", "STRING")
-    return T._parse_datatype_string(ddl)
+    return variant_schema(merged)
 
 
 # ---- bulk CSV -------------------------------------------------------------------------------

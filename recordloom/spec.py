@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from enum import Enum
@@ -10,6 +11,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 
+_VARIANT_TYPE = re.compile(r"`(?:[^`]|``)*`|(?:^|(?<=: )|(?<=<))(OBJECT(?=<)|(?:VOID|VARIANT)(?=[,>]|$))")
+
+
+def variant_schema(text: str) -> T.DataType:
+    """Type for the schema text of VARIANT values; fields of no or mixed type are text. Only types are replaced, never names.
+
+    In that text a type stands at its start, behind a field's colon or in an array; names of other than plain letters are quoted.
+    """
+    ddl = _VARIANT_TYPE.sub(lambda m: {None: m[0], "OBJECT": "STRUCT"}.get(m[1], "STRING"), text)
+    return T._parse_datatype_string(ddl)
+
+
 class Policy(Enum):
     """How a table is read on later runs."""
 

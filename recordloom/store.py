@@ -152,6 +152,9 @@ class TableStore:
             "versions": versions,
             "state": {**before.get("state", {}), **(state or {})},
         }
+        if self.current(table).get("number", 0) != before.get("number", 0):
+            # another writer came between; its version stays in place
+            raise RuntimeError(f"{table}: changed by another commit, run this one again")
         self._write_text(f"{self.root}/{table}/_current.json", json.dumps(pointer))
 
     # -- state that belongs to a table: it moves only with the data, in the same pointer --

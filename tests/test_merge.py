@@ -216,3 +216,16 @@ def test_snapshot_of_several_lists_needs_all_complete(spark):
 def test_rejected_values_stay_whole(spark):
     rows = spark.createDataFrame([("x" * 200, "no key")], "v string, reject_reason string")
     assert "x" * 200 in M.reject_log(rows, "t").first()["fields"]
+
+
+def test_upsert_without_order_takes_no_key_twice(spark, rows_of):
+    target = spark.createDataFrame([("a", 1)], "id string, v int")
+    one = spark.createDataFrame([("a", 2), ("b", 3)], "id string, v int")
+    assert rows_of(M.upsert(target, one, ["id"]), "id", "v") == [("a", 2), ("b", 3)]
+    with pytest.raises(Exception, match="two rows of one key"):
+        M.upsert(target, one.union(one), ["id"]).collect()
+
+
+def test_key_column_that_a_batch_lacks(spark):
+    good, bad = M.require_key(spark.createDataFrame([("a",)], "v string"), ["id"])
+    assert good.count() == 0 and bad.first()["reject_reason"] == "missing key: id"

@@ -82,3 +82,11 @@ def test_scope_table_empty_allows_all_and_blank_is_not_doubled(spark):
     none, some = spark.createDataFrame([], "k string"), spark.createDataFrame([("a",), ("",)], "k string")
     assert R.scope_filter(df, "s", none).count() == 4
     assert sorted(str(r["s"]) for r in R.scope_filter(df, "s", some).collect()) == ["", "None", "a"]
+
+
+def test_long_chains_of_references_are_followed_to_their_end(spark):
+    tables = {"orders": spark.createDataFrame([(1, "p1")], "id int, part string"), "parts": spark.createDataFrame([], "id string, made_of string")}
+    chain = spark.createDataFrame([(f"p{i}", f"p{i + 1}" if i < 6 else None) for i in range(1, 7)], "id string, made_of string")
+    refs = [R.Reference("orders", "part", "parts"), R.Reference("parts", "made_of", "parts")]
+    found, _ = R.recover_orphans(tables, {"parts": chain}, refs, {"parts": "id"})
+    assert sorted(r["id"] for r in found["parts"].collect()) == [f"p{i}" for i in range(1, 7)]

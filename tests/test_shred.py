@@ -209,3 +209,26 @@ def test_keys(spark, rows_of):
     assert composite_key("portal_id|task_id") == ["portal_id", "task_id"]
     good, bad = require_key(df, ["x"])
     assert good.count() == 1 and bad.first()["reject_reason"] == "missing key: x"
+
+
+def test_names_like_types_and_mixed_depths(spark):
+    texts = ['{"VOIDReason":"x","VARIANT_CODE":"a","n":null,"list":[{"OBJECT":1}]}', '{"n":1}', '{"n":"one"}']
+    from recordloom.sources import infer_schema
+
+    records = spark.createDataFrame([(t,) for t in texts], "t string").select(F.parse_json("t").alias("record"))
+    fields = {f.name: f.dataType.simpleString() for f in infer_schema(records).fields}
+    assert fields == {"VOIDReason": "string", "VARIANT_CODE": "string", "n": "string", "list": "array<struct<OBJECT:bigint>>"}
+
+    deep = '{"id":0}'
+    for i in range(1, 13):
+        deep = f'{{"id":{i},"below":[{deep}]}}'
+    trees = spark.createDataFrame([(1, f"[{deep}]"), (2, '[{"id":99,"below":"none"}]'), (3, None)], "k int, t string")
+    nodes = S.walk_tree(trees, F.try_variant_get(F.parse_json("t"), "$", "array<variant>"), "below", ["k"])
+    assert nodes.filter("k = 1").agg(F.max("depth"), F.count("*")).first() == (12, 13)
+    assert nodes.filter("k = 2").count() == 1
+
+
+def test_union_of_absent_arrays(spark):
+    df = spark.createDataFrame([("a",)], "k string")
+    got = S.tagged_union(df, {"x": "task"}, "kind", ["k"], position="idx")
+    assert got.columns == ["k", "kind", "idx"] and got.count() == 0
