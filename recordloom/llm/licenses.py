@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from recordloom.llm.common import FILE, ROW, cut_lineage, let, table, with_place
+from recordloom.llm.common import FILE, ROW, ascii_lower, cut_lineage, let, table, with_place
 
 # Fixed value: what separates words here.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -78,7 +78,7 @@ TEMPLATES = (
 
 
 def license_words(text: Column) -> Column:
-    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), SEPARATORS), "")
+    return F.array_remove(F.split(ascii_lower(F.coalesce(text, F.lit(""))), SEPARATORS), "")
 
 
 def template_runs(spark: SparkSession, templates: tuple[Template, ...], k: int = K) -> DataFrame:
