@@ -284,42 +284,50 @@ def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield drain()
 
 
-def hashed(before: bytes, after: bytes, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+def laid(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Contexts of a batch one behind the other: bytes, where each anchor is, bytes before it, bytes from it on."""
+    before, after = batch.column("before").to_pylist(), batch.column("after").to_pylist()
+    data = np.frombuffer(b"".join(side for both in zip(before, after, strict=True) for side in both), np.uint8)
+    n_before, n_after = (np.array([len(x) for x in sides], np.int64) for sides in (before, after))
+    return data, np.cumsum(n_before + n_after) - n_after, n_before, n_after
+
+
+def hashed(data: np.ndarray, anchor: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     """Hash of the bytes low..high from the anchor on."""
-    data = np.frombuffer(before + after, np.uint8)
-    a, b = low + len(before), high + len(before)
-    return context_hashes(data, a, a, b).view(np.int64)
+    return context_hashes(data, anchor + low, anchor + low, anchor + high).view(np.int64)
 
 
 def strides(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """What the windows of a stride share (``hash``) and cover (``whole``, from ``first`` to ``end``)."""
-    for batch in batches:
-        for r in batch.to_pylist():
-            before, after = r["before"], r["after"]
-            grid = np.arange(-REACH, 1, STRIDE)
-            # a stride counts if any of its windows is whole
-            grid = grid[(grid + STRIDE > -len(before)) & (np.maximum(grid, -len(before)) + SPAN <= len(after))]
-            if not len(grid):
-                continue
-            first, end = np.maximum(grid, -len(before)), np.minimum(grid + STRIDE - 1 + SPAN, len(after))
-            shared, whole = hashed(before, after, grid + STRIDE - 1, grid + SPAN), hashed(before, after, first, end)
-            # the shared bytes end with the text at the latest
-            columns = [np.full(len(grid), r[k], np.int64) for k in ("anchor", "context", "n")]
-            columns += [grid.astype(np.int32), shared, first.astype(np.int32), end.astype(np.int32), whole ^ mix((end - grid).astype(U)).view(np.int64)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["anchor", "context", "n", "low", "hash", "first", "end", "whole"])
+    grid = np.arange(-REACH, 1, STRIDE)
+    for batch in sliced(batches):
+        data, anchor, n_before, n_after = laid(batch)
+        # a stride counts if any of its windows is whole
+        row, at = np.nonzero((grid + STRIDE > -n_before[:, None]) & (np.maximum(grid, -n_before[:, None]) + SPAN <= n_after[:, None]))
+        if not len(row):
+            continue
+        low = grid[at]
+        first, end = np.maximum(low, -n_before[row]), np.minimum(low + STRIDE - 1 + SPAN, n_after[row])
+        shared, whole = hashed(data, anchor[row], low + STRIDE - 1, low + SPAN), hashed(data, anchor[row], first, end)
+        # the shared bytes end with the text at the latest
+        columns = [batch.column(k).to_numpy()[row] for k in ("anchor", "context", "n")]
+        columns += [low.astype(np.int32), shared, first.astype(np.int32), end.astype(np.int32), whole ^ mix((end - low).astype(U)).view(np.int64)]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["anchor", "context", "n", "low", "hash", "first", "end", "whole"])
 
 
 def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Hash of each window of the strides ``lows``."""
-    for batch in batches:
-        for r in batch.to_pylist():
-            before, after = r["before"], r["after"]
-            starts = (np.array(r["lows"])[:, None] + np.arange(STRIDE)[None, :]).ravel()
-            starts = starts[(starts >= -len(before)) & (starts <= 0) & (starts + SPAN <= len(after))]
-            if len(starts):
-                h = hashed(before, after, starts, starts + SPAN)
-                columns = [np.full(len(starts), r[k], np.int64) for k in ("anchor", "context", "n")]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (*columns, starts.astype(np.int32), h)], ["anchor", "context", "n", "low", "hash"])
+    for batch in sliced(batches):
+        data, anchor, n_before, n_after = laid(batch)
+        lows = batch.column("lows")
+        start = (lows.flatten().to_numpy()[:, None] + np.arange(STRIDE)[None, :]).ravel()
+        row = np.repeat(np.arange(batch.num_rows), lows.value_lengths().to_numpy() * STRIDE)
+        inside = (start >= -n_before[row]) & (start <= 0) & (start + SPAN <= n_after[row])
+        row, start = row[inside], start[inside]
+        if len(row):
+            h = hashed(data, anchor[row], start, start + SPAN)
+            columns = [batch.column(k).to_numpy()[row] for k in ("anchor", "context", "n")]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (*columns, start.astype(np.int32), h)], ["anchor", "context", "n", "low", "hash"])
 
 
 def merged(stretches: list[tuple[int, int]]) -> list[tuple[int, int]]:
