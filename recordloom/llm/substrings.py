@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +41,8 @@ MOST = 256
 #: Symbols of contexts that are sorted together.
 BATCH_SYMBOLS = 50_000
 
-CHUNK = 1 << 19
+#: Bytes that are hashed together: arrays of so many numbers stay in a processor's cache.
+CHUNK = 1 << 16
 #: Neighbouring windows that are tried together before they are hashed one by one.
 STRIDE = 24
 #: Rows of a batch that are worked on together.
@@ -91,13 +93,21 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return place, np.concatenate(hashes)[first]
 
 
+@lru_cache(maxsize=4)
+def powers_of(count: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of ``STEP`` and of its inverse, from 0 on; ``count`` is a power of two, so that few are kept."""
+    powers, inverses = np.full(count + 1, STEP), np.full(count + 1, INVERSE)
+    powers[0] = inverses[0] = U(1)
+    return np.cumprod(powers), np.cumprod(inverses)
+
+
 def context_hashes(data: np.ndarray, low: np.ndarray, places: np.ndarray, high: np.ndarray) -> np.ndarray:
     """Hash of bytes low..high around each place, and of where the place is in it."""
     base, top = int(low.min()), int(high.max())
     part = BYTE[data[base:top]]
-    powers = np.cumprod(np.concatenate([[U(1)], np.full(len(part), STEP)]))
-    sums = np.concatenate([[U(0)], np.cumsum(part * powers[:-1])])
-    inverses = np.cumprod(np.concatenate([[U(1)], np.full(len(part), INVERSE)]))
+    powers, inverses = powers_of(1 << len(part).bit_length())
+    sums = np.zeros(len(part) + 1, U)
+    np.cumsum(part * powers[: len(part)], out=sums[1:])
     a, b = low - base, high - base
     return mix(mix((sums[b] - sums[a]) * inverses[a]) + (places - low).astype(U) * STEP + (high - places).astype(U))
 
@@ -105,13 +115,15 @@ def context_hashes(data: np.ndarray, low: np.ndarray, places: np.ndarray, high:
 def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         file, row = batch.column(FILE).to_numpy(), batch.column(ROW).to_numpy()
-        for first, data, offsets in pieces(batch.column("text")):
+        for first, data, offsets in pieces(batch.column("text"), 4 * CHUNK):
             place, h = anchors(data, offsets)
             if not len(place):
                 continue
             text = np.searchsorted(offsets, place, "right") - 1
             low, high = np.maximum(place - REACH, offsets[text]), np.minimum(place + SPAN, offsets[text + 1])
-            context = context_hashes(data, low, place, high)
+            # a very long text in stretches, so that memory stays bounded
+            stretches = np.split(np.arange(len(place)), np.flatnonzero(np.diff(low // (4 * CHUNK))) + 1)
+            context = np.concatenate([context_hashes(data, low[k], place[k], high[k]) for k in stretches])
             columns = [h.view(np.int64), context.view(np.int64), file[first + text], row[first + text], place - offsets[text]]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["anchor", "context", FILE, ROW, "pos"])
 
@@ -235,14 +247,17 @@ class Sorter:
 
     def finish(self) -> Iterator[tuple[int, int, list[tuple[int, int]]]]:
         """(anchor, context, covered stretches) of the contexts that have any."""
-        order = suffix_array(self.symbols)
+        order, symbols, stretch, owner = suffix_array(self.symbols), self.symbols, self.stretch, self.owner
         for a, b in zip(order[:-1], order[1:], strict=True):
-            if self.owner[a] < 0 or self.owner[b] < 0:
+            # marks and blocks of other anchors or places have symbols of their own
+            if symbols[a] != symbols[b]:
                 continue
-            run = common(self.symbols, a, b)
-            for i in (a, b):
-                if run and self.stretch[i + run - 1][1] - self.stretch[i][0] >= SPAN:
-                    self.found.setdefault(self.owner[i], []).append((self.stretch[i][0], self.stretch[i + run - 1][1]))
+            run = common(symbols, a, b)
+            low, high = stretch[a][0], stretch[a + run - 1][1]
+            if high - low >= SPAN:
+                # equal symbols stand for the same stretch
+                self.found.setdefault(owner[a], []).append((low, high))
+                self.found.setdefault(owner[b], []).append((low, high))
         shared = dict(self.twins)
         for k, ((anchor, context), stretches) in enumerate(zip(self.keys, self.covered, strict=True)):
             stretches = stretches + self.found.get(shared.get(k, k), [])
