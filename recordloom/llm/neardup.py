@@ -324,3 +324,22 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", widt
     one = candidates.groupBy("component", F.when(F.col("component").isNull(), F.struct(FILE, ROW))).agg(F.min(F.struct(FILE, ROW)).alias("at"))
     kept = one.select(f"at.{FILE}", f"at.{ROW}").unionByName(found.filter("n = 0").select(FILE, ROW))
     return placed.join(kept, [FILE, ROW], "left_semi").select(*names)
+
+
+ORACLE = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws
+  FROM documents),
+s AS (
+  SELECT DISTINCT r, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS g FROM (SELECT r, ws, unnest(range(1, len(ws) - 1)) AS i FROM d WHERE len(ws) >= 3)
+  UNION ALL SELECT r, array_to_string(ws, ' ') FROM d WHERE len(ws) BETWEEN 1 AND 2),
+sizes AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+links AS (
+  SELECT p.a, p.b FROM (SELECT x.r AS a, y.r AS b, count(*) AS both FROM s x JOIN s y ON x.g = y.g AND x.r <> y.r GROUP BY x.r, y.r) p
+  JOIN sizes m ON m.r = p.a JOIN sizes n ON n.r = p.b WHERE 100 * p.both >= 85 * (m.n + n.n - p.both)),
+reach AS (SELECT r, r AS seen FROM d UNION SELECT reach.r, links.b FROM reach JOIN links ON reach.seen = links.a),
+least AS (SELECT reach.r, min(d.doc_id) AS component_id FROM reach JOIN d ON d.r = reach.seen GROUP BY reach.r)
+SELECT d.doc_id, coalesce(sizes.n, 0)::BIGINT AS n_shingles, least.component_id, coalesce(d.doc_id = least.component_id, false) AS kept
+FROM d JOIN least ON least.r = d.r LEFT JOIN sizes ON sizes.r = d.r
+"""

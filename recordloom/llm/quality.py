@@ -155,3 +155,31 @@ def op4(spark, sf: str) -> DataFrame:
 
     columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
     return quality_rules(table(spark, sf, "documents").select("doc_id", "text")).select(*columns, "failed_rules")
+
+
+ORACLE = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS ls
+  FROM documents),
+windows AS (
+  SELECT r, i, count(*) OVER (PARTITION BY r, ws[i], ws[i + 1], ws[i + 2]) AS found
+  FROM (SELECT r, ws, unnest(range(1, len(ws) - 1)) AS i FROM d WHERE len(ws) >= 3)),
+repeated AS (SELECT r, count(DISTINCT i + k) AS n FROM windows, range(3) AS ks(k) WHERE found > 1 GROUP BY r),
+m AS (
+  SELECT doc_id, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars,
+    (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+    (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(repeated.n, 0)::BIGINT AS n_repeat_words, len(ls)::BIGINT AS n_lines,
+    len(list_filter(ws, lambda w: list_contains(string_split('STOPS', ' '), lower(w))))::BIGINT AS n_stop_words
+  FROM d LEFT JOIN repeated USING (r)),
+v AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+    concat_ws(',',
+      CASE WHEN word_chars < 2 * n_words OR word_chars > 20 * n_words THEN 'word length' END,
+      CASE WHEN n_symbols > 0.5::DOUBLE * n_words THEN 'symbols' END,
+      CASE WHEN n_dup_lines > 0.7::DOUBLE * n_lines THEN 'repeated lines' END,
+      CASE WHEN n_stop_words < 0.01::DOUBLE * n_words THEN 'stop words' END) AS failed_rules
+  FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND failed_rules = '' AS kept, failed_rules FROM v
+""".replace("STOPS", " ".join(sorted(set(STOP_WORDS))))

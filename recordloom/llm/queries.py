@@ -21,5 +21,8 @@ QUERIES = {
 
 ORACLES = {
     "op2_decontamination": decontaminate.ORACLE,
+    "op3_minhash_near_dedup": neardup.ORACLE,
+    "op4_quality_rules": quality.ORACLE,
     "op7_url_filters": urlfilter.ORACLE,
+    "op8_suffix_array_dedup": substrings.ORACLE,
 }

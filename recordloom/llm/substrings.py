@@ -447,3 +447,22 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def op8(spark, sf: str) -> DataFrame:
     return remove_repeats(table(spark, sf, "documents")).drop("kept")
+
+
+ORACLE = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+starts AS (
+  SELECT r, i, count(*) OVER (PARTITION BY k) AS found
+  FROM (SELECT r, i, md5(substring(h, 2 * i + 1, 400)) AS k FROM (SELECT r, h, unnest(range(0, n - 199)) AS i FROM d WHERE n >= 200))),
+gaps AS (SELECT r, i, i > coalesce(lag(i) OVER (PARTITION BY r ORDER BY i) + 200, -1) AS opens FROM starts WHERE found > 1),
+spans AS (
+  SELECT r, min(i) AS low, max(i) + 200 AS high
+  FROM (SELECT r, i, sum(opens::INT) OVER (PARTITION BY r ORDER BY i) AS s FROM gaps) GROUP BY r, s),
+pieces AS (SELECT r, low, high, coalesce(lag(high) OVER (PARTITION BY r ORDER BY low), 0) AS since FROM spans),
+cuts AS (
+  SELECT r, count(*) AS n_spans, sum(high - low) AS n_removed, max(high) AS last, string_agg(substring(h, 2 * since + 1, 2 * (low - since)), '' ORDER BY low) AS head
+  FROM pieces JOIN d USING (r) GROUP BY r)
+SELECT doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(coalesce(head, '') || substring(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN cuts USING (r)
+"""
