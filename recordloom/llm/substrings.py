@@ -424,7 +424,8 @@ def repeated(placed: DataFrame, most: int = MOST) -> DataFrame:
     ends = F.filter("lows", lambda x, i: (i == F.size("lows") - 1) | (F.get(F.col("lows"), i + 1) != x + 1))
     joined = F.zip_with(begins, ends, lambda a, b: F.struct(a.alias("low"), (b + SPAN).alias("high")))
     hot = done.unionByName(found_.select("anchor", "context", F.inline(joined)))
-    stretches = few.unionByName(hot).groupBy("anchor", "context").agg(F.collect_list(F.struct("low", "high")).alias("parts"))
+    # staged, so that the join below can split the occurrences of a frequent context
+    stretches = stage(few.unionByName(hot).groupBy("anchor", "context").agg(F.collect_list(F.struct("low", "high")).alias("parts")))
     whole = held.filter("not mixed").select(FILE, ROW, F.array(F.struct((F.col("pos") - REACH).alias("low"), (F.col("pos") + SPAN).alias("high"))).alias("parts"))
     partly = held.filter("mixed").join(stretches, ["anchor", "context"]).select(
         FILE, ROW, F.transform("parts", lambda p: F.struct((F.col("pos") + p["low"]).alias("low"), (F.col("pos") + p["high"]).alias("high"))).alias("parts")
