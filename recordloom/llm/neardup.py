@@ -15,8 +15,8 @@ Nodes that share a band value form a bucket. Not all pairs of a bucket are looke
    of more than five standard deviations.
 3. Components of all confirmed links give the result. A link that no forest needed joins nothing new.
 
-With 20 bands of 4 rows a pair of similarity 0.85 is missed with probability 4e-7. Sets of fewer than seven shingles can
-only be linked to equal ones.
+With 20 bands of 4 rows a pair of similarity 0.85 is missed with probability 4e-7, one of 0.8 with 3e-5. A set of n shingles
+resembles an unequal one by n / (n + 1) at most; where that is below the threshold, it can only be linked to equal ones and has no bands.
 
 Defined results: null and empty texts have empty sets and are linked with nothing, each its own component; very
 long texts are hashed whole; equal rows and rows with equal ids share a component; a null id is never
@@ -73,7 +73,7 @@ def odd_sketch(shingles: np.ndarray) -> tuple[bytes, int]:
     return np.packbits(parity.astype(np.uint8)).tobytes(), len(filled)
 
 
-def sketcher(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def sketcher(width: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, sigs, bands, odds, minima = [], [], [], [], []
@@ -87,7 +87,7 @@ def sketcher(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
                 sums = np.array([np.add.reduce(mix(s)), np.add.reduce(mix(s * STEP + U(1))) + U(len(s))], U)
                 odd, filled = odd_sketch(s)
                 sigs.append(sums.tobytes())
-                bands.append(band_values(s) if len(s) >= 7 else None)
+                bands.append(band_values(s) if 100 * len(s) >= percent * (len(s) + 1) else None)
                 odds.append(odd)
                 minima.append(filled)
             yield pa.RecordBatch.from_arrays(
@@ -281,7 +281,7 @@ def duplicate_links(nodes: DataFrame, texts: DataFrame, width: int, percent: int
 
 def near_duplicates(placed: DataFrame, width: int, percent: int) -> DataFrame:
     """(place, doc_id, n, component): ``placed`` has the place columns, doc_id and text. The component is the smallest doc_id in it."""
-    sketched = stage(placed.select(FILE, ROW, "doc_id", "text").mapInArrow(sketcher(width), SKETCHED))
+    sketched = stage(placed.select(FILE, ROW, "doc_id", "text").mapInArrow(sketcher(width, percent), SKETCHED))
     nodes = stage(
         sketched.filter("sig is not null").groupBy("sig").agg(
             F.min(F.struct(FILE, ROW)).alias("at"), F.min("doc_id").alias("least"), F.first("bands").alias("bands"), F.first("odd").alias("odd"),

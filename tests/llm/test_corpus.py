@@ -101,6 +101,16 @@ def test_near_duplicates(docs, empty, spark):
     assert sorted(r["doc_id"] for r in kept.collect() if sets[r["doc_id"]]) == sorted(full)
 
 
+@pytest.mark.parametrize(("width", "percent", "sizes"), [(3, 85, (5, 6, 7)), (5, 80, (3, 4, 5, 6, 7))])
+def test_near_duplicates_of_few_shingles(spark, width, percent, sizes):
+    # each text is the one before and a word more: n of n + 1 shingles are shared
+    rows = [(10 * k + n, " ".join(f"v{k}x{i}" for i in range(n + width - 1))) for k in range(8) for n in sizes]
+    placed = neardup.with_place(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {r["doc_id"]: (r["n"], r["component"]) for r in neardup.near_duplicates(placed, width, percent).collect()}
+    # the first can only be linked to equal texts, the others form a chain
+    assert got == {10 * k + n: (n, 10 * k + (n if n == sizes[0] else sizes[1])) for k in range(8) for n in sizes}
+
+
 @pytest.mark.parametrize("most", [1, 256])
 def test_repeated_passages(docs, empty, most):
     rows = [(r["doc_id"], (r["text"] or "").encode()) for r in docs.collect()]
