@@ -7,7 +7,11 @@ estimated instead, with MinHash sketches whose size follows the document. Docume
 shingle of its largest document. A sketch keeps the minimum of one hash in every bin that is not empty, so in
 all partitions alike most of a document's shingles survive as minima of their bins. An item is sketched once per
 partition; its bins that agree with a document's, over its own, estimate the containment. Documents whose estimate
-reaches ``ESTIMATE`` of the item are verified on the full shingle sets.
+reaches ``ESTIMATE`` of the containment asked for are verified on the full shingle sets.
+
+About a fifth of a document's shingles are no minimum, so an item of few shingles could be missed. Items of fewer than
+``FEW`` shingles are therefore not sketched: all their shingles are looked up in the document's, and none is missed. For
+the others the estimate would have to be off by about ten standard deviations at ``CONTAINED``.
 
 The items' sketches are looked up by every task. They are sent in blocks of at most ``BLOCK_BYTES`` of item text, one
 scan of the documents for each block, so what a task holds does not grow with the benchmark. Nothing is shuffled
@@ -31,8 +35,10 @@ from recordloom.llm.grams import U, mix, shingle_lists
 
 WIDTH = 5
 CONTAINED = 0.8
-#: Of an item's bins must agree before it is verified; far below what a contained item shows.
-ESTIMATE = 0.2
+#: Of the containment asked for, the share of an item's bins that must agree before it is verified; far below what a contained item shows.
+ESTIMATE = 0.25
+#: Items of fewer shingles are looked up whole.
+FEW = 64
 BINS_PER_SHINGLE = 2
 BLOCK_BYTES = 4 * 1024 * 1024
 
@@ -56,45 +62,59 @@ def sketch(hashes: np.ndarray, size: int) -> np.ndarray:
     return order[first]
 
 
+class Lookup:
+    """Sorted hashes of several items and whose they are."""
+
+    def __init__(self, hashes: dict[int, np.ndarray], items: int):
+        values = np.concatenate(list(hashes.values())) if hashes else np.empty(0, U)
+        owner = np.repeat(np.array(list(hashes), int), [len(h) for h in hashes.values()])
+        order = np.argsort(values, kind="stable")
+        self.values, self.owner, self.count = values[order], owner[order], np.zeros(items, int)
+        for item, h in hashes.items():
+            self.count[item] = len(h)
+
+    def reached(self, mine: np.ndarray, share: float) -> np.ndarray:
+        """Items of whose hashes at least ``share``, and one, are among ``mine``."""
+        left, right = np.searchsorted(self.values, mine, "left"), np.searchsorted(self.values, mine, "right")
+        hit = np.flatnonzero(right > left)
+        if not len(hit):
+            return np.empty(0, int)
+        owners = np.concatenate([self.owner[left[i] : right[i]] for i in hit])
+        agree = np.bincount(owners, minlength=len(self.count))
+        return np.flatnonzero((agree > 0) & (agree >= share * self.count))
+
+
 class Items:
-    """Sketches of a block of items for each size class, made when the class is first met."""
+    """A block of items: small ones by all their shingles, the others by sketches for each size class, made when the class is first met."""
 
-    def __init__(self, rows: list[tuple[int, str]]):
-        self.ids, self.sets = [], []
+    def __init__(self, rows: list[tuple[int, str]], contained: float):
+        self.ids, self.sets, self.contained = [], [], contained
         for i, shingles, words in shingle_lists(pa.array([t for _, t in rows], pa.string()), WIDTH):
             if words >= WIDTH:
                 self.ids.append(rows[i][0])
                 self.sets.append(np.unique(shingles))
-        self.classes: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        self.few = Lookup({i: s for i, s in enumerate(self.sets) if len(s) < FEW}, len(self.sets))
+        self.many = {i: s for i, s in enumerate(self.sets) if len(s) >= FEW}
+        self.classes: dict[int, Lookup] = {}
 
-    def index(self, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(sorted bin minima, their items, number of minima of each item)"""
+    def index(self, size: int) -> Lookup:
+        """Bin minima of the larger items."""
         if size not in self.classes:
-            minima = [sketch(s, size) for s in self.sets]
-            values = np.concatenate(minima) if minima else np.empty(0, U)
-            owner = np.repeat(np.arange(len(minima)), [len(m) for m in minima])
-            order = np.argsort(values, kind="stable")
-            self.classes[size] = values[order], owner[order], np.array([len(m) for m in minima], int)
+            self.classes[size] = Lookup({i: sketch(s, size) for i, s in self.many.items()}, len(self.sets))
         return self.classes[size]
 
     def candidates(self, document: np.ndarray) -> np.ndarray:
-        """Items whose estimated containment in a document's distinct shingles is high enough to verify."""
-        values, owner, count = self.index(partition_of(len(document)))
-        if not len(values):
-            return np.empty(0, int)
-        mine = sketch(document, partition_of(len(document)))
-        left, right = np.searchsorted(values, mine, "left"), np.searchsorted(values, mine, "right")
-        hit = np.flatnonzero(right > left)
-        if not len(hit):
-            return np.empty(0, int)
-        owners = np.concatenate([owner[left[i] : right[i]] for i in hit])
-        agree = np.bincount(owners, minlength=len(count))
-        return np.flatnonzero((agree > 0) & (agree >= ESTIMATE * count))
+        """Items whose containment in a document's distinct shingles, or its estimate, is high enough to verify."""
+        found = self.few.reached(document, self.contained)
+        if not self.many:
+            return found
+        size = partition_of(len(document))
+        return np.concatenate([found, self.index(size).reached(sketch(document, size), ESTIMATE * self.contained)])
 
 
 def searcher(rows: list[tuple[int, str]], contained: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items = Items(rows)
+        items = Items(rows, contained)
         for batch in batches:
             out: list[tuple] = []
             ids = batch.column("doc_id")

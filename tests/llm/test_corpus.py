@@ -138,6 +138,36 @@ def test_decontamination(spark, docs, empty):
     assert decontaminate.find_leaks(empty, items).isEmpty() and decontaminate.find_leaks(docs, items.limit(0)).isEmpty()
 
 
+def test_decontamination_by_item_length(spark):
+    r = random.Random(11)
+    items = [[f"i{k}w{j}" for j in range(n)] for k, n in enumerate((5, 6, 7, 8, 20, 66, 69, 90))]
+    rows = []
+    for d in range(150):
+        words = [f"v{r.randrange(5000)}" for _ in range(r.randrange(8, 300))]
+        for item in items:
+            part = list(item)
+            if len(item) > 8 and d % 3:
+                part[r.randrange(len(item))] = "changed"
+            at = r.randrange(len(words))
+            words[at:at] = part
+        rows.append((d, " ".join(words)))
+
+    def shingles(w):
+        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+
+    want = {}
+    for d, text in rows:
+        whole = shingles(text.split())
+        for i, item in enumerate(items):
+            n, both = len(shingles(item)), len(shingles(item) & whole)
+            if both >= 0.8 * n:
+                want[d, i] = (n, both)
+    leaks = decontaminate.find_leaks(
+        spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id long, text string")
+    )
+    assert {(x["doc_id"], x["item_id"]): (x["n_shingles"], x["n_shared"]) for x in leaks.collect()} == want
+
+
 def test_mixing(docs, empty):
     sized = docs.select("doc_id", "source", mixing.word_count(docs["text"]).alias("size"))
     got = mixing.mix(sized, ["doc_id"]).collect()
