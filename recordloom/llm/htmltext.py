@@ -4,10 +4,12 @@ A page is read once, tag by tag, into text nodes with their path of tags from th
 the number of nodes and the punctuation are added up. A path's ratio is its text per node, weighed by its punctuation
 per node: running text is long and punctuated, menus and labels are neither. Ratios are laid out over the
 nodes in page order, smoothed with a Gaussian window, and fused with the path's own ratio; paths whose fused value
-passes a threshold are content. The smallest container that holds most of the content's text then decides what
-else belongs to it: headings and short blocks inside it stay, and everything outside goes. Elements that
+passes a threshold are content. The smallest container that holds the text of all content paths then decides what
+else belongs to it: headings and short blocks inside it stay, and everything outside goes. Only where a page marks its ``main``
+part and more than half of the content's text lies there, text elsewhere is foreign whatever its path. Elements that
 are never article text (menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles, comments)
-are left out by name or class before any counting.
+are left out by tag, or by a class or id that is such a name as a whole, before any counting. A name does not count on an element
+that holds most of the page's punctuated text, unless it is one of comments, consent or adverts and the page has other text.
 
 Rows are independent; pages stream through in Arrow batches, and no page meets another.
 
@@ -45,11 +47,15 @@ PEERS = {
     "li": ("li", ("ul", "ol", "menu")), "dt": ("dt dd", ("dl",)), "dd": ("dt dd", ("dl",)), "option": ("option", ("select",)),
     "tr": ("tr td th", ("table",)), "td": ("td th", ("tr", "table")), "th": ("td th", ("tr", "table")),
 }
-SKIP_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|adv|advert|advertisement|adverts|banner|sponsor|sponsored|promo|promotion|sidebar|side-bar|aside|menu|nav|navbar|navigation|"
-    r"breadcrumb|breadcrumbs|footer|header|masthead|cookie|cookies|consent|notice|gdpr|popup|modal|overlay|comment|comments|disqus|replies|"
-    r"respond|share|sharing|social|related|recommended|newsletter|subscribe|signup|login|search|pagination|pager|widget|toolbar|hidden)(?:$|[\s_-])"
+# what is foreign even where there is more of it than of the article
+FOREIGN = "ad|ads|adv|advert|advertisement|adverts|sponsor|sponsored|promo|promotion|cookie|cookies|consent|gdpr|comment|comments|disqus|replies|respond"
+SKIP_WORDS = (
+    rf"(?:{FOREIGN}|banner|sidebar|side-bar|aside|menu|nav|navbar|navigation|breadcrumb|breadcrumbs|footer|header|masthead|notice|popup|modal|overlay|"
+    r"share|sharing|social|related|recommended|newsletter|subscribe|signup|login|search|pagination|pager|widget|toolbar|hidden)"
 )
+#: One class or id: skip words only, at most with the place in front.
+SKIP_NAME = re.compile(rf"(?:(?:site|page|main|global|top|bottom|left|right)[_-]+)?{SKIP_WORDS}(?:[_-]+{SKIP_WORDS})*")
+FOREIGN_NAME = re.compile(rf"(?:.*[_-])?(?:{FOREIGN})(?:[_-].*)?")
 SKIP_ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog menu menubar form".split())
 
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|\Z)", re.S)
@@ -58,18 +64,17 @@ PUNCTUATION = re.compile(r"[.,;:!?…。，；：！？¿¡]")
 SPACE = re.compile(r"\s+")
 
 SIGMA = 1.0
-KEEP_SHARE = 0.6  # of the content's text must lie in the container
+MAIN_SHARE = 0.5  # of the content's text must lie in main elements for others to be foreign
 
 
 def unwanted(tag: str, attributes: str) -> bool:
+    """Whether an element is never article text, by its tag or by what its attributes say of its use."""
     if tag in SKIP:
         return True
     if not attributes or tag in ("body", "html", "article", "main"):
         return False
     for name, value in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
-        if name in ("class", "id") and SKIP_NAMES.search(value):
-            return True
         if name == "role" and value in SKIP_ROLES:
             return True
         if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and "display:none" in value.replace(" ", "")):
@@ -77,23 +82,42 @@ def unwanted(tag: str, attributes: str) -> bool:
     return False
 
 
+def skip_names(tag: str, attributes: str) -> list[str]:
+    """Classes and ids of an element that name something beside the article."""
+    if not attributes or tag in ("body", "html", "article", "main"):
+        return []
+    values = (value.strip("\"'").lower() for name, value in ATTRIBUTE.findall(attributes) if name.lower() in ("class", "id"))
+    return [token for value in values for token in value.split() if SKIP_NAME.fullmatch(token)]
+
+
 def text_nodes(page: str) -> list[tuple[tuple[int, ...], tuple[str, ...], int, str]]:
     """(containers by number, tag path, block number, decoded text) of every wanted text node in page order."""
     stack: list[tuple[str, bool, int]] = []  # tag, unwanted, number
     nodes, block, number, at, skipped = [], 0, 0, 0, 0
+    named: list[int] = []  # open elements with a skip name
+    foreign: set[int] = set()
+    last: dict[tuple[int, ...], int] = {}  # the last node inside the same named elements
 
     def text(raw: str) -> None:
         if not skipped and raw and not raw.isspace():
+            last[tuple(named)] = len(nodes)
             nodes.append(
-                (tuple(n for t, _, n in stack if t in CONTAINER), tuple(t for t, _, _ in stack), block, html.unescape(raw))
+                (tuple(n for t, _, n in stack if t in CONTAINER), tuple(t for t, _, _ in stack), block, html.unescape(raw), tuple(named))
             )
-        elif not skipped and raw and nodes and nodes[-1][2] == block:
-            nodes[-1] = (*nodes[-1][:3], nodes[-1][3] + " ")
+        elif not skipped and raw:
+            space()
+
+    def space() -> None:
+        i = last.get(tuple(named))
+        if i is not None and nodes[i][2] == block:
+            nodes[i] = (*nodes[i][:3], nodes[i][3] + " ", nodes[i][4])
 
     def close(index: int) -> None:
         nonlocal skipped
-        for _, bad, _ in stack[index:]:
+        for _, bad, n in reversed(stack[index:]):
             skipped -= bad
+            if named and named[-1] >= n:
+                named.pop()
         del stack[index:]
 
     while at < len(page):
@@ -117,8 +141,8 @@ def text_nodes(page: str) -> list[tuple[tuple[int, ...], tuple[str, ...], int, s
                 if tag not in BLOCK and stack[i][0] in BLOCK:
                     break
             continue
-        if tag == "br" and nodes and nodes[-1][2] == block:
-            nodes[-1] = (*nodes[-1][:3], nodes[-1][3] + " ")
+        if tag == "br":
+            space()
         if tag in VOID:
             continue
         if tag in CLOSES_P:
@@ -148,7 +172,32 @@ def text_nodes(page: str) -> list[tuple[tuple[int, ...], tuple[str, ...], int, s
             continue
         stack.append((tag, bad, number))
         skipped += bad
-    return nodes
+        names = skip_names(tag, m[3])
+        if names:
+            named.append(number)
+            if any(FOREIGN_NAME.fullmatch(x) for x in names):
+                foreign.add(number)
+    return without_named(nodes, foreign)
+
+
+def without_named(nodes: list, foreign: set[int]) -> list[tuple[tuple[int, ...], tuple[str, ...], int, str]]:
+    """Nodes outside elements with a skip name. An element with most of the text is no such element, except a foreign one beside other text."""
+
+    def outside(besides: set[int], measure) -> list:
+        inside: dict[int, int] = {}
+        total = 0
+        for *_, text, named in nodes:
+            if besides.isdisjoint(named):
+                size = measure(text)
+                total += size
+                for n in named:
+                    inside[n] = inside.get(n, 0) + size
+        most = {n for n, size in inside.items() if 2 * size > total}
+        return [node[:4] for node in nodes if most.issuperset(node[4])]
+
+    if not any(named for *_, named in nodes):
+        return [node[:4] for node in nodes]
+    return outside(foreign, lambda t: len(t) if PUNCTUATION.search(t) else 0) or outside(set(), len)
 
 
 def content_paths(nodes: list) -> set[tuple[str, ...]]:
@@ -180,17 +229,15 @@ def main_text(page: str | None) -> str:
     if not nodes:
         return ""
     paths = content_paths(nodes)
-    inside: dict[int, int] = {}
-    depth: dict[int, int] = {}
-    total = 0
-    for containers, path, _, text in nodes:
-        if path in paths:
-            total += len(text)
-            for d, c in enumerate(containers):
-                inside[c] = inside.get(c, 0) + len(text)
-                depth[c] = d
-    held = [c for c, n in inside.items() if n >= KEEP_SHARE * total]
-    best = max(held, key=lambda c: depth[c], default=None)
+    content = [(containers, path, len(text)) for containers, path, _, text in nodes if path in paths]
+    marked = [x for x in content if "main" in x[1]]
+    if sum(n for *_, n in marked) > MAIN_SHARE * sum(n for *_, n in content):
+        content = marked
+    shared = content[0][0]
+    for containers, *_ in content:
+        while shared != containers[: len(shared)]:
+            shared = shared[:-1]
+    best = shared[-1] if shared else None
     blocks: dict[int, list[str]] = {}
     for containers, _, block, text in nodes:
         if best is None or best in containers:

@@ -243,6 +243,35 @@ def test_html():
     assert [htmltext.main_text(x) for x in (None, "", "<p>", "<script>x")] == [""] * 4
 
 
+def test_html_in_several_containers():
+    long, short = "A long paragraph, with words, and marks; it goes on. " * 7, "Another paragraph, with words, and marks. " * 4
+    want = f"A title\n\n{long.strip()}\n\n{short.strip()}\n\nShort end"
+    nav, foot = "<nav><a>Home</a></nav>", "<footer>somebody, somewhere.</footer>"
+    for tag in ("section", "div"):
+        page = f"<html><body>{nav}<article><h1>A title</h1><{tag}><p>{long}</p></{tag}><{tag}><p>{short}</p></{tag}><p>Short end</p></article>{foot}"
+        assert htmltext.main_text(page) == want
+    page = f"<body>{nav}<div><h1>A title</h1><table><tr><td><p>{long}</p></td><td><p>{short}</p></td></tr></table><p>Short end</p></div>{foot}"
+    assert htmltext.main_text(page) == want
+    # text outside of main is foreign
+    assert htmltext.main_text(f"<body><div><p>{short}</p></div><main><p>{long}</p><p>{short}</p></main>{foot}") == f"{long.strip()}\n\n{short.strip()}"
+
+
+@pytest.mark.parametrize("name", ["content has-sidebar", "no-sidebar", "related-work", "search-engines", "widget", "site-header", "social", "hidden"])
+def test_html_names_that_hold_the_content(name):
+    long = "A long paragraph, with words, and marks; it goes on."
+    page = (
+        f"<html><body><div class='main-nav menu'>Home, sweet</div><div class='{name}'><h1>A title</h1><p>{long} {long}</p><p>{long}<span class='share'>Share</span><br>end</p></div>"
+        f"<div id=sidebar><p>Also with marks, and words.</p></div><div class='x comment-list comments'><p>{long} {long} {long} {long} {long} {long}</p></div>"
+    )
+    assert htmltext.main_text(page) == f"A title\n\n{long} {long}\n\n{long} end"
+
+
+def test_html_names_on_a_section():
+    long = "A long paragraph, with words, and marks; it goes on. " * 3
+    page = f"<body><article><section><p>{long}</p></section><section id='related-work'><p>{long}</p></section><div class='x related'><p>{long}</p></div></article>"
+    assert htmltext.main_text(page) == f"{long.strip()}\n\n{long.strip()}"
+
+
 def test_pipeline(spark, docs, tmp_path):
     docs.select("doc_id", "text", "lang", "source", "n_chars").write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([(1, ITEM)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
