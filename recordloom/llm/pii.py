@@ -3,12 +3,13 @@
 Exact patterns (e-mail, IP address, card, phone) give the base spans, which always stay. Beside them wide
 generators propose overlapping candidates: runs of digits, things around an at-sign, assignments and opaque tokens. A
 boosted-tree model sees a candidate's format (lengths, digits, checksum, letters, separators) and context (words and marks
-before and after), and gives a probability. Per generator, the threshold is the lowest score at which a
-held-out fifth of the sample reaches ``PRECISION``; candidates above it that overlap nothing already chosen are added.
+before and after), and gives a probability. Per generator, the threshold is the lowest score at which all candidates that the
+model was not fitted on reach ``PRECISION`` (all of the generator, if none of those is personal); candidates above it that
+overlap nothing already chosen are added.
 
 Labels for training are weak: a candidate is personal if it covers a base span or looks like one of a few secret
-formats, else not. The model sees neither rule. It is fitted on at most ``TRAIN_ROWS`` candidates, those with
-the smallest hash; candidates are generated and scored for all texts.
+formats, else not. The model sees neither rule. It is fitted on about ``TRAIN_ROWS`` candidates at most, chosen by hash: the same
+number of each generator, but not more than four fifths of it. Candidates are generated and scored for all texts.
 
 Positions come from splitting a text at the matches of a pattern and adding up lengths, so they count code points.
 Patterns use possessive repeats and begin only at the start of a run or at the end of the last match: no text
@@ -152,27 +153,31 @@ def overlaps(a: Column, b: Column) -> Column:
 
 
 def scored(cands: DataFrame, train_rows: int = TRAIN_ROWS, precision: float = PRECISION) -> DataFrame:
-    """Candidates with ``p`` and ``chosen``: the model is fitted and its thresholds are set on a bounded sample."""
+    """Candidates with ``p`` and ``chosen``, without features: fitted on a bounded sample, thresholds set on all other candidates."""
     names = [c for c in cands.columns if c.startswith("f_")]
-    order = F.xxhash64(FILE, ROW, "start", "kind")
-    sample = cut_lineage(cands.withColumn("_h", order).orderBy("_h", FILE, ROW, "start", "kind").limit(train_rows).drop("_rl"))
-    held = F.pmod(F.shiftright("_h", 8), F.lit(5)) == 0
+    sizes = {r["kind"]: r["count"] for r in cands.groupBy("kind").count().collect()}  # a row per generator
+    share = functools.reduce(lambda out, k: out.when(F.col("kind") == k, min(0.8, train_rows / len(sizes) / sizes[k])), sizes, F.when(F.lit(False), 0.0))
+    place = F.pmod(F.shiftright(F.xxhash64(FILE, ROW, "start", "kind"), 8), F.lit(1 << 40)) / float(1 << 40)
+    cands = cands.withColumn("_fit", place < share)
     vector = VectorAssembler(inputCols=names, outputCol="_features", handleInvalid="keep")
-    fit = vector.transform(sample.filter(~held)).select("_features", F.col("label").cast("double").alias("label"))
+    fit = cut_lineage(cands.filter("_fit").select(*names, F.col("label").cast("double").alias("label")))
     if fit.select("label").distinct().count() < 2:
-        return cands.withColumns({"p": F.lit(0.0), "chosen": F.lit(False)})
-    model = GBTClassifier(featuresCol="_features", labelCol="label", maxIter=TREES, maxDepth=DEPTH, maxBins=32, seed=9).fit(fit)
-
-    def predict(df: DataFrame) -> DataFrame:
-        p = F.round(F.get(vector_to_array("probability"), F.lit(1)), 3)
-        return model.transform(vector.transform(df)).withColumn("p", p).drop("_features", "rawPrediction", "probability", "prediction")
+        return cands.drop("_fit", *names).withColumns({"p": F.lit(0.0), "chosen": F.lit(False)})
+    model = GBTClassifier(featuresCol="_features", labelCol="label", maxIter=TREES, maxDepth=DEPTH, maxBins=32, seed=9).fit(
+        vector.transform(fit).select("_features", "label")
+    )
+    p = F.round(F.get(vector_to_array("probability"), F.lit(1)), 3)
+    judged = model.transform(vector.transform(cands)).withColumn("p", p)
+    judged = cut_lineage(judged.drop("_features", "rawPrediction", "probability", "prediction", *names))
 
-    by_score = predict(sample.filter(held)).groupBy("kind", "p").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("label").cast("int")).alias("good"))
+    by_score = judged.groupBy("kind", "p", "_fit").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("label").cast("int")).alias("good"))
+    unseen = F.max(~F.col("_fit") & (F.col("good") > 0)).over(Window.partitionBy("kind"))
+    counted = by_score.withColumn("_unseen", unseen).filter("not (_fit and _unseen)").groupBy("kind", "p").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
     above = Window.partitionBy("kind").orderBy(F.desc("p"))
-    reached = by_score.select("kind", "p", (F.sum("good").over(above) >= precision * F.sum("n").over(above)).alias("ok"))
+    reached = counted.select("kind", "p", (F.sum("good").over(above) >= precision * F.sum("n").over(above)).alias("ok"))
     thresholds = reached.groupBy("kind").agg(F.min(F.when(F.col("ok"), F.col("p"))).alias("t")).collect()  # a row per generator
     limit = functools.reduce(lambda out, r: out.when(F.col("kind") == r["kind"], r["t"]), thresholds, F.when(F.lit(False), 1.0))
-    return predict(cands).withColumn("chosen", F.coalesce((F.col("p") >= limit) & (F.col("p") > 0.5), F.lit(False)))
+    return judged.drop("_fit").withColumn("chosen", F.coalesce((F.col("p") >= limit) & (F.col("p") > 0.5), F.lit(False)))
 
 
 def find_personal_data(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

@@ -218,6 +218,14 @@ def test_personal_data(docs, empty):
     assert pii.find_personal_data(docs).count() == docs.count() and pii.find_personal_data(empty).isEmpty()
 
 
+def test_personal_data_of_a_rare_generator(spark):
+    # of 4,012 candidates 12 are addresses: a sample of the whole has none of them
+    rows = [(1, i, 0, 6, i % 2 == 0, float(i % 2), 6.0) for i in range(4000)] + [(2, i, 0, 5, i % 3 > 0, float(i % 3 == 0), 5.0) for i in range(12)]
+    cands = spark.createDataFrame(rows, f"{pii.FILE} long, {pii.ROW} long, start int, kind int, label boolean, f_mark double, f_kind double")
+    got = pii.scored(cands, train_rows=60).collect()
+    assert len(got) == len(rows) and all(r["chosen"] == r["label"] for r in got)
+
+
 def test_urls(spark):
     urls = [None, "", "no host", "http://ORG", "http://x.Example.ORG/es/1", "a://example.org/en/12?q", "http://com/de/", "http://notcom/de/", "://a.com/fr/x#y", "http://xorg/"]
     rows = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string")
