@@ -39,9 +39,9 @@ IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 
-NUMBER = r"(?<![0-9A-Za-z])[+(]?[0-9](?:[\x20().\x2F-]{0,2}[0-9]){6,40}+"
-ADDRESS = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+\x20?(?:@|\(at\)|\[at\])\x20?[A-Za-z0-9.-]{2,64}+"
-SECRET = r"(?<![A-Za-z0-9])(?:(?:password|passwd|pwd|token|secret|key)\x20?[=:]\x20?\x22?[^\s\x22]{6,80}+|(?=[0-9]*[A-Za-z])[A-Za-z0-9]{16,80}+)"
+NUMBER = r"(?<![0-9A-Za-z])[+(]?[0-9](?:[\x20().\x2F-]{0,2}[0-9]){6,}+"
+ADDRESS = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++\x20?(?:@|\(at\)|\[at\])\x20?[A-Za-z0-9.-]{2,}+"
+SECRET = r"(?<![A-Za-z0-9])(?:(?:password|passwd|pwd|token|secret|key)\x20?[=:]\x20?\x22?[^\s\x22]{6,}+|(?=[0-9]*[A-Za-z])[A-Za-z0-9]{16,}+)"
 SEED = r"^(?:password=[0-9a-f]{16,}|token = \x22[0-9a-f]{32,}|AKIA[0-9A-Z]{16}$)"
 
 TRAIN_ROWS = 20_000

@@ -7,6 +7,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from recordloom.llm import decontaminate, htmltext, licenses, mixing, neardup, pii, quality, sharding, substrings, urlfilter
@@ -218,6 +219,15 @@ def test_personal_data(docs, empty):
     assert pii.find_personal_data(docs).count() == docs.count() and pii.find_personal_data(empty).isEmpty()
 
 
+def test_personal_data_of_any_length(spark):
+    for k in (1, 3, 4000):
+        secret, word, name, number = "a1B2c3D4e5F6g7H8i9J0" * k, "p4ssw0rd-!" * k, "first.last" * k, "12 34-5678" * k
+        text = f"key {secret} or password={word} or {name}@{name}.org or {number} end"
+        got = spark.createDataFrame([(text,)], "text string").select(pii.candidates(F.col("text")).alias("c")).collect()[0]["c"]
+        spans = {(c["kind"], text[c["start"] : c["end"]]) for c in got}
+        assert {(6, secret), (6, f"password={word}"), (5, f"{name}@{name}.org"), (4, number)} <= spans
+
+
 def test_personal_data_of_a_rare_generator(spark):
     # of 4,012 candidates 12 are addresses: a sample of the whole has none of them
     rows = [(1, i, 0, 6, i % 2 == 0, float(i % 2), 6.0) for i in range(4000)] + [(2, i, 0, 5, i % 3 > 0, float(i % 3 == 0), 5.0) for i in range(12)]
