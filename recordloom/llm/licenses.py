@@ -4,8 +4,8 @@ Every run of ``K`` words of every text is hashed and joined to the positions whe
 template. A hit at word ``p`` of the text and ``q`` of the template votes for diagonal ``p - q``. Votes are summed
 per text, template and diagonal; diagonals that lie close together and follow each other are merged, since an
 inserted or dropped word shifts the rest of a license to a neighbouring diagonal. A merged span becomes a
-label if its hits cover enough of the template. Hits are verified word by word before they vote, so that
-hashes only select.
+label if enough of the template's words stand in it in order: all equal words along its diagonals count, also single
+ones between changed words, each word once. Hits are verified word by word before they vote, so that hashes only select.
 
 The templates are a list of fixed size and are broadcast; a list beyond ``MAX_BROADCAST`` runs is joined as it comes.
 Only hits are shuffled.
@@ -93,6 +93,11 @@ def template_runs(spark: SparkSession, templates: tuple[Template, ...], k: int =
     return F.broadcast(runs) if len(rows) <= MAX_BROADCAST else runs
 
 
+def template_words(spark: SparkSession, templates: tuple[Template, ...]) -> DataFrame:
+    words = spark.createDataFrame([(number, t.words) for number, t in enumerate(templates)], "template int, wanted array<string>")
+    return F.broadcast(words) if sum(len(t.words) for t in templates) <= MAX_BROADCAST else words
+
+
 def hits(docs: DataFrame, templates: tuple[Template, ...], k: int = K) -> DataFrame:
     """One row per verified meeting of a text's run with a template's; ``docs`` has the place columns and ``words``."""
     def rolling(words: Column) -> Column:
@@ -101,20 +106,54 @@ def hits(docs: DataFrame, templates: tuple[Template, ...], k: int = K) -> DataFr
 
     runs = let(F.col("words"), rolling)
     rolled = docs.select(FILE, ROW, "words", F.posexplode(runs).alias("p", "hash"))
-    met = rolled.join(template_runs(docs.sparkSession, templates, k), "hash")
+    met = rolled.join(template_runs(docs.sparkSession, templates, k), "hash").join(template_words(docs.sparkSession, templates), "template")
     same = F.lit(True)
     for j in range(k):
         same = same & (F.get("words", F.col("p") + j) == F.col("run")[j])
-    return met.filter(same).select(FILE, ROW, "template", "label", "base", "length", "p", "q")
+    # all hits of a diagonal have the same words in common, so only those at the start of equal words name them
+    before = F.get("words", F.col("p") - 1) == F.get("wanted", F.col("q") - 1)
+    alike = F.transform("wanted", lambda w, i: F.coalesce(F.get("words", F.col("p") - F.col("q") + i) == w, F.lit(False)))
+    return met.filter(same).select(FILE, ROW, "template", "label", "base", "length", "p", "q", F.when(F.coalesce(before, F.lit(False)), None).otherwise(alike).alias("alike"))
+
+
+def words_in_order(diagonals: Column, length: Column, k: int) -> Column:
+    """How many words of the template a span has in order; ``diagonals`` has (first, diagonal, q_first, q_last, alike) in order of first.
+
+    From one diagonal to the next there is one place to change over, the one that keeps most words. Before it words count on the one
+    diagonal, behind it on the next, there without the template's words that the text lacks.
+    """
+
+    def count(alike: Column, start: Column, end: Column) -> Column:
+        return F.size(F.filter(F.slice(alike, start + 1, F.greatest(end - start, F.lit(0))), lambda x: x))
+
+    def step(a: Column, b: Column) -> Column:
+        lacking = F.greatest(a["diagonal"] - b["diagonal"], F.lit(0))
+        least = F.greatest(a["start"], a["q_last"] + 1)
+        places = F.transform(
+            F.sequence(least, F.greatest(least, b["q_first"] + k - 1)),
+            lambda s: F.struct((count(a["alike"], a["start"], s) + count(b["alike"], s + lacking, length)).alias("kept"), s.alias("at")),
+        )
+        return let(
+            F.array_max(places)["at"],
+            lambda s: F.struct(
+                (a["n"] + count(a["alike"], a["start"], s)).alias("n"), b["diagonal"].alias("diagonal"), b["q_last"].alias("q_last"),
+                b["alike"].alias("alike"), (s + lacking).alias("start"),
+            ),
+        )
+
+    one = diagonals[0]
+    none = F.struct(F.lit(0).alias("n"), one["diagonal"].alias("diagonal"), one["q_last"].alias("q_last"), one["alike"].alias("alike"), F.lit(0).alias("start"))
+    rest = F.slice(diagonals, F.lit(2), F.size(diagonals))
+    return F.aggregate(rest, none, step, lambda a: a["n"] + count(a["alike"], a["start"], length))
 
 
 def spans(found: DataFrame, k: int = K, near: int = NEAR) -> DataFrame:
-    """Votes per diagonal, neighbours merged: (place, label, base, length, first, last, covered, whole)."""
+    """Diagonals with votes, neighbours merged: (place, label, base, length, first, last, covered, whole)."""
     each = [FILE, ROW, "template", "label", "base", "length"]
     # a long text may meet a template often on one diagonal only once: p - q fixes the place of the template's start
     diagonals = found.groupBy(*each, (F.col("p") - F.col("q")).alias("diagonal")).agg(
-        F.count(F.lit(1)).alias("votes"), F.min("p").alias("first"), F.max("p").alias("last_run"),
-        F.min("q").alias("q_first"), F.max("q").alias("q_last"),
+        F.min("p").alias("first"), F.max("p").alias("last_run"), F.min("q").alias("q_first"), F.max("q").alias("q_last"),
+        F.first("alike", ignorenulls=True).alias("alike"),
     )
     order = Window.partitionBy(*each).orderBy("first", "diagonal")
     joins = (
@@ -126,13 +165,12 @@ def spans(found: DataFrame, k: int = K, near: int = NEAR) -> DataFrame:
     grouped = runs.withColumn("_span", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     merged = grouped.groupBy(*each, "_span").agg(
         F.min("first").alias("first"), F.max("last_run").alias("last_run"), F.count(F.lit(1)).alias("diagonals"),
-        # a diagonal with v votes covers v + k - 1 words
-        F.sum(F.col("votes") + k - 1).alias("covered"),
-    )
+        F.sort_array(F.collect_list(F.struct("first", "diagonal", "q_first", "q_last", "alike"))).alias("along"),
+    ).withColumn("covered", words_in_order(F.col("along"), F.col("length"), k))
     return merged.select(
         FILE, ROW, "label", "base", "first", (F.col("last_run") + k).alias("end"),
         ((F.col("diagonals") == 1) & (F.col("covered") == F.col("length"))).alias("whole"),
-        F.least(F.lit(1.0), F.col("covered") / F.col("length")).alias("share"),
+        (F.col("covered") / F.col("length")).alias("share"),
     )
 
 

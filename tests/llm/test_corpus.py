@@ -211,6 +211,26 @@ def test_licenses(docs, empty):
     assert licenses.scan_licenses(empty).isEmpty()
 
 
+def test_licenses_of_edited_notices(spark):
+    bsd, mit = (max((t.words for t in licenses.TEMPLATES if t.label == x), key=len) for x in ("bsd", "mit"))
+
+    def changed(words, *places):
+        return ["other" if i in places else w for i, w in enumerate(words)]
+
+    cases = [
+        (changed(bsd, 6, 13), "bsd", 19 / 21), (changed(mit, 8, 18), "mit", (len(mit) - 2) / len(mit)), (changed(bsd, 1, 19), "bsd", 19 / 21),
+        (changed(bsd, 3, 5, 12, 14), "bsd", 17 / 21), (changed(bsd, 3, 5, 7, 12, 14), "", 16 / 21),
+        # two words in addition after one, and one missing
+        ([*bsd[:7], "x", "y", *bsd[7:]], "bsd", 1.0), (bsd[:9] + bsd[10:], "bsd", 20 / 21),
+        # a single word before an addition, and one behind it, next to changed ones
+        ([*changed(bsd, 6)[:8], "x", *changed(bsd, 9)[8:]], "bsd", 19 / 21),
+        (bsd[:10], "", 10 / 21),
+    ]
+    table = spark.createDataFrame([(i, " ".join(["some", "words", *w, "more"])) for i, (w, _, _) in enumerate(cases)], "doc_id long, text string")
+    got = {r["doc_id"]: (r["labels"], round(r["score"], 6)) for r in licenses.scan_licenses(table).collect()}
+    assert got == {i: (label, round(score, 6)) for i, (_, label, score) in enumerate(cases)}
+
+
 def test_personal_data(docs, empty):
     for r in pii.find_personal_data(docs.filter("text like '%mail a.b@c.de%'")).join(docs.select("doc_id", "text"), "doc_id").collect():
         found = {(s["kind"], r["text"][s["start"] : s["end"]]) for s in r["base"]}
