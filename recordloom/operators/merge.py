@@ -213,10 +213,12 @@ def commit(
 
     Only the buckets that the delta touches are read and rewritten. The list of touched
     buckets is at most ``buckets`` numbers, whatever the delta's size. Returns their number.
-    The delta is evaluated once for that list and once for the merge, so land it first when it
-    is costly; a first load writes all buckets and needs no list.
+    Rows that lack a key column are kept beside the table, with their reason (``store.rejects``).
+    The delta is evaluated once for that list, once for the rejects and once for the merge, so land
+    it first when it is costly; a first load writes all buckets and needs no list.
     """
-    good, _ = require_key(delta, spec.pk)
+    good, lacking = require_key(delta, spec.pk)
+    rejected = store.set_aside(spec.name, reject_log(lacking, spec.name))
     n = store.buckets(spec.name, buckets)
     if spec.delete_flag and spec.delete_flag in good.columns:
         good = tombstone_flag(good, spec.delete_flag)
@@ -233,8 +235,8 @@ def commit(
         touched = [r[0] for r in good.select(bucket_of(spec.pk, n).alias(BUCKET)).distinct().collect()]
         base = store.read(spec.name, only=touched)
         if not touched:
-            if state:
-                store.write(spec.name, base, spec.pk, n, touched, state)
+            if state or rejected:
+                store.write(spec.name, base, spec.pk, n, touched, state, rejected)
             return 0
     if spec.sparse and "present" in good.columns:
         deletes = latest_per_key(good, spec.pk, seq).filter(F.col(OP) == "D")
@@ -242,5 +244,5 @@ def commit(
         merged = drop_keys(merged, deletes, spec.pk)
     else:
         merged = apply_changes(base, good.drop("present"), spec.pk, seq)
-    store.write(spec.name, merged, spec.pk, n, touched, state)
+    store.write(spec.name, merged, spec.pk, n, touched, state, rejected)
     return n if first_load else len(touched)

@@ -290,6 +290,26 @@ def stitched_backfill(spark, sf):
     return store.read("events").drop("ts")
 
 
+@query(
+    "committed_rejects",
+    """
+    SELECT 'orders' AS "table", 'missing key: id' AS reason,
+           'id:bigint=null, number:bigint=' || o_orderkey || ', status:string=' || o_orderstatus || ', run_id:int=' || (1 + o_orderkey % 2) AS fields
+    FROM orders WHERE o_orderstatus = 'F'
+    """,
+)
+def committed_rejects(spark, sf):
+    """Two runs with orders that lack their key: the table's rejects are those of both."""
+    store = scratch_store(spark)
+    number = F.col("o_orderkey").cast("long")
+    rows = table(spark, sf, "orders").select(
+        F.when(F.col("o_orderstatus") != "F", number).alias("id"), number.alias("number"), F.col("o_orderstatus").alias("status")
+    )
+    for run_id in (1, 2):
+        commit(store, TableSpec("orders", ("id",)), rows.filter(1 + F.col("number") % 2 == run_id).withColumn("run_id", F.lit(run_id)), ["run_id"], buckets=8)
+    return store.rejects("orders")
+
+
 @query(
     "incremental_orders",
     """

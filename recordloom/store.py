@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from recordloom.spec import ddl_of, quote
 
 BUCKET = "_bucket"
+REJECTS = "table string, reason string, fields string"
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -123,8 +124,9 @@ class TableStore:
         buckets: int,
         touched: Sequence[int] | None = None,
         state: dict | None = None,
+        rejected: str | None = None,
     ) -> None:
-        """New version of the touched buckets (all of them by default), then the pointer and the state in it."""
+        """New version of the touched buckets (all of them by default), then the pointer and in it the state and what was set aside."""
         before = self.current(table)
         number = before.get("number", 0) + 1
         version = f"v{number}-{uuid.uuid4().hex[:8]}"
@@ -151,12 +153,29 @@ class TableStore:
             "schema": ", ".join(f"{quote(f.name)} {ddl_of(f.dataType)}" for f in rows.schema.fields),
             "versions": versions,
             "state": {**before.get("state", {}), **(state or {})},
+            "rejects": [*before.get("rejects", []), *([rejected] if rejected else [])],
         }
         if self.current(table).get("number", 0) != before.get("number", 0):
             # another writer came between; its version stays in place
             raise RuntimeError(f"{table}: changed by another commit, run this one again")
         self._write_text(f"{self.root}/{table}/_current.json", json.dumps(pointer))
 
+    # -- rows that were refused: they count from the commit that names their folder --
+
+    def set_aside(self, table: str, rejects: DataFrame) -> str | None:
+        """Write refused rows (table, reason, fields) beside the table; the name of their folder, none without rows."""
+        name = f"r{self.current(table).get('number', 0) + 1}-{uuid.uuid4().hex[:8]}"
+        path = f"{self.root}/{table}/rejects/{name}"
+        rejects.write.parquet(path)
+        return None if self.spark.read.schema(REJECTS).parquet(path).isEmpty() else name
+
+    def rejects(self, table: str) -> DataFrame:
+        """Refused rows of all commits: table, reason, fields."""
+        names = self.current(table).get("rejects", [])
+        if not names:
+            return self.spark.createDataFrame([], REJECTS)
+        return self.spark.read.schema(REJECTS).parquet(*[f"{self.root}/{table}/rejects/{name}" for name in names])
+
     # -- state that belongs to a table: it moves only with the data, in the same pointer --
 
     def state(self, table: str) -> dict:

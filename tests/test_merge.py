@@ -229,3 +229,15 @@ def test_upsert_without_order_takes_no_key_twice(spark, rows_of):
 def test_key_column_that_a_batch_lacks(spark):
     good, bad = M.require_key(spark.createDataFrame([("a",)], "v string"), ["id"])
     assert good.count() == 0 and bad.first()["reject_reason"] == "missing key: id"
+
+
+def test_commit_keeps_rejects(spark, store, rows_of):
+    assert store.rejects(SPEC.name).isEmpty()
+    M.commit(store, SPEC, delta(spark, [(1, "a", False, 1), (None, "lost", False, 1)]), ["seq"], buckets=4)
+    M.commit(store, SPEC, delta(spark, [(2, "b", False, 2)]), ["seq"])
+    # a delta of rejects alone, without a state
+    assert M.commit(store, SPEC, delta(spark, [(None, "gone", True, 3), (None, "gone", True, 3)]), ["seq"]) == 0
+    store.vacuum(SPEC.name)
+    got = rows_of(store.rejects(SPEC.name))
+    assert [r[1] for r in got] == ["missing key: id"] * 3 and [sum(w in r[2] for r in got) for w in ("lost", "gone")] == [1, 2]
+    assert rows_of(store.read(SPEC.name), "id") == [(1,), (2,)] and len(store.current(SPEC.name)["rejects"]) == 2

@@ -55,6 +55,10 @@ def test_agrees_with_sql(spark, duck, name):
     assert mine == theirs
 
 
+def test_rejects_agree_with_sql(spark, duck):
+    test_agrees_with_sql(spark, duck, "committed_rejects")
+
+
 def test_nest_splits_a_hot_key(spark, tmp_path):
     """A key with a third of all rows, all of them equal, still gives documents of bounded size."""
     rows = [(0, "same")] * 3000 + [(i, "x") for i in range(1, 6001)]
