@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from datetime import datetime
+from datetime import timedelta
 
 from pyspark.sql import functions as F
 
@@ -286,7 +286,11 @@ def stitched_backfill(spark, sf):
     def run(rows, high):
         commit(store, spec, rows.withColumn("run_id", F.lit(str(high))), ["run_id"], {"to_ts": str(high)}, buckets=8)
 
-    stitch_windows(events, "ts", datetime(2024, 1, 1), datetime(2024, 1, 31), run, days=10)
+    run(events.filter("ts is null"), None)  # in no window
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    if first is not None:
+        # a day more on both sides, whatever the driver's time zone
+        stitch_windows(events, "ts", first - timedelta(days=1), last + timedelta(days=1), run, days=10)
     return store.read("events").drop("ts")
 
 

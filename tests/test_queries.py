@@ -59,6 +59,16 @@ def test_rejects_agree_with_sql(spark, duck):
     test_agrees_with_sql(spark, duck, "committed_rejects")
 
 
+def test_backfill_of_any_months(spark, tmp_path):
+    days = ["2023-11-30", "2024-01-01", "2024-01-11", "2024-01-31", "2024-03-05", None]
+    rows = spark.createDataFrame([(i, "view", 1.5 * i, d) for i, d in enumerate(days)], "event_id long, event_type string, value double, ts string")
+    for name, events in (("some", rows), ("none", rows.limit(0))):
+        events.withColumn("ts", F.col("ts").cast("timestamp_ntz")).write.parquet(str(tmp_path / name / "events.parquet"))
+    got = entry.queries()["stitched_backfill"](spark, str(tmp_path / "some")).collect()
+    assert sorted((r["id"], r["value"]) for r in got) == [(i, 1.5 * i) for i in range(len(days))]
+    assert entry.queries()["stitched_backfill"](spark, str(tmp_path / "none")).isEmpty()
+
+
 def test_nest_splits_a_hot_key(spark, tmp_path):
     """A key with a third of all rows, all of them equal, still gives documents of bounded size."""
     rows = [(0, "same")] * 3000 + [(i, "x") for i in range(1, 6001)]
