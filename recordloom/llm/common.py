@@ -38,6 +38,14 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column has it, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write rows as Parquet into the shared folder and read them back: lineage ends, columns can be pruned."""
     path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/recordloom-{uuid.uuid4().hex}"
@@ -59,6 +67,6 @@ def with_place(df: DataFrame) -> DataFrame:
 
 
 __all__ = [
-    "FILE", "LOWER", "ROW", "SPACE_RUN", "UPPER", "WORD", "ascii_lower", "cut_lineage", "let", "split_words", "stage", "table",
+    "FILE", "LOWER", "ROW", "SPACE_RUN", "UPPER", "WORD", "ascii_lower", "cut_lineage", "free_name", "let", "split_words", "stage", "table",
     "with_place",
 ]
