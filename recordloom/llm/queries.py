@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from recordloom.llm import decontaminate, htmltext, licenses, mixing, neardup, pii, quality, sharding, substrings, urlfilter
+from recordloom.llm import (
+    decontaminate, htmltext, licenses, mixing, neardup, pii, quality, runs, sharding, substrings, treeweight, urlfilter, whitening,
+)
 
 QUERIES = {
     "op1_mixing": mixing.op1,
@@ -16,6 +18,9 @@ QUERIES = {
     "op7_url_filters": urlfilter.op7,
     "op8_suffix_array_dedup": substrings.op8,
     "op9_pii": pii.op9,
+    "op11_embedding_whitening": whitening.op11,
+    "op12_periodic_runs": runs.op12,
+    "op13_lm_scoring": treeweight.op13,
     "pipeline": corpus_pipeline.run,
 }
 
