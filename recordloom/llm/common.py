@@ -46,10 +46,10 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def stage(df: DataFrame) -> DataFrame:
+def stage(df: DataFrame, compression: str | None = None) -> DataFrame:
     """Write rows as Parquet into the shared folder and read them back: lineage ends, columns can be pruned."""
     path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/recordloom-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

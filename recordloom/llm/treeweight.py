@@ -32,8 +32,8 @@ from pyspark.sql import types as T
 
 from recordloom.llm.common import FILE, ROW, free_name, stage, table, with_place
 
-DEPTH = 5
-CHUNK_BYTES = 16 * 2**20
+DEPTH = 4
+CHUNK_BYTES = 32 * 2**20
 #: Grams of a chunk are made and looked up in slices of about this many bytes.
 SLICE_BYTES = 4 * 2**20
 #: Blocks of grams for the two deepest levels have about this many rows.
@@ -43,8 +43,8 @@ SLOT_BITS = 22
 END = 255
 
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
-#: Columns of a chunk: its number, the text's bytes, whether they are learnt from.
-CHUNK, BODY, LEARN = "_rl_chunk", "_rl_body", "_rl_learn"
+#: Columns added to rows: the number of their chunk, whether they are learnt from.
+CHUNK, LEARN = "_rl_chunk", "_rl_learn"
 LISTS = f"{CHUNK} long, gram long, word binary, n long"
 FOUND = T.StructType(
     [
@@ -97,34 +97,33 @@ def windows(data: np.ndarray, depth: int) -> np.ndarray:
     return out
 
 
+def lowered(column: pa.Array) -> list[bytes]:
+    """UTF-8 bytes of texts with A-Z lower-cased; null is empty."""
+    return [(b or b"").translate(LOWER) for b in column.cast(pa.large_binary()).to_pylist()]
+
+
 def dealt(at: int, chunk_bytes: int):
-    """Add the number of its chunk and its lower-cased bytes to each row; a chunk is a run of rows of one task, named by its first."""
+    """Put the number of its chunk in place of each row's own; a chunk is a run of rows of one task, named by its first."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk, size = None, 0
         for batch in batches:
-            chunks, bodies = [], []
-            for place, body in zip(batch.column(at + 1).to_pylist(), batch.column(at).cast(pa.large_binary())):
-                body = (body.as_py() or b"").translate(LOWER)
-                if chunk is None or size + len(body) > chunk_bytes:
+            chunks = []
+            lengths = pc.fill_null(pc.binary_length(batch.column(at).cast(pa.large_binary())), 0).to_pylist()
+            for place, length in zip(batch.column(batch.num_columns - 2).to_pylist(), lengths):
+                if chunk is None or size + length > chunk_bytes:
                     chunk, size = place, 0
-                size += len(body)
+                size += length
                 chunks.append(chunk)
-                bodies.append(body)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:at], pa.array(chunks, pa.int64()), pa.array(bodies, pa.binary()), *batch.columns[at + 2 :]],
-                names=[*batch.schema.names[:at], CHUNK, BODY, *batch.schema.names[at + 2 :]],
-            )
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(chunks, pa.int64()), batch.column(batch.num_columns - 1)], names=batch.schema.names)
 
     return task
 
 
 def chunked(df: DataFrame, text: str, train: Column, chunk_bytes: int) -> DataFrame:
-    """Rows with chunk, bytes and training flag, written once, so that later passes agree on chunks."""
-    placed = with_place(df)
-    rows = placed.select(*df.columns, F.col(text).alias(BODY), F.xxhash64(FILE, ROW).alias(CHUNK), F.coalesce(train, F.lit(False)).alias(LEARN))
-    schema = T.StructType([*df.schema.fields, T.StructField(CHUNK, T.LongType()), T.StructField(BODY, T.BinaryType()), T.StructField(LEARN, T.BooleanType())])
-    return stage(rows.mapInArrow(dealt(len(df.columns), chunk_bytes), schema))
+    """Rows with chunk and training flag, written once, so that later passes agree on chunks."""
+    rows = with_place(df).select(*df.columns, F.xxhash64(FILE, ROW).alias(CHUNK), F.coalesce(train, F.lit(False)).alias(LEARN))
+    return stage(rows.mapInArrow(dealt(df.columns.index(text), chunk_bytes), rows.schema), "zstd")
 
 
 def counted(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -171,7 +170,7 @@ def listing(depth: int):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk, bodies, learn = None, [], []
         for batch in batches:
-            for c, body, x in zip(*(batch.column(k).to_pylist() for k in range(3))):
+            for c, body, x in zip(batch.column(0).to_pylist(), lowered(batch.column(1)), batch.column(2).to_pylist()):
                 if c != chunk:
                     if bodies:
                         yield from lists(chunk, bodies, learn)
@@ -348,7 +347,7 @@ def finder(keys: np.ndarray, values: np.ndarray):
     return find
 
 
-def scored(depth: int, names: list[str], ends: int):
+def scored(depth: int, names: list[str], at: int, ends: int):
     """Scores of a chunk's texts from the chunk's part of model and counts."""
     end = (ends > 0, float(np.log10(ends + 1)))
 
@@ -357,7 +356,7 @@ def scored(depth: int, names: list[str], ends: int):
         find = finder(grams["gram"].to_numpy(), grams["value"].to_numpy())
         words = part.filter(pc.is_valid(part["word"]))
         known = dict(zip(words["word"].to_pylist(), words["value"].to_pylist()))
-        bodies = texts[BODY].to_pylist()
+        bodies = lowered(texts[names[at]].combine_chunks())
         score = np.zeros(len(bodies))
         for first, found, begins in slices(bodies, depth):
             score[first : first + len(begins)] += np.add.reduceat(find(found), begins)
@@ -383,10 +382,10 @@ def score_texts(
         raise ValueError("depth is 1 to 6 bytes")
     out = free_name(df, out)
     rows = chunked(df, text, train, chunk_bytes)
-    lists = stage(rows.select(CHUNK, BODY, LEARN).mapInArrow(listing(depth), LISTS))
+    lists = stage(rows.select(CHUNK, text, LEARN).mapInArrow(listing(depth), LISTS), "zstd")
     gram_lists, word_lists = lists.filter("gram is not null"), lists.filter("word is not null")
     grams = stage(gram_lists.groupBy("gram").agg(F.sum("n").alias("n")))
-    words = word_lists.groupBy("word").agg(F.sum("n").alias("n")).filter("n > 0")
+    words = stage(word_lists.groupBy("word").agg(F.sum("n").alias("n")).filter("n > 0"), "zstd")
     totals = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     ends = rows.filter(LEARN).count()
     tokens, kinds = totals["n"] + ends, totals["v"] + (ends > 0)
@@ -401,7 +400,7 @@ def score_texts(
         )
     )
     schema = T.StructType([*df.schema.fields, T.StructField(out, FOUND)])
-    met = rows.groupBy(CHUNK).cogroup(part.groupBy(CHUNK)).applyInArrow(scored(depth, schema.names, ends), schema)
+    met = rows.groupBy(CHUNK).cogroup(part.groupBy(CHUNK)).applyInArrow(scored(depth, schema.names, df.columns.index(text), ends), schema)
     found = F.col(f"`{out}`")
     base = found["logs"] - found["n_tokens"] * float(np.log10(tokens + kinds + 1))
     return met.withColumn(
