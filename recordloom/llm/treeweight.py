@@ -33,9 +33,9 @@ from pyspark.sql import types as T
 from recordloom.llm.common import FILE, ROW, free_name, stage, table, with_place
 
 DEPTH = 4
-CHUNK_BYTES = 32 * 2**20
+CHUNK_BYTES = 24 * 2**20
 #: Grams of a chunk are made and looked up in slices of about this many bytes.
-SLICE_BYTES = 4 * 2**20
+SLICE_BYTES = 2 * 2**20
 #: Blocks of grams for the two deepest levels have about this many rows.
 BLOCK_ROWS = 2**18
 #: At most 2^this slots for looking up a chunk's grams.
@@ -360,13 +360,17 @@ def scored(depth: int, names: list[str], at: int, ends: int):
         score = np.zeros(len(bodies))
         for first, found, begins in slices(bodies, depth):
             score[first : first + len(begins)] += np.add.reduceat(find(found), begins)
-        rows = []
-        for body, value in zip(bodies, score.tolist()):
+        sizes, hits, sums = [], [], []
+        for body in bodies:
             tokens = body.split()
             logs = [x for x in map(known.get, tokens) if x is not None]
-            rows.append({"n_tokens": len(tokens) + 1, "n_known": len(logs) + end[0], "logs": sum(logs) + end[1], "score": value})
-        kind = pa.struct([("n_tokens", pa.int64()), ("n_known", pa.int64()), ("logs", pa.float64()), ("score", pa.float64())])
-        return pa.Table.from_arrays([*(texts[n].combine_chunks() for n in names[:-1]), pa.array(rows, kind)], names=names)
+            sizes.append(len(tokens) + 1)
+            hits.append(len(logs) + end[0])
+            sums.append(sum(logs) + end[1])
+        made = pa.StructArray.from_arrays(
+            [pa.array(sizes, pa.int64()), pa.array(hits, pa.int64()), pa.array(sums, pa.float64()), pa.array(score)], names=["n_tokens", "n_known", "logs", "score"]
+        )
+        return pa.Table.from_arrays([*(texts[n].combine_chunks() for n in names[:-1]), made], names=names)
 
     return task
 
