@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from datetime import date, datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from recordloom.operators.flatten import at
 from recordloom.spec import Policy, TableSpec
 
 
@@ -159,14 +162,80 @@ def window_keyed_history(df: DataFrame, from_date: date | str, to_date: date | s
     )
 
 
-def read_by_policy(df: DataFrame, spec: TableSpec, state: Mapping, as_of=None) -> DataFrame:
-    """The part of a landed table that its policy asks for."""
+def cursor_time(df: DataFrame, column: str) -> Column:
+    """Values of a cursor column as times: typed ones as they are, text in ISO form or as ``01-Jan-2025 00:00:00``."""
+    if isinstance(df.schema[column].dataType, T.StringType):
+        return F.coalesce(parsed_time(at(column)), F.try_to_timestamp(at(column), F.lit("dd-MMM-yyyy HH:mm:ss")))
+    return parsed_time(at(column))
+
+
+def _reach(df: DataFrame, column: str, cursor: str) -> Column:
+    """A comparison of the bare column that no row from the cursor on fails, so that a scan can skip what it rules out.
+
+    ISO text sorts by its date; two days leave room for offsets. What does not begin with a digit is let through.
+    """
+    kind = df.schema[column].dataType
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return at(column) >= F.lit(cursor).cast(kind)
+    if isinstance(kind, T.DateType):
+        return at(column) >= F.lit(cursor).cast("timestamp").cast("date")
+    if isinstance(kind, T.StringType):
+        day = date.fromisoformat(cursor[:10]) - timedelta(days=2)
+        return (at(column) >= F.lit(day.isoformat())) | (at(column) < F.lit("0"))
+    return F.lit(True)
+
+
+def modified_since(df: DataFrame, columns: Sequence[str], cursor, landed: str | None = None) -> DataFrame:
+    """Rows whose first known time among ``columns`` is the cursor or later.
+
+    Beside the exact condition stand comparisons of bare columns, joined with OR, which reach the scan as range filters. Their text form
+    holds for ISO times with years of four digits. With ``landed``, the day on which a row was landed and by which the table
+    is partitioned, days before the cursor's are not read: a row is not landed before it is modified (a day is left for zones).
+    """
+    cursor = str(cursor)
+    moment = F.lit(cursor).cast("timestamp")
+    kinds = [df.schema[c].dataType for c in columns]
+    if all(isinstance(k, (T.TimestampType, T.TimestampNTZType)) for k in kinds):
+        # exact on bare columns alone: a column counts where those before it are null
+        known = F.lit(False)
+        for i, c in enumerate(columns):
+            mine = _reach(df, c, cursor)
+            for earlier in columns[:i]:
+                mine = at(earlier).isNull() & mine
+            known = mine if i == 0 else known | mine
+        rows = df.filter(known)
+    else:
+        reach = reduce(Column.__or__, [_reach(df, c, cursor) for c in columns])
+        rows = df.filter(reach).filter(F.coalesce(*[cursor_time(df, c) for c in columns]) >= moment)
+    return rows if landed is None else rows.filter(_landed_since(df, landed, date.fromisoformat(cursor[:10]) - timedelta(days=1)))
+
+
+def _landed_since(df: DataFrame, landed: str, day: date) -> Column:
+    return at(landed) >= F.lit(day.isoformat()).cast(df.schema[landed].dataType)
+
+
+def read_scopes(df: DataFrame, due: DataFrame, scope: str) -> DataFrame:
+    """Rows of the scopes that are due. On a table partitioned by ``scope`` only their partitions are read (dynamic pruning)."""
+    wanted = due.select(F.col(due.columns[0]).cast(df.schema[scope].dataType).alias(scope)).distinct()
+    return df.join(wanted, scope, "left_semi")
+
+
+def read_by_policy(df: DataFrame, spec: TableSpec, state: Mapping, as_of=None, landed: str | None = None) -> DataFrame:
+    """The part of a landed table that its policy asks for; ``landed`` names the day by which the table is partitioned, if any.
+
+    A window without a column of its own goes by the day of landing, or is read whole where there is none.
+    """
     if spec.policy is Policy.WINDOW:
-        return trailing_window(df, spec.cursor[0], as_of, spec.window_days)
-    if spec.policy in (Policy.MODIFIED, Policy.CREATED) and state.get("cursor"):
-        value = F.coalesce(*[parsed_time(c) for c in spec.cursor])
-        return df.filter(value >= F.lit(state["cursor"]).cast("timestamp"))
-    if spec.policy is Policy.MAX_ID:
+        column = spec.cursor[0] if spec.cursor else landed
+        if column is None:
+            return df
+        if not isinstance(df.schema[column].dataType, T.StringType):
+            return trailing_window(df, column, as_of, spec.window_days, spec.future_days)
+        timed = df.withColumn("_window_time", cursor_time(df, column))
+        return trailing_window(timed, "_window_time", as_of, spec.window_days, spec.future_days).drop("_window_time")
+    if spec.policy in (Policy.MODIFIED, Policy.CREATED) and spec.cursor and state.get("cursor"):
+        return modified_since(df, spec.cursor, state["cursor"], landed)
+    if spec.policy is Policy.MAX_ID and spec.cursor:
         return append_only_by_id(df, spec.cursor[0], state.get("max_id"))
     return df
 

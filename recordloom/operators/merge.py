@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from recordloom.operators.flatten import at
 from recordloom.operators.keys import require_key
-from recordloom.spec import TableSpec
+from recordloom.spec import TableSpec, ddl_of, quote
 from recordloom.store import BUCKET, TableStore, bucket_of
 
 # Statuses that mean a record is gone.
@@ -30,20 +30,20 @@ def latest_per_key(df: DataFrame, pk: Sequence[str], seq: Sequence[str]) -> Data
     ``row_number() = 1`` is pushed below the shuffle as a group limit: each task sends at most
     one row per key, so a key with a third of all rows costs no more than any other.
     """
-    w = Window.partitionBy(*pk).orderBy(*[F.col(c).desc_nulls_last() for c in seq])
+    w = Window.partitionBy(*map(at, pk)).orderBy(*[at(c).desc_nulls_last() for c in seq])
     return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
 def _once_per_key(df: DataFrame, pk: Sequence[str]) -> DataFrame:
     """The rows, each key at most once, or a failure that names the key columns."""
-    second = F.row_number().over(Window.partitionBy(*pk).orderBy(*pk)) > 1
+    second = F.row_number().over(Window.partitionBy(*map(at, pk)).orderBy(*map(at, pk))) > 1
     failure = F.raise_error(F.lit(f"two rows of one key ({', '.join(pk)}) and no order between them")).cast("boolean")
     return df.withColumn("_second", second).filter(F.when(F.col("_second"), failure).otherwise(F.lit(True))).drop("_second")
 
 
 def dedupe_run(df: DataFrame, pk: Sequence[str], seq: Sequence[str]) -> DataFrame:
     """The first row met per key in a run."""
-    w = Window.partitionBy(*pk).orderBy(*[F.col(c).asc_nulls_last() for c in seq])
+    w = Window.partitionBy(*map(at, pk)).orderBy(*[at(c).asc_nulls_last() for c in seq])
     return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
@@ -54,10 +54,32 @@ def upsert(target: DataFrame, delta: DataFrame, pk: Sequence[str], seq: Sequence
     """
     rows = latest_per_key(delta, pk, seq) if seq else _once_per_key(delta, pk)
     rows = rows.drop(*[c for c in seq if c not in target.columns and c not in pk])
-    kept = target.join(rows.select(*pk), list(pk), "left_anti")
+    kept = target.join(rows.select(*map(at, pk)), list(pk), "left_anti")
     return kept.unionByName(rows, allowMissingColumns=True)
 
 
+def fold_sparse(delta: DataFrame, pk: Sequence[str], seq: Sequence[str] = (), present: str = "present") -> DataFrame:
+    """One row per key with ``_set``: {column number: slot}, the last value of each column that some row sets.
+
+    Changes are unpivoted to (key, column, order, slot); a slot has a field for each type among the columns, so that values keep their
+    type, and number -1 stands for the key itself. The last change of a key and column is a group limit below the shuffle, so a hot
+    key sends no more than one change per column and task, and what is left of a key is put together by hash aggregation.
+    """
+    columns = [c for c in delta.columns if c not in (*pk, *seq, present)]
+    types = {c: ddl_of(delta.schema[c].dataType) for c in columns}
+    kinds = list(dict.fromkeys(types.values()))
+    names, order = [quote(c) for c in pk], [quote(c) for c in seq]
+
+    def change(number: int, c: str | None) -> Column:
+        slot = F.struct(*[(at(c) if c and types[c] == k else F.lit(None).cast(k)).alias(f"s{i}") for i, k in enumerate(kinds)])
+        return F.struct(F.lit(number).alias("c"), slot.alias("s"))
+
+    changes = [change(-1, None), *(F.when(F.array_contains(present, c), change(i, c)) for i, c in enumerate(columns))]
+    long = delta.select(*names, *order, F.explode(F.filter(F.array(*changes), lambda x: x.isNotNull())).alias("_x"))
+    last = latest_per_key(long.select(*names, *order, F.col("_x.c").alias("_c"), F.col("_x.s").alias("_s")), [*pk, "_c"], seq or ["_c"])
+    return last.groupBy(*names).agg(F.map_from_entries(F.collect_list(F.struct("_c", "_s"))).alias("_set"))
+
+
 def upsert_sparse(
     target: DataFrame,
     delta: DataFrame,
@@ -67,28 +89,22 @@ def upsert_sparse(
 ) -> DataFrame:
     """Merge where a column that a row does not set keeps its stored value.
 
-    Several delta rows of one key are folded first: per column the last row that sets it wins.
-    The fold is a plain aggregation, so it starts before the shuffle.
+    Several delta rows of one key are folded first: per column the last row that sets it wins. A row that sets nothing still brings its key.
     """
     columns = [c for c in delta.columns if c not in (*pk, *seq, present)]
-    order = F.struct(*seq) if seq else F.lit(1)
-    folded = delta.groupBy(*pk).agg(
-        *[
-            F.max_by(F.col(c), F.when(F.array_contains(present, c), order)).alias(f"_d_{c}")
-            for c in columns
-        ],
-        *[F.max(F.array_contains(present, c)).alias(f"_p_{c}") for c in columns],
-    )
+    kinds = list(dict.fromkeys(ddl_of(delta.schema[c].dataType) for c in columns))
+    folded = fold_sparse(delta, pk, seq, present)
     joined = target.join(folded, list(pk), "full_outer")
     stored = [c for c in target.columns if c not in pk]
-    out = [F.col(c) for c in pk]
+    out = [at(c) for c in pk]
     for c in [*stored, *[c for c in columns if c not in stored]]:
-        new = F.col(f"_d_{c}") if c in columns else None
-        old = F.col(c) if c in stored else F.lit(None)
-        if new is None:
+        old = at(c) if c in stored else F.lit(None)
+        if c not in columns:
             out.append(old.alias(c))
         else:
-            out.append(F.when(F.col(f"_p_{c}"), new).otherwise(old).alias(c))
+            number = columns.index(c)
+            new = F.col("_set")[number][f"s{kinds.index(ddl_of(delta.schema[c].dataType))}"]
+            out.append(F.when(F.coalesce(F.map_contains_key("_set", F.lit(number)), F.lit(False)), new).otherwise(old).alias(c))
     return joined.select(*out)
 
 
@@ -105,14 +121,14 @@ def tombstone_status(delta: DataFrame, status: str, statuses: Sequence[str] = DE
 def apply_changes(target: DataFrame, changes: DataFrame, pk: Sequence[str], seq: Sequence[str]) -> DataFrame:
     """Target after an ordered stream of upserts and deletes; per key the last change decides."""
     last = latest_per_key(changes, pk, seq)
-    kept = target.join(last.select(*pk), list(pk), "left_anti")
+    kept = target.join(last.select(*map(at, pk)), list(pk), "left_anti")
     rows = last.filter(F.col(OP) == "U").drop(OP, *[c for c in seq if c not in target.columns and c not in pk])
     return kept.unionByName(rows, allowMissingColumns=True)
 
 
 def cascade_delete(children: DataFrame, parents_gone: DataFrame, on: Mapping[str, str]) -> DataFrame:
     """Child rows whose parent was not deleted (``{child column: parent column}``)."""
-    gone = parents_gone.select(*[F.col(p).alias(c) for c, p in on.items()]).distinct()
+    gone = parents_gone.select(*[at(p).alias(c) for c, p in on.items()]).distinct()
     return children.join(gone, list(on), "left_anti")
 
 
@@ -166,17 +182,19 @@ def reconcile_snapshot(
     same = {c for c in names if before.schema[c].dataType == current.schema[c].dataType}
 
     def key_of(c: str) -> Column:
-        return F.col(c) if c in same else F.col(c).cast("string")
+        return at(c) if c in same else at(c).cast("string")
 
-    now = current.select(*[key_of(c).alias(f"_k_{c}") for c in names]).dropna().distinct()
+    now = current.select(*[key_of(c).alias(f"_k_{c}") for c in names]).distinct()
+    for c in names:
+        now = now.filter(at(f"_k_{c}").isNotNull())
     keyed = before.withColumns({f"_k_{c}": key_of(c) for c in names})
     missing = keyed.join(now, [f"_k_{c}" for c in names], "left_anti")
-    return missing.select(*names)
+    return missing.select(*map(at, names))
 
 
 def drop_keys(target: DataFrame, gone: DataFrame, pk: Sequence[str]) -> DataFrame:
     """Target without the given keys."""
-    return target.join(gone.select(*pk), list(pk), "left_anti")
+    return target.join(gone.select(*map(at, pk)), list(pk), "left_anti")
 
 
 def active_rows(df: DataFrame, deleted: str = "deleted") -> DataFrame:
@@ -230,7 +248,7 @@ def commit(
     touched = None
     if first_load:
         columns = [c for c in good.columns if c not in (OP, "present") and (c not in seq or c in spec.pk)]
-        base = good.select(*columns).limit(0)
+        base = good.select(*map(at, columns)).limit(0)
     else:
         touched = [r[0] for r in good.select(bucket_of(spec.pk, n).alias(BUCKET)).distinct().collect()]
         base = store.read(spec.name, only=touched)

@@ -2,21 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
-from itertools import count
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recordloom.operators.merge import dedupe_run
 from recordloom.operators.shred import label_join
+from recordloom.spec import quote
 from recordloom.store import cut_lineage
 
 __all__ = [
+    "Recovery",
     "Reference",
     "bridge_join",
+    "complete_references",
     "id_difference",
     "id_union",
     "label_join",
@@ -73,53 +75,110 @@ def orphan_report(
     return reduce(DataFrame.union, pieces).groupBy("table", "column", "target").agg(F.count("*").alias("unresolved"))
 
 
-def recover_orphans(
+@dataclass
+class Recovery:
+    """What a recovery brought: rows, ids that were found and that were not, per target; whether nothing is left to look up."""
+
+    rows: dict[str, DataFrame]
+    found: dict[str, DataFrame]
+    not_found: dict[str, DataFrame]
+    converged: bool
+    rounds: int
+
+
+def _pointed(df: DataFrame, refs: Sequence[Reference]) -> DataFrame | None:
+    """(target, id) that the rows of one table point to, from one scan; ids as text, since targets differ in type."""
+    there = [r for r in refs if r.column in df.columns]
+    if not there:
+        return None
+    pairs = F.array(*[F.struct(F.lit(r.target).alias("target"), F.col(quote(r.column)).cast("string").alias("id")) for r in there])
+    return df.select(F.explode(pairs).alias("p")).select("p.*").filter("id is not null").distinct()
+
+
+def complete_references(
     tables: Mapping[str, DataFrame],
     details: Mapping[str, DataFrame],
     refs: Sequence[Reference],
     ids: Mapping[str, str],
     resolved: Mapping[str, DataFrame] | None = None,
-    max_iterations: int | None = None,
-) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
-    """Complete the target tables from the detail source, until a round recovers nothing.
+    max_rounds: int | None = None,
+) -> Recovery:
+    """Look up referenced records that are missing, and what those refer to, until there is nothing new.
 
-    Each round takes the ids that are referenced, not present and not resolved before, and
-    looks them up by an equi-join. What was found may refer to further records, hence the
-    rounds. Returns the recovered rows and the resolved ids (found or not) per target, the latter to be kept for
-    the next run. A caller that bounds the rounds by ``max_iterations`` may stop a longer chain early; what is still missing
-    then is what ``orphan_report`` counts on the completed tables.
+    Only the frontier is searched in a round: the ids that rows of the last round point to and that were neither present nor
+    looked up before. So the referring tables are scanned once, however long the chains are, and an id is looked up once.
+    ``resolved`` holds ids of earlier runs that are not to be looked up. With ``max_rounds`` longer chains stay open; ``converged`` tells.
     """
     targets = [t for t in details if any(r.target == t for r in refs)]
-    now = dict(tables)
-    done = dict(resolved or {})
-    recovered: dict[str, DataFrame] = {}
-    for _ in count() if max_iterations is None else range(max_iterations):
-        found_any = False
-        for target in targets:
-            key = ids[target]
-            missing = references(now, refs, target).join(
-                now[target].select(F.col(key).alias("id")), "id", "left_anti"
-            )
-            if target in done:
-                missing = missing.join(done[target], "id", "left_anti")
-            missing = cut_lineage(missing)
-            if missing.isEmpty():
-                continue
-            detail = details[target]
-            rows = cut_lineage(
-                detail.join(missing.withColumnRenamed("id", key), key, "left_semi").select(*detail.columns)
-            )
-            done[target] = done[target].union(missing) if target in done else missing
-            if rows.isEmpty():
-                continue
-            found_any = True
-            recovered[target] = (
-                recovered[target].unionByName(rows) if target in recovered else rows
-            )
-            now[target] = now[target].unionByName(rows, allowMissingColumns=True)
-        if not found_any:
+    wanted = [r for r in refs if r.target in targets]
+
+    def stacked(frames: Mapping[str, DataFrame], column: Callable[[str, DataFrame], str]) -> DataFrame | None:
+        parts = [f.select(F.lit(t).alias("target"), F.col(quote(column(t, f))).cast("string").alias("id")) for t, f in frames.items()]
+        return reduce(DataFrame.union, parts) if parts else None
+
+    def frontier_of(rows: Mapping[str, DataFrame], *known: DataFrame | None) -> DataFrame:
+        pointed = [p for n, df in rows.items() if (p := _pointed(df, [r for r in wanted if r.table == n])) is not None]
+        if not pointed:
+            raise ValueError(f"no reference to {', '.join(targets)}")
+        out = reduce(DataFrame.union, pointed).distinct()
+        for k in known:
+            out = out if k is None else out.join(k, ["target", "id"], "left_anti")
+        return cut_lineage(out)
+
+    present = stacked({t: tables[t] for t in targets if t in tables}, lambda t, _: ids[t])
+    before = stacked({t: f for t, f in (resolved or {}).items() if t in targets}, lambda _, f: f.columns[0])
+    frontier = frontier_of({n: df for n, df in tables.items() if any(r.table == n for r in wanted)}, present, before)
+    tried: list[DataFrame] = []
+    parts: dict[str, list[DataFrame]] = {}
+    rounds, open_ids = 0, not frontier.isEmpty()
+    while open_ids and (max_rounds is None or rounds < max_rounds):
+        rounds += 1
+        tried.append(frontier)
+        fresh: dict[str, DataFrame] = {}
+        for t in targets:
+            own = frontier.filter(F.col("target") == t).select(F.col("id").alias("_id"))
+            detail = details[t]
+            rows = cut_lineage(detail.join(own, F.col(quote(ids[t])).cast("string") == F.col("_id"), "left_semi"))
+            if not rows.isEmpty():
+                fresh[t] = rows
+                parts.setdefault(t, []).append(rows)
+        following = {t: df for t, df in fresh.items() if any(r.table == t and r.column in df.columns for r in wanted)}
+        if not following:
+            open_ids = False
             break
-    return recovered, done
+        frontier = frontier_of(following, present, before, reduce(DataFrame.union, tried))
+        open_ids = not frontier.isEmpty()
+
+    rows = {t: reduce(DataFrame.unionByName, p) for t, p in parts.items()}
+    looked_up = reduce(DataFrame.union, tried) if tried else frontier.limit(0)
+    found, not_found = {}, {}
+    for t in targets:
+        kind = details[t].schema[ids[t]].dataType
+        mine = looked_up.filter(F.col("target") == t).select("id")
+        if t in rows:
+            got = rows[t].select(F.col(quote(ids[t])).cast("string").alias("id"))
+            mine = mine.join(got, "id", "left_anti")
+            found[t] = got.select(F.col("id").cast(kind).alias("id")).distinct()
+        not_found[t] = mine.select(F.col("id").try_cast(kind).alias("id"))
+    return Recovery(rows, found, not_found, not open_ids, rounds)
+
+
+def recover_orphans(
+    tables: Mapping[str, DataFrame],
+    details: Mapping[str, DataFrame],
+    refs: Sequence[Reference],
+    ids: Mapping[str, str],
+    resolved: Mapping[str, DataFrame] | None = None,
+    max_iterations: int | None = None,
+) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """Recovered rows and resolved ids (found or not, those given as well) per target, from ``complete_references``."""
+    out = complete_references(tables, details, refs, ids, resolved, max_iterations)
+    done = {}
+    for t, missed in out.not_found.items():
+        parts = [*([resolved[t]] if resolved and t in resolved else []), missed, *([out.found[t]] if t in out.found else [])]
+        if t in out.found or (resolved and t in resolved) or not missed.isEmpty():
+            done[t] = reduce(DataFrame.union, parts)
+    return out.rows, done
 
 
 def scope_filter(df: DataFrame, column: str, allowed: Sequence | DataFrame) -> DataFrame:

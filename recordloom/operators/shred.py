@@ -32,7 +32,7 @@ from recordloom.operators.flatten import (
     names_of,
 )
 from recordloom.operators.keys import hash_key, parent_index_key
-from recordloom.spec import struct_field, variant_schema
+from recordloom.spec import quote, struct_field, variant_schema
 from recordloom.store import cut_lineage
 
 
@@ -608,6 +608,33 @@ def walk_tree(
     return rows.select(*keys, "_e.depth", "_e.path", "_e.parent", "_e.node")
 
 
+def walk_levels(df: DataFrame, roots: Column, child_key: str, keys: Sequence[str], most: int = 10_000) -> DataFrame:
+    """The rows of ``walk_tree`` by a recursive query: a level is made from the nodes of the level before.
+
+    Nothing is measured beforehand and no expression grows with the depth, so trees of any and of mixed depth, and nodes whose
+    children are no list, are walked alike; each level is a job over that level's nodes. Records with ``keys`` alike stay apart only by their
+    paths. A tree of more than ``most`` levels fails.
+    """
+    spark = df.sparkSession
+    # Spark stops recursion at a million rows by default
+    spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")
+    names = ", ".join(quote(k) for k in keys)
+    start = df.select(*[at(k) for k in keys], F.posexplode(F.try_variant_get(roots.cast("variant"), "$", "array<variant>")).alias("_i", "_n"))
+    inner = child_key.replace("'", "\\'")
+    return spark.sql(
+        f"""
+        WITH RECURSIVE tree({names}, depth, path, parent, node) MAX RECURSION LEVEL {most} AS (
+            SELECT {names}, 0, array(_i), CAST(NULL AS VARIANT), _n FROM {{start}}
+            UNION ALL
+            SELECT {names}, depth + 1, concat(path, array(b.pos)), node, b.col
+            FROM tree, LATERAL posexplode(try_variant_get(node, "$['{inner}']", 'array<variant>')) AS b(pos, col)
+        )
+        SELECT {names}, depth, path, parent, node FROM tree
+        """,
+        start=start,
+    )
+
+
 def node_text(path: str, of: str = "node") -> Column:
     """Text of a field of a VARIANT node."""
     return F.try_variant_get(of, "$." + path, "string")

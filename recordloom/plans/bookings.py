@@ -23,7 +23,11 @@ SPECS: dict[str, TableSpec] = parse_tables(
     staff_service_assignments: staff_id, service_id
     staff_workspace_assignments: staff_id, workspace_id
     """
-) | {"appointments": TableSpec("appointments", ("booking_id",), policy=Policy.WINDOW)}
+) | {
+    "appointments": TableSpec(
+        "appointments", ("booking_id",), policy=Policy.WINDOW, cursor=("start_time",), window_days=365, future_days=365
+    )
+}
 
 ARRAYS = ("assigned_staffs", "assigned_services", "assigned_workspace", "assigned_workspaces")
 

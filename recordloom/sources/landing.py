@@ -155,15 +155,6 @@ def _bulk_cell(cell: Column) -> Column:
     return F.when(stripped != "", F.when(bracketed, F.coalesce(as_json, cell)).otherwise(cell))
 
 
-def read_bulk_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """Bulk export with a header; every column is text. Give ``columns`` to skip the header pass."""
-    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-    if columns:
-        reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
-    raw = reader.csv(path)
-    return raw.select(*[_bulk_cell(F.col(f"`{c}`")).alias(c) for c in raw.columns])
-
-
 def parse_bulk_csv(lines: DataFrame, columns: Sequence[str], text: str = "line") -> DataFrame:
     """The same cells from a column of CSV rows."""
     others = [c for c in lines.columns if c != text]
@@ -204,6 +195,31 @@ def drop_sentinels(records: DataFrame, column: str = "record") -> tuple[DataFram
     )
 
 
+def parse_pages(pages: DataFrame, schema: T.StructType | str, body: str = "body") -> tuple[DataFrame, DataFrame]:
+    """Pages parsed with ``schema`` as ``page``, and the pages that it cannot read: the other columns, reason and body.
+
+    Text that is no JSON is refused, and so is a page with a field of another type than declared, which
+    would come out as NULL otherwise; its text is kept as it stands. A null body is refused as well.
+    """
+    element = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
+    corrupt = "_corrupt_body"
+    others = [c for c in pages.columns if c != body]
+    options = {"columnNameOfCorruptRecord": corrupt}
+    read = F.from_json(F.col(body), T.StructType([*element.fields, T.StructField(corrupt, T.StringType())]), options)
+    parsed = pages.withColumn("_page", read)
+    bad = F.col("_page").isNull() | F.col(f"_page.{corrupt}").isNotNull()
+    reason = F.when(F.try_parse_json(body).isNull(), "malformed json").otherwise("other type than declared")
+    return (
+        parsed.filter(~bad).select(*others, F.col("_page").dropFields(corrupt).alias("page")),
+        parsed.filter(bad).select(*others, reason.alias("reason"), F.col(body).alias("body")),
+    )
+
+
+def land_by_day(df: DataFrame, path: str, day: Column, column: str = "landed_on") -> None:
+    """Append rows to a landed table, partitioned by the day on which they were landed; a day's rows are in few files."""
+    df.withColumn(column, day.cast("date")).hint("rebalance", column).write.mode("append").partitionBy(column).parquet(path)
+
+
 def drop_failed_pages(pages: DataFrame, body: str = "body") -> tuple[DataFrame, DataFrame]:
     """Split pages into good ones and rejects: unreadable text, non-zero status, inner ``failure``."""
     page = F.try_parse_json(F.col(body))

@@ -44,6 +44,7 @@ class TableSpec:
     policy: Policy = Policy.FULL
     cursor: tuple[str, ...] = ()
     window_days: int = 0
+    future_days: int | None = None
     sparse: bool = False
     delete_flag: str | None = None
     delete_statuses: tuple[str, ...] = ()

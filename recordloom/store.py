@@ -40,7 +40,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 def bucket_of(pk: Sequence[str], buckets: int) -> Column:
     """Bucket of a key. Text is hashed, so that 7 and '7' are the same key."""
-    return F.pmod(F.xxhash64(*[F.col(c).cast("string") for c in pk]), F.lit(buckets)).cast("int")
+    return F.pmod(F.xxhash64(*[F.col(quote(c)).cast("string") for c in pk]), F.lit(buckets)).cast("int")
 
 
 class TableStore:

@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from recordloom.operators.flatten import at
 from recordloom.operators.merge import commit
 from recordloom.spec import TableSpec
 from recordloom.store import TableStore
@@ -44,3 +45,33 @@ def stream_merge(
 def window_dedupe(changes: DataFrame, time: str, days: int, pk: Sequence[str]) -> DataFrame:
     """Streaming form of the trailing window: later than ``days`` is dropped, repeats inside it are too."""
     return changes.withWatermark(time, f"{days} days").dropDuplicatesWithinWatermark(list(pk))
+
+
+def trailing_stream(
+    changes: DataFrame,
+    store: TableStore,
+    spec: TableSpec,
+    time: str,
+    days: int,
+    seq: Sequence[str],
+    checkpoint: str,
+    buckets: int = 16,
+) -> StreamingQuery:
+    """Stream of a trailing window: repeats inside it are dropped in state, what is later than it is refused.
+
+    The watermark holds ``days`` back from the latest time seen; ``window_dedupe`` keeps keys no longer than that, so its state stays
+    bounded. ``late_rows`` names what the watermark shut out once the stream has stopped.
+    """
+    return stream_merge(window_dedupe(changes, time, days, spec.pk), store, spec, seq, checkpoint, buckets=buckets)
+
+
+def late_rows(landed: DataFrame, store: TableStore, spec: TableSpec) -> DataFrame:
+    """Landed rows whose key is not in the table: those that came later than the window allowed.
+
+    Rows of a key are repeats of each other; a late repeat of an accepted row is nothing lost and not listed. Rows without a
+    key are among the table's own rejects.
+    """
+    keyed = landed
+    for c in spec.pk:
+        keyed = keyed.filter(at(c).isNotNull())
+    return keyed.join(store.read(spec.name).select(*map(at, spec.pk)), list(spec.pk), "left_anti")
