@@ -32,16 +32,22 @@ def composite_key(text: str) -> list[str]:
     return [part.strip() for part in text.split("|") if part.strip()]
 
 
-def require_key(df: DataFrame, pk: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Split into rows that have all key columns and rejects that lack one.
+def _known(df: DataFrame, pk: Sequence[str]) -> list[Column]:
+    there = set(df.columns)
+    return [F.nullif(F.col(quote(c)).cast("string"), F.lit("")) if c in there else F.lit(None).cast("string") for c in pk]
+
+
+def key_reason(df: DataFrame, pk: Sequence[str]) -> Column:
+    """Which key columns a row lacks, as a reason to refuse it; NULL for a row that has all.
 
     Empty text counts as lacking, and so does a column that the whole batch is without.
     """
-    there = set(df.columns)
-    known = [F.nullif(F.col(quote(c)).cast("string"), F.lit("")) if c in there else F.lit(None).cast("string") for c in pk]
-    has_all = all_not_null(known)
+    known = _known(df, pk)
     missing = F.concat_ws(", ", *[F.when(k.isNull(), F.lit(c)) for k, c in zip(known, pk, strict=True)])
-    return (
-        df.filter(has_all),
-        df.filter(~has_all).withColumn("reject_reason", F.concat(F.lit("missing key: "), missing)),
-    )
+    return F.when(~all_not_null(known), F.concat(F.lit("missing key: "), missing))
+
+
+def require_key(df: DataFrame, pk: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Split into rows that have all key columns and rejects that lack one, with ``reject_reason``."""
+    has_all = all_not_null(_known(df, pk))
+    return df.filter(has_all), df.filter(~has_all).withColumn("reject_reason", key_reason(df, pk))

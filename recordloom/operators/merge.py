@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from recordloom.operators.flatten import at
-from recordloom.operators.keys import require_key
+from recordloom.operators.keys import key_reason, require_key  # noqa: F401  (part of this module as well)
 from recordloom.spec import TableSpec, ddl_of, quote
 from recordloom.store import BUCKET, TableStore, bucket_of
 
@@ -118,6 +118,15 @@ def tombstone_status(delta: DataFrame, status: str, statuses: Sequence[str] = DE
     return delta.withColumn(OP, F.when(F.col(status).isin(*statuses), "D").otherwise("U"))
 
 
+def with_op(delta: DataFrame, spec: TableSpec) -> DataFrame:
+    """Delta with the kind of each change, from the table's flag or status, or as it is marked already; upserts otherwise."""
+    if spec.delete_flag and spec.delete_flag in delta.columns:
+        return tombstone_flag(delta, spec.delete_flag)
+    if spec.status_column and spec.status_column in delta.columns:
+        return tombstone_status(delta, spec.status_column, spec.delete_statuses or DELETED_STATUSES)
+    return delta if OP in delta.columns else delta.withColumn(OP, F.lit("U"))
+
+
 def apply_changes(target: DataFrame, changes: DataFrame, pk: Sequence[str], seq: Sequence[str]) -> DataFrame:
     """Target after an ordered stream of upserts and deletes; per key the last change decides."""
     last = latest_per_key(changes, pk, seq)
@@ -232,18 +241,15 @@ def commit(
     Only the buckets that the delta touches are read and rewritten. The list of touched
     buckets is at most ``buckets`` numbers, whatever the delta's size. Returns their number.
     Rows that lack a key column are kept beside the table, with their reason (``store.rejects``).
-    The delta is evaluated once for that list, once for the rejects and once for the merge, so land
-    it first when it is costly; a first load writes all buckets and needs no list.
+    The delta is evaluated once, when it is written down; that list, the rejects and the merge read it from there.
     """
-    good, lacking = require_key(delta, spec.pk)
-    rejected = store.set_aside(spec.name, reject_log(lacking, spec.name))
+    delta = with_op(delta, spec).withColumn("reject_reason", key_reason(delta, spec.pk))
+    landed, lacking, folder = store.land(spec.name, delta, F.col("reject_reason").isNotNull())
+    rejected = None
+    if lacking:
+        rejected = store.set_aside(spec.name, reject_log(landed.filter("reject_reason is not null").drop(OP), spec.name))
+    good = landed.filter("reject_reason is null").drop("reject_reason")
     n = store.buckets(spec.name, buckets)
-    if spec.delete_flag and spec.delete_flag in good.columns:
-        good = tombstone_flag(good, spec.delete_flag)
-    elif spec.status_column and spec.status_column in good.columns:
-        good = tombstone_status(good, spec.status_column, spec.delete_statuses or DELETED_STATUSES)
-    elif OP not in good.columns:
-        good = good.withColumn(OP, F.lit("U"))
     first_load = not store.exists(spec.name)
     touched = None
     if first_load:
@@ -252,15 +258,16 @@ def commit(
     else:
         touched = [r[0] for r in good.select(bucket_of(spec.pk, n).alias(BUCKET)).distinct().collect()]
         base = store.read(spec.name, only=touched)
-        if not touched:
-            if state or rejected:
-                store.write(spec.name, base, spec.pk, n, touched, state, rejected)
-            return 0
-    if spec.sparse and "present" in good.columns:
-        deletes = latest_per_key(good, spec.pk, seq).filter(F.col(OP) == "D")
-        merged = upsert_sparse(base, good.drop(OP), spec.pk, seq)
-        merged = drop_keys(merged, deletes, spec.pk)
+    if touched == []:
+        if state or rejected:
+            store.write(spec.name, base, spec.pk, n, touched, state, rejected)
     else:
-        merged = apply_changes(base, good.drop("present"), spec.pk, seq)
-    store.write(spec.name, merged, spec.pk, n, touched, state, rejected)
+        if spec.sparse and "present" in good.columns:
+            deletes = latest_per_key(good, spec.pk, seq).filter(F.col(OP) == "D")
+            merged = upsert_sparse(base, good.drop(OP), spec.pk, seq)
+            merged = drop_keys(merged, deletes, spec.pk)
+        else:
+            merged = apply_changes(base, good.drop("present"), spec.pk, seq)
+        store.write(spec.name, merged, spec.pk, n, touched, state, rejected)
+    store.remove(folder)
     return n if first_load else len(touched)

@@ -102,12 +102,14 @@ def complete_references(
     ids: Mapping[str, str],
     resolved: Mapping[str, DataFrame] | None = None,
     max_rounds: int | None = None,
+    in_order: bool = False,
 ) -> Recovery:
     """Look up referenced records that are missing, and what those refer to, until there is nothing new.
 
     Only the frontier is searched in a round: the ids that rows of the last round point to and that were neither present nor
     looked up before. So the referring tables are scanned once, however long the chains are, and an id is looked up once.
     ``resolved`` holds ids of earlier runs that are not to be looked up. With ``max_rounds`` longer chains stay open; ``converged`` tells.
+    A round looks up one hop of every target; with ``in_order`` what a target brings is looked up in the same round by the targets listed after it.
     """
     targets = [t for t in details if any(r.target == t for r in refs)]
     wanted = [r for r in refs if r.target in targets]
@@ -130,27 +132,33 @@ def complete_references(
     frontier = frontier_of({n: df for n, df in tables.items() if any(r.table == n for r in wanted)}, present, before)
     tried: list[DataFrame] = []
     parts: dict[str, list[DataFrame]] = {}
-    rounds, open_ids = 0, not frontier.isEmpty()
-    while open_ids and (max_rounds is None or rounds < max_rounds):
+    rounds, waiting = 0, [] if frontier.isEmpty() else [frontier]
+    while waiting and (max_rounds is None or rounds < max_rounds):
         rounds += 1
-        tried.append(frontier)
-        fresh: dict[str, DataFrame] = {}
-        for t in targets:
-            own = frontier.filter(F.col("target") == t).select(F.col("id").alias("_id"))
+        current, waiting = waiting, []
+        for i, t in enumerate(targets):
+            own = reduce(DataFrame.union, current).filter(F.col("target") == t)
+            tried.append(own)
             detail = details[t]
-            rows = cut_lineage(detail.join(own, F.col(quote(ids[t])).cast("string") == F.col("_id"), "left_semi"))
-            if not rows.isEmpty():
-                fresh[t] = rows
-                parts.setdefault(t, []).append(rows)
-        following = {t: df for t, df in fresh.items() if any(r.table == t and r.column in df.columns for r in wanted)}
-        if not following:
-            open_ids = False
-            break
-        frontier = frontier_of(following, present, before, reduce(DataFrame.union, tried))
-        open_ids = not frontier.isEmpty()
+            rows = cut_lineage(detail.join(own.select(F.col("id").alias("_id")), F.col(quote(ids[t])).cast("string") == F.col("_id"), "left_semi"))
+            if rows.isEmpty():
+                continue
+            parts.setdefault(t, []).append(rows)
+            if not any(r.table == t and r.column in rows.columns for r in wanted):
+                continue
+            fresh = frontier_of({t: rows}, present, before, reduce(DataFrame.union, [*tried, *current, *waiting]))
+            if fresh.isEmpty():
+                continue
+            # what a later target of this round can still look up, and what has to wait
+            later = F.col("target").isin(targets[i + 1 :]) if in_order and targets[i + 1 :] else F.lit(False)
+            current = [*current, fresh.filter(later)]
+            rest = fresh.filter(~later)
+            if not rest.isEmpty():
+                waiting.append(rest)
 
     rows = {t: reduce(DataFrame.unionByName, p) for t, p in parts.items()}
     looked_up = reduce(DataFrame.union, tried) if tried else frontier.limit(0)
+    open_ids = bool(waiting)
     found, not_found = {}, {}
     for t in targets:
         kind = details[t].schema[ids[t]].dataType
@@ -172,7 +180,7 @@ def recover_orphans(
     max_iterations: int | None = None,
 ) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
     """Recovered rows and resolved ids (found or not, those given as well) per target, from ``complete_references``."""
-    out = complete_references(tables, details, refs, ids, resolved, max_iterations)
+    out = complete_references(tables, details, refs, ids, resolved, max_iterations, in_order=True)
     done = {}
     for t, missed in out.not_found.items():
         parts = [*([resolved[t]] if resolved and t in resolved else []), missed, *([out.found[t]] if t in out.found else [])]

@@ -116,16 +116,16 @@ class Node:
 def shred_tree(
     df: DataFrame,
     root: Node,
-    tenant: str | None = None,
+    tenant: str | Sequence[str] | None = None,
     key: str = "guid",
     emit_root: bool = True,
 ) -> dict[str, DataFrame]:
     """A document with nested arrays to one DataFrame per level.
 
-    Every level carries ``<parent_table>_id`` and the tenant column, so that no join back to
+    Every level carries ``<parent_table>_id`` and the tenant column (or several columns of the root), so that no join back to
     the root is needed. The arrays that have a level of their own leave their parent.
     """
-    carried = [tenant] if tenant else []
+    carried = [tenant] if isinstance(tenant, str) else list(tenant or ())
     out: dict[str, DataFrame] = {}
 
     def visit(node: Node, rows: DataFrame, inherited: list[str]) -> None:

@@ -22,8 +22,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from recordloom.operators.flatten import at
-from recordloom.operators.keys import require_key
-from recordloom.operators.merge import DELETED_STATUSES, OP, latest_per_key, reject_log, tombstone_flag, tombstone_status
+from recordloom.operators.keys import key_reason
+from recordloom.operators.merge import OP, latest_per_key, reject_log, with_op
 from recordloom.spec import TableSpec, ddl_of, quote
 from recordloom.store import REJECTS, TableStore, bucket_of
 
@@ -85,16 +85,9 @@ class PeriodTable:
 
     def _tagged(self, delta: DataFrame) -> DataFrame:
         """Delta with kind of change, reason of refusal and period."""
-        spec = self.spec
-        if spec.delete_flag and spec.delete_flag in delta.columns:
-            delta = tombstone_flag(delta, spec.delete_flag)
-        elif spec.status_column and spec.status_column in delta.columns:
-            delta = tombstone_status(delta, spec.status_column, spec.delete_statuses or DELETED_STATUSES)
-        elif OP not in delta.columns:
-            delta = delta.withColumn(OP, F.lit("U"))
-        good, lacking = require_key(delta, spec.pk)
-        whole = good.withColumn(REASON, F.lit(None).cast("string")).unionByName(lacking)
-        return whole.withColumn(PERIOD, F.coalesce(self.period.cast("string"), F.lit("none")))
+        return with_op(delta, self.spec).withColumns(
+            {REASON: key_reason(delta, self.spec.pk), PERIOD: F.coalesce(self.period.cast("string"), F.lit("none"))}
+        )
 
     def _landed(self, delta: DataFrame) -> tuple[DataFrame, dict, int, str]:
         """The delta as written: rows, counts, bytes, folder."""

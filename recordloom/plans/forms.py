@@ -18,7 +18,6 @@ SPECS: dict[str, TableSpec] = parse_tables(
     subform_fields: workspace, app_link_name, form_link_name, link_name
     """
 )
-FULL_REFRESH_DAYS = 7
 
 
 def report_spec(table: str) -> TableSpec:

@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordloom.functions.scalars import first_truthy, parse_dmy
+from recordloom.operators.flatten import keep_raw
 from recordloom.operators.keys import require_key
+from recordloom.operators.merge import reject_log
 from recordloom.operators.shred import (
     auto_children,
     derive_dim,
     explode_dated_map,
     tagged_union,
-    unpivot_map2,
     with_position,
 )
 from recordloom.plans.base import first_field, pick_columns
@@ -148,21 +149,29 @@ PUNCH_SOURCES = {
 LATEST_SOURCES = ("attEntries", "singleRegEntries", "multiRegEntries")
 
 
-def shred_form(table: str, records: DataFrame) -> dict[str, DataFrame]:
+def _required(df: DataFrame, table: str, rejects: list[DataFrame] | None, pk: tuple[str, ...] | None = None) -> DataFrame:
+    """Rows with their key; those that lack it go to ``rejects`` (table, reason, fields) when the caller keeps such a list."""
+    good, lacking = require_key(df, pk or SPECS[table].pk)
+    if rejects is not None:
+        rejects.append(reject_log(lacking, table))
+    return good
+
+
+def shred_form(table: str, records: DataFrame, rejects: list[DataFrame] | None = None) -> dict[str, DataFrame]:
     """Records of one form and its tabular sections, keyed by ``record_id``."""
     ids = [F.col(f"`{k}`").cast("string") for k in RECORD_IDS if k in records.columns]
-    keyed = require_key(records.withColumn("record_id", F.coalesce(*ids)), ["record_id"])[0]
+    keyed = _required(records.withColumn("record_id", F.coalesce(*ids)), table, rejects, ("record_id",))
     return auto_children(
         keyed, table, "record_id", "parent_record_id", "record_id", style="display", id_keys=RECORD_IDS
     )
 
 
-def rows(table: str, records: DataFrame) -> DataFrame:
-    """Rows of a table whose columns follow the naming rule; rows without a key are left out."""
+def rows(table: str, records: DataFrame, rejects: list[DataFrame] | None = None) -> DataFrame:
+    """Rows of a table whose columns follow the naming rule; rows without a key go to ``rejects``."""
     names = COLUMNS[table].split()
     raw = "raw_meta" if table == "holidays" else "raw_record"
     picked = pick_columns(records, names, SOURCES.get(table), raw)
-    return require_key(picked, SPECS[table].pk)[0]
+    return _required(picked, table, rejects)
 
 
 def _dotted(records: DataFrame) -> DataFrame:
@@ -170,11 +179,13 @@ def _dotted(records: DataFrame) -> DataFrame:
     return records.withColumnsRenamed({c: c.replace(".", "__") for c in records.columns if "." in c})
 
 
-def shred_leave(records: DataFrame) -> dict[str, DataFrame]:
+def shred_leave(records: DataFrame, rejects: list[DataFrame] | None = None) -> dict[str, DataFrame]:
     """Leave records, their days, and the leave types they mention (first mention wins)."""
-    records = _dotted(records)
+    # the record as it came, before names with dots are changed
+    records = _dotted(keep_raw(records))
     sources = {n: tuple(s.replace(".", "__") for s in options) for n, options in LEAVE_SOURCES.items()}
-    leave = require_key(pick_columns(records, LEAVE_COLUMNS.split(), sources), ["id"])[0]
+    picked = pick_columns(records, [*LEAVE_COLUMNS.split(), "raw_record"], {**sources, "raw_record": ("raw_record",)}, raw=None)
+    leave = _required(picked, "leave_records", rejects)
     leave = leave.withColumn("employee_id_name", F.trim("employee_id_name"))
     out = {"leave_records": leave}
     days = next((c for c in ("Days", "days") if c in records.columns), None)
@@ -190,12 +201,40 @@ def shred_leave(records: DataFrame) -> dict[str, DataFrame]:
 
 
 def leave_balance(reports: DataFrame, from_date: str, to_date: str) -> DataFrame:
-    """``report map<employee, map<type, struct<booked,balance>>>`` to one row per employee and type and window."""
-    facts = unpivot_map2(reports, "report", "employee_id", "leave_type_id")
-    return facts.withColumns({"from_date": F.lit(from_date), "to_date": F.lit(to_date)})
+    """``report map<employee, map<type, struct<booked, balance, available, unit>>>`` to one row per employee, type and window.
+
+    Where the report lists its ``employees``, only theirs count, each once. A missing unit is ``Day``; ``raw_vals`` keeps the figures as they came.
+    """
+    if "employees" in reports.columns:
+        listed = F.map_filter("report", lambda k, v: F.array_contains(F.col("employees").cast("array<string>"), k))
+        reports = reports.withColumn("report", listed)
+    entries = reports.select(F.explode("report").alias("employee_id", "_m")).select("employee_id", F.explode("_m").alias("leave_type_id", "_v"))
+    names = entries.schema["_v"].dataType.fieldNames()
+
+    def value(name: str) -> Column:
+        return F.col(f"_v.{name}") if name in names else F.lit(None).cast("string")
+
+    return entries.filter("_v is not null").select(
+        "employee_id", "leave_type_id", F.lit(from_date).alias("from_date"), F.lit(to_date).alias("to_date"),
+        *(value(n).alias(n) for n in ("booked", "balance", "available")),
+        F.coalesce(F.nullif(value("unit").cast("string"), F.lit("")), F.lit("Day")).alias("unit"),
+        F.to_json("_v").alias("raw_vals"),
+    )
+
+
+def balance_tables(reports: DataFrame, from_date: str, to_date: str, known: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Balances of a report and the leave types it names, without those of ``known`` (leave types met before)."""
+    out = {"leave_balance": leave_balance(reports, from_date, to_date)}
+    if "leavetypes" in reports.columns:
+        types = reports.select(F.explode("leavetypes").alias("id", "_t")).filter("_t is not null")
+        fields = types.schema["_t"].dataType.fieldNames()
+        named = types.select("id", *((F.col(f"_t.{n}") if n in fields else F.lit(None).cast("string")).alias(n) for n in ("name", "unit", "type")))
+        types = derive_dim(named, "id", ["name", "unit", "type"], ["name", "unit", "type"])
+        out["leave_types"] = types if known is None else types.join(known.select("id"), "id", "left_anti")
+    return out
 
 
-def attendance_daily(records: DataFrame) -> DataFrame:
+def attendance_daily(records: DataFrame, rejects: list[DataFrame] | None = None) -> DataFrame:
     """``employeeDetails`` and a date-keyed ``attendanceDetails`` map to one row per employee and day."""
     prefix = "employeeDetails." if "employeeDetails" in records.columns else ""
     people = {n: tuple(prefix + s for s in options) for n, options in EMPLOYEE_SOURCES.items()}
@@ -205,7 +244,7 @@ def attendance_daily(records: DataFrame) -> DataFrame:
     )
     daily = explode_dated_map(both, "days", list(people))
     columns = {**{n: (n,) for n in (*people, "date")}, **DAY_COLUMNS}
-    return require_key(pick_columns(daily, list(columns), columns, "raw_day"), ["employee_id", "date"])[0]
+    return _required(pick_columns(daily, list(columns), columns, "raw_day"), "attendance_daily", rejects)
 
 
 def punches(records: DataFrame) -> DataFrame:
@@ -226,7 +265,7 @@ def latest_entries(records: DataFrame) -> DataFrame:
     return tagged_union(daily, {s: s for s in LATEST_SOURCES}, "source", ["employee_id", "date"], position="entry_idx")
 
 
-def shift_mappings(records: DataFrame) -> DataFrame:
+def shift_mappings(records: DataFrame, rejects: list[DataFrame] | None = None) -> DataFrame:
     """``employee_id, shiftList[]`` to one row per day; vendor dates become ISO."""
     shifts = records.select("employee_id", F.explode("shiftList").alias("s")).select("employee_id", "s.*")
     names = ["employee_id", "date", "shift_name", "shift_start_time", "shift_end_time", "weekend", "holiday"]
@@ -236,4 +275,4 @@ def shift_mappings(records: DataFrame) -> DataFrame:
         "weekend": ("weekend", "Weekend"), "holiday": ("holiday", "Holiday"),
     }
     picked = pick_columns(shifts, names, sources).withColumn("date", parse_dmy("date"))
-    return require_key(picked, ["employee_id", "date"])[0]
+    return _required(picked, "shift_mappings", rejects)

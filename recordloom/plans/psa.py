@@ -26,7 +26,6 @@ report_categories service_assignments service_type_assignments time_tracking_pol
 folders organization_memberships integration_exporter_configurations integrations
 """
 TRAILING_DAYS = {"time_entries": 90}
-REFRESH_DAYS = {"exchange_rates": 7, "kpd_codes": 7}
 
 # Resources whose deletion is reported in the feed, by their plural name.
 DELETABLE = """

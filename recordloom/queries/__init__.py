@@ -3,7 +3,7 @@
 Importing the modules registers their queries.
 """
 
-from recordloom.queries import changes, chronology, domains, fields, landing, references, shapes, upkeep
+from recordloom.queries import changes, chronology, domains, fields, landing, records, references, shapes, upkeep
 from recordloom.queries.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "changes", "chronology", "domains", "fields", "landing", "references", "shapes", "upkeep"]
+__all__ = ["ORACLES", "QUERIES", "changes", "chronology", "domains", "fields", "landing", "records", "references", "shapes", "upkeep"]

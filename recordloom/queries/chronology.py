@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from datetime import timedelta
+from datetime import datetime
 
 from pyspark.sql import functions as F
 
@@ -286,11 +286,12 @@ def stitched_backfill(spark, sf):
     def run(rows, high):
         commit(store, spec, rows.withColumn("run_id", F.lit(str(high))), ["run_id"], {"to_ts": str(high)}, buckets=8)
 
-    run(events.filter("ts is null"), None)  # in no window
-    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    # as text from Spark, whatever the driver's time zone
+    first, last = events.agg(*(F.date_format(f("ts"), "yyyy-MM-dd HH:mm:ss.SSSSSS") for f in (F.min, F.max))).first()
     if first is not None:
-        # a day more on both sides, whatever the driver's time zone
-        stitch_windows(events, "ts", first - timedelta(days=1), last + timedelta(days=1), run, days=10)
+        stitch_windows(events, "ts", datetime.fromisoformat(first), datetime.fromisoformat(last), run, days=10)
+    # rows in no window come last and move no cursor
+    commit(store, spec, events.filter("ts is null").withColumn("run_id", F.lit("")), ["run_id"], buckets=8)
     return store.read("events").drop("ts")
 
 

@@ -9,8 +9,11 @@ from recordloom.queries.registry import day, nest, query, table
 from recordloom.sources import drop_failed_pages
 
 
-def _invoices(spark, sf):
-    """Orders as accounting documents: lines with their tracking, vendor dates, a contact object."""
+def _invoices(spark, sf, how="inner"):
+    """Orders as accounting documents: lines with their tracking, vendor dates, a contact object.
+
+    With ``how`` left the orders without lines too, and the number of the document within its order.
+    """
     tracking = F.struct(
         F.lit("flag").alias("TrackingCategoryID"), F.col("l_returnflag").alias("TrackingOptionID"),
         F.lit("Flag").alias("Name"), F.col("l_linestatus").alias("Option"),
@@ -22,12 +25,13 @@ def _invoices(spark, sf):
         F.struct(F.col("l_partkey").alias("ItemID")).alias("Item"),
         F.array(tracking).alias("Tracking"),
     )
-    lines = nest(table(spark, sf, "lineitem"), ["l_orderkey"], line, "LineItems")
+    lines = nest(table(spark, sf, "lineitem"), ["l_orderkey"], line, "LineItems", part_as="page")
     micros = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', o_orderdate)")
     return (
         table(spark, sf, "orders")
-        .join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
+        .join(lines, F.col("o_orderkey") == F.col("l_orderkey"), how)
         .select(
+            *(["page"] if how == "left" else []),
             F.col("o_orderkey").cast("string").alias("InvoiceID"),
             F.when(F.col("o_orderstatus") == "F", "VOIDED").otherwise("PAID").alias("Status"),
             F.concat(F.lit("/Date("), (micros / 1000).cast("bigint").cast("string"), F.lit("+0000)/")).alias("UpdatedDateUTC"),
@@ -51,6 +55,19 @@ def accounting_invoices(spark, sf):
     return accounting.shred("accounting_invoice", _invoices(spark, sf))["accounting_invoice"].drop("present").distinct()
 
 
+@query(
+    "accounting_invoices_all",
+    """
+    SELECT CAST(o_orderkey AS VARCHAR) AS "InvoiceID", CASE WHEN o_orderstatus = 'F' THEN 'VOIDED' ELSE 'PAID' END AS "Status",
+           strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS "UpdatedDateUTC", o_totalprice AS "Total", o_custkey AS "ContactID" FROM orders
+    """,
+)
+def accounting_invoices_all(spark, sf):
+    """Invoices with and without lines, once each: the header of an order's first document."""
+    first = _invoices(spark, sf, "left").filter("coalesce(page, 0) = 0").drop("page")
+    return accounting.shred("accounting_invoice", first)["accounting_invoice"].drop("present")
+
+
 @query(
     "accounting_invoice_lines",
     """

@@ -37,21 +37,25 @@ def nest(
     element: Column,
     name: str,
     per_document: int = ELEMENTS_PER_DOCUMENT,
+    part_as: str | None = None,
 ) -> DataFrame:
     """Rows of a key to documents with an array, the way an interface pages a long list.
 
     Each key is split into as many documents as its own rows need, so no array grows without bound and small keys
     stay whole. The split is by file and row number, which spreads equal rows as well and is the same again when a
-    task is repeated. Rows per key are counted before the shuffle; the join that brings them back can be split where a key is hot.
+    task is repeated. Rows per key are counted before the shuffle; only keys that need several documents, of which there are few, are joined back.
+    ``part_as`` names a column for the number of the document within its key.
     """
     place = F.xxhash64("_metadata.file_path", "_metadata.row_index")
-    held = df.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(F.count("*").alias("_held"))
+    held = df.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(F.count("*").alias("_held")).filter(F.col("_held") > per_document)
     same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
-    rows = df.withColumn("_place", place).join(held, same)
-    rows = rows.withColumn("_part", F.pmod("_place", F.ceil(F.col("_held") / per_document)))
+    rows = df.withColumn("_place", place).join(held, same, "left")
+    parts = F.coalesce(F.ceil(F.col("_held") / per_document), F.lit(1))
+    rows = rows.withColumn("_part", F.pmod("_place", parts))
     group = [*keys, "_part"]
     # collecting lists does not shrink anything, so rows are shuffled once and grouped after it
-    return rows.repartition(*[F.col(c) for c in group]).groupBy(*group).agg(F.collect_list(element).alias(name)).drop("_part")
+    documents = rows.repartition(*[F.col(c) for c in group]).groupBy(*group).agg(F.collect_list(element).alias(name))
+    return documents.withColumnRenamed("_part", part_as) if part_as else documents.drop("_part")
 
 
 def iso(c: Column | str) -> Column:

@@ -34,7 +34,7 @@ from recordloom.operators.shred import (
 from recordloom.plans.pos import ORDER_TREE, VOIDED_PAYMENT
 from recordloom.queries.registry import cents, day, nest, query, table
 from recordloom.sources import as_record
-from recordloom.store import cut_lineage
+from recordloom.store import stage
 
 # ---- the order document: header, checks, selections, taxes, payments --------------------------
 
@@ -56,11 +56,11 @@ ORDER_SCHEMA = (
 )
 
 
-def order_documents(spark, sf):
+def order_documents(spark, sf, *extra):
     """Landed order documents as JSON text; the lines of an order are the selections of its check.
 
     An order with very many lines comes as several documents that repeat its header, so what is
-    read from the header is made distinct.
+    read from the header is made distinct, or taken from ``page`` 0.
     """
     line_id = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     tax = F.struct(
@@ -77,7 +77,7 @@ def order_documents(spark, sf):
         (F.col("l_linestatus") == "O").alias("deferred"),
         F.array(tax).alias("appliedTaxes"),
     )
-    lines = nest(table(spark, sf, "lineitem"), ["l_orderkey"], line, "selections")
+    lines = nest(table(spark, sf, "lineitem"), ["l_orderkey"], line, "selections", part_as="page")
     key = F.col("o_orderkey").cast("string")
     status = F.col("o_orderstatus")
     payment = F.struct(
@@ -111,11 +111,12 @@ def order_documents(spark, sf):
         F.array(F.col("o_orderpriority"), status).alias("pricingFeatures"),
         F.array(check).alias("checks"),
     )
-    return (
-        table(spark, sf, "orders")
-        .join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-        .select(F.to_json(order).alias("body"))
-    )
+    orders = table(spark, sf, "orders")
+    # an inner join can be split on the side of the lines, where an order may be hot; orders without lines come beside it
+    with_lines = orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
+    keys = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey")).distinct()
+    bare = orders.join(keys, "o_orderkey", "left_anti")
+    return with_lines.unionByName(bare, allowMissingColumns=True).select(*extra, F.to_json(order).alias("body"))
 
 
 def staged_orders(spark, sf):
@@ -235,10 +236,18 @@ def pricing_features(spark, sf):
 )
 def segment_revenue(spark, sf):
     """Flagship: documents are shredded, a second delivery closes the open orders, then the report."""
-    staged = cut_lineage(staged_orders(spark, sf))  # parsed once, read by both tables
-    tables = shred_tree(staged, ORDER_TREE, "restaurant_id")
+    orders, lines = _closed_orders(spark, sf)
+    return _revenue(orders.join(lines, "id"), spark, sf)
+
+
+def _closed_orders(spark, sf):
+    """Headers after the second delivery, and figures of the lines by order. The documents are parsed once, and each side reads its own columns."""
+    documents = order_documents(spark, sf, "page").select("page", F.from_json("body", ORDER_SCHEMA).alias("o")).select("page", "o.*")
+    staged = stage(documents.withColumn("order_id", F.col("guid")))
+    tables = shred_tree(staged, ORDER_TREE, ("restaurant_id", "order_id", "page"))
     header, _ = require_key(tables["orders"], ["id"])
-    header = header.select("id", "restaurant_id", F.col("diningOption_guid").alias("status")).distinct()
+    # the other documents of an order repeat its header
+    header = header.filter("coalesce(page, 0) = 0").select("id", "restaurant_id", F.col("diningOption_guid").alias("status"))
     second = (
         table(spark, sf, "orders")
         .filter("o_orderstatus = 'O'")
@@ -252,15 +261,18 @@ def segment_revenue(spark, sf):
     orders = upsert(header, second, ["id"], ["run_id"])
     lines = (
         tables["orders_check_selection"]
-        .groupBy(F.substring("orders_check_id", len("chk-") + 1, 20).alias("id"))
+        .groupBy(F.col("order_id").alias("id"))
         .agg(F.sum(cents("price")).alias("revenue"), F.count("*").alias("n"))
     )
+    return orders, lines
+
+
+def _revenue(orders, spark, sf):
     customers = table(spark, sf, "customer").select(
         F.col("c_custkey").cast("string").alias("restaurant_id"), F.col("c_mktsegment").alias("segment")
     )
     return (
-        orders.join(lines, "id")
-        .join(customers, "restaurant_id")
+        orders.join(customers, "restaurant_id")
         .groupBy("segment", "status")
         .agg(
             F.count("*").alias("orders"), F.sum("n").alias("lines"), F.sum("revenue").alias("revenue_cents")
@@ -268,6 +280,23 @@ def segment_revenue(spark, sf):
     )
 
 
+@query(
+    "segment_revenue_all",
+    """
+    WITH latest AS (
+      SELECT o_orderkey, o_custkey, CASE WHEN o_orderstatus = 'O' THEN 'F' ELSE o_orderstatus END AS status FROM orders),
+    lines AS (SELECT l_orderkey, SUM(CAST(round(l_extendedprice * 100) AS BIGINT)) AS revenue, COUNT(*) AS n FROM lineitem GROUP BY 1)
+    SELECT c_mktsegment AS segment, status, CAST(COUNT(*) AS BIGINT) AS orders,
+           CAST(SUM(COALESCE(n, 0)) AS BIGINT) AS lines, CAST(SUM(COALESCE(revenue, 0)) AS BIGINT) AS revenue_cents
+    FROM latest LEFT JOIN lines ON l_orderkey = o_orderkey JOIN customer ON c_custkey = o_custkey GROUP BY ALL
+    """,
+)
+def segment_revenue_all(spark, sf):
+    """The report with the orders that have no lines."""
+    orders, lines = _closed_orders(spark, sf)
+    return _revenue(orders.join(lines, "id", "left").fillna(0, ["n", "revenue"]), spark, sf)
+
+
 # ---- children and bridges -------------------------------------------------------------------
 
 
@@ -417,17 +446,20 @@ def positional_keys(spark, sf):
     return child_table(slips, "lines", {"PaySlipID": "PaySlipID"}, style="scalars", position="pos", own_key="lineID")
 
 
-def _nation_forms(spark, sf):
+def _nation_forms(spark, sf, how="inner"):
+    """A nation's form; with ``how`` left the nations without suppliers too, and the number of the document."""
     suppliers = nest(
         table(spark, sf, "supplier"),
         ["s_nationkey"],
         F.struct(F.col("s_suppkey").cast("string").alias("ID"), F.col("s_name").alias("Supplier.Name")),
         "Top Suppliers",
+        part_as="page",
     )
     return (
         table(spark, sf, "nation")
-        .join(suppliers, F.col("n_nationkey") == F.col("s_nationkey"))
+        .join(suppliers, F.col("n_nationkey") == F.col("s_nationkey"), how)
         .select(
+            *(["page"] if how == "left" else []),
             F.col("n_nationkey").alias("ID"),
             F.col("n_name").alias("Nation Name"),
             F.col("Top Suppliers"),
@@ -452,6 +484,24 @@ def auto_children_sites(spark, sf):
     return auto_children(_nation_forms(spark, sf), "data_forms")["data_forms__sub_sites"].distinct()
 
 
+@query(
+    "auto_children_all",
+    """
+    SELECT n_nationkey AS id, n_name AS nation_name, COUNT(s_suppkey) AS suppliers, 2 AS sites
+    FROM nation LEFT JOIN supplier ON s_nationkey = n_nationkey GROUP BY ALL
+    """,
+)
+def auto_children_all(spark, sf):
+    """Forms of all nations, those without suppliers as well: parents with the number of rows in each sub-form."""
+    tables = auto_children(_nation_forms(spark, sf, "left").filter("coalesce(page, 0) = 0").drop("page"), "data_forms")
+    suppliers = auto_children(_nation_forms(spark, sf, "left").drop("page"), "data_forms")["data_forms__sub_top_suppliers"]
+    parents = tables["data_forms"].select("id", "nation_name")
+    for rows, name in ((suppliers, "suppliers"), (tables["data_forms__sub_sites"], "sites")):
+        counted = rows.groupBy(F.col("parent_id").cast("int").alias("id")).agg(F.count("*").alias(name))
+        parents = parents.join(counted, "id", "left").fillna(0, [name])
+    return parents
+
+
 @query(
     "auto_children_suppliers",
     "SELECT CAST(s_suppkey AS VARCHAR) AS id, CAST(s_nationkey AS VARCHAR) AS parent_id, s_name AS supplier_name FROM supplier",

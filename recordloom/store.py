@@ -11,7 +11,7 @@ import json
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from recordloom.spec import ddl_of, quote
@@ -38,6 +38,31 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+_staged: dict[str, list[str]] = {}
+
+
+def stage(df: DataFrame) -> DataFrame:
+    """Write rows as Parquet into the shared folder and read them back: lineage ends, and later reads prune columns."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/recordloom-{uuid.uuid4().hex}"
+    _staged.setdefault(spark.sparkContext.applicationId, []).append(path)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> int:
+    """Remove the folders that ``stage`` wrote in this application; call it when the results are written."""
+    paths = _staged.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        _delete(spark, path)
+    return len(paths)
+
+
 def bucket_of(pk: Sequence[str], buckets: int) -> Column:
     """Bucket of a key. Text is hashed, so that 7 and '7' are the same key."""
     return F.pmod(F.xxhash64(*[F.col(quote(c)).cast("string") for c in pk]), F.lit(buckets)).cast("int")
@@ -162,12 +187,21 @@ class TableStore:
 
     # -- rows that were refused: they count from the commit that names their folder --
 
-    def set_aside(self, table: str, rejects: DataFrame) -> str | None:
-        """Write refused rows (table, reason, fields) beside the table; the name of their folder, none without rows."""
+    def set_aside(self, table: str, rejects: DataFrame) -> str:
+        """Write refused rows (table, reason, fields) beside the table; the name of their folder."""
         name = f"r{self.current(table).get('number', 0) + 1}-{uuid.uuid4().hex[:8]}"
-        path = f"{self.root}/{table}/rejects/{name}"
-        rejects.write.parquet(path)
-        return None if self.spark.read.schema(REJECTS).parquet(path).isEmpty() else name
+        rejects.write.parquet(f"{self.root}/{table}/rejects/{name}")
+        return name
+
+    def land(self, table: str, delta: DataFrame, refused: Column) -> tuple[DataFrame, int, str]:
+        """Write a delta down once, counting the refused rows on the way: the rows as written, that count, the folder (remove it in the end)."""
+        seen = Observation()
+        path = f"{self.root}/{table}/staged/{uuid.uuid4().hex}"
+        delta.observe(seen, F.count_if(refused).alias("refused")).write.parquet(path)
+        return self.spark.read.schema(delta.schema).parquet(path), seen.get["refused"], path
+
+    def remove(self, path: str) -> None:
+        _delete(self.spark, path)
 
     def rejects(self, table: str) -> DataFrame:
         """Refused rows of all commits: table, reason, fields."""
@@ -184,13 +218,18 @@ class TableStore:
     # -- housekeeping --
 
     def vacuum(self, table: str) -> int:
-        """Remove version folders that the pointer no longer names; call it when no reader is running."""
-        live = set(self.current(table).get("versions", {}).values())
-        fs, folder = self._fs(f"{self.root}/{table}")
+        """Remove folders of versions and rejects that the pointer no longer names, and deltas of commits that died.
+
+        Call it when nobody reads or writes the table.
+        """
+        pointer = self.current(table)
+        live = {*pointer.get("versions", {}).values(), *pointer.get("rejects", [])}
         gone = 0
-        for status in fs.listStatus(folder):
-            name = status.getPath().getName()
-            if status.isDirectory() and name.startswith("v") and name not in live:
-                fs.delete(status.getPath(), True)
-                gone += 1
+        for part, first in (("", "v"), ("/rejects", "r"), ("/staged", "")):
+            fs, folder = self._fs(f"{self.root}/{table}{part}")
+            for status in fs.listStatus(folder) if fs.exists(folder) else []:
+                name = status.getPath().getName()
+                if status.isDirectory() and name.startswith(first) and name not in live and name not in ("rejects", "staged"):
+                    fs.delete(status.getPath(), True)
+                    gone += 1
         return gone

@@ -194,7 +194,30 @@ def test_hr_rows_by_rule(records, rows_of):
 
 def test_leave_balance(records, rows_of):
     df = records('{"report":{"e1":{"t":{"booked":1.0,"balance":2.0}}}}', schema="report map<string,map<string,struct<booked:double,balance:double>>>")
-    assert rows_of(hr.leave_balance(df, "2024-01-01", "2024-12-31")) == [("e1", "t", 1.0, 2.0, "2024-01-01", "2024-12-31")]
+    got = rows_of(hr.leave_balance(df, "2024-01-01", "2024-12-31"), "employee_id", "leave_type_id", "booked", "balance", "from_date", "to_date")
+    assert got == [("e1", "t", 1.0, 2.0, "2024-01-01", "2024-12-31")]
+
+
+def test_leave_balance_of_listed_employees(records, rows_of):
+    vals = "struct<booked:double,balance:double,available:double,unit:string>"
+    df = records(
+        '{"report":{"e1":{"t":{"booked":1,"balance":2,"available":3,"unit":"Hour"},"totals":{"booked":4}},"e2":{"t":{"booked":9}}},"employees":["e1","e9"],'
+        '"leavetypes":{"t":{"name":"Annual","unit":"Day"},"u":{"name":"Sick"}}}',
+        schema=f"report map<string,map<string,{vals}>>, employees array<string>, leavetypes map<string,struct<name:string,unit:string,type:string>>",
+    )
+    out = hr.balance_tables(df, "a", "b")
+    got = rows_of(out["leave_balance"], "employee_id", "leave_type_id", "available", "unit", "raw_vals")
+    assert got == [("e1", "t", 3.0, "Hour", '{"booked":1.0,"balance":2.0,"available":3.0,"unit":"Hour"}'), ("e1", "totals", None, "Day", '{"booked":4.0}')]
+    assert rows_of(out["leave_types"]) == [("t", "Annual", "Day", None), ("u", "Sick", None, None)]
+    assert rows_of(hr.balance_tables(df, "a", "b", out["leave_types"].filter("id = 't'"))["leave_types"], "id") == [("u",)]
+
+
+def test_raw_leave_record_keeps_its_names(records):
+    df = records('{"Zoho.ID":1,"Leavetype.ID":2}', '{"Leavetype.ID":3}', schema="`Zoho.ID` bigint, `Leavetype.ID` bigint")
+    rejects = []
+    row = hr.shred_leave(df, rejects)["leave_records"].first()
+    assert json.loads(row["raw_record"]) == {"Zoho.ID": 1, "Leavetype.ID": 2}
+    assert rejects[0].count() == 1 and rejects[0].first()["reason"] == "missing key: id"
 
 
 def test_projects(records, rows_of):
