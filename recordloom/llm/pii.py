@@ -103,7 +103,8 @@ EXAMPLES = 40
 
 TRAIN_ROWS = 20_000
 PRECISION = 0.95
-TREES, DEPTH = 24, 5
+TREES, DEPTH = 14, 5
+FIT_PARTITIONS = 4
 #: A text may have up to 2^STRIDES matches of a pattern.
 STRIDES = 22
 
@@ -336,7 +337,8 @@ def scored(cands: DataFrame, train_rows: int = TRAIN_ROWS, precision: float = PR
         seeds = seeds.withColumn("_fit", F.pmod(F.xxhash64("kind", *names), F.lit(5)) > 0)
         fit = fit.unionByName(seeds.filter("_fit").select(*fit.columns))
         held = seeds.filter("not _fit")
-    fit = cut_lineage(fit.withColumn("label", F.col("label").cast("double")))
+    # the sample is bounded, so a few partitions hold it; each level of a tree is a job over them
+    fit = cut_lineage(fit.withColumn("label", F.col("label").cast("double")).coalesce(FIT_PARTITIONS))
     if fit.select("label").distinct().count() < 2:
         return cands.drop("_fit", *names).withColumns({"p": F.lit(0.0), "chosen": F.lit(False)})
     model = GBTClassifier(featuresCol="_features", labelCol="label", maxIter=TREES, maxDepth=DEPTH, maxBins=64, seed=9).fit(vector.transform(fit).select("_features", "label"))
