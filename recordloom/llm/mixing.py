@@ -6,13 +6,14 @@ its solution tilts rates exponentially in a document's size, ``2 / (1 + exp(-mul
 iterations find the multipliers of all sources together: each is one aggregation over the table of
 (source, size, documents), which is aggregated once before and is all that the iterations read.
 
-Rates become copies from the largest size to the smallest, each size making up for what rounding left so far; a
-source therefore misses its target by about half of its smallest documents, unless a large document is more than they can make up for. Documents of one size share the
+Rates become copies by running sums in classes of sizes (powers of two), and what that rounding left is made up by a bounded
+number of sizes of each class, from the largest to the smallest; a source therefore misses its target by about half of its
+smallest documents, unless a large document is more than they can make up for. Documents of one size share the
 copies by a hash of their key. A group of equal size with very many documents is dealt in salted parts, with
 the share of each part rounded on its own.
 
-Sizes of one source are folded together: a source of W words has fewer than sqrt(2 W) different sizes, whatever
-its number of documents. The table of sources is ranked by range partitions, not in one task.
+A source of W words has fewer than sqrt(2 W) different sizes, whatever its number of documents; no array holds them: they are
+rows, summed up class by class in windows that can spill. The table of sources is ranked by range partitions, not in one task.
 
 Defined results: a null or empty text has size 0 and no words are taken of it; a null source is a source of its
 own, last in order; equal rows are separate documents; an empty table gives no rows. Reruns agree.
@@ -31,6 +32,8 @@ MOST = 2
 SALT_ROWS = 2048
 TOLERANCE = 1e-6
 MAX_NEWTON = 200
+#: Sizes of each class of a source that make up for what rounding the others left.
+MAKERS = 16
 
 KEY = ["_src", "_none"]
 
@@ -110,6 +113,47 @@ def solve(histogram: DataFrame, targets: DataFrame, most: int = MOST) -> DataFra
     return state
 
 
+def rounded(rated: DataFrame, most: int = MOST, makers: int = MAKERS) -> DataFrame:
+    """Add ``_copies``, whole copies of each (source, size), to rows with n, rate, source_size and target.
+
+    Sizes of a source fall into classes by their binary length. In each class the ``makers`` sizes with most documents
+    wait; copies of the others are differences of rounded running sums, so a class is off by at most half of its largest
+    document. What that left is made up by the waiting sizes of all classes, from the largest to the smallest.
+    """
+    kind = F.length(F.bin("size")).cast("int")
+    classed = rated.withColumn("_class", kind)
+    front = Window.partitionBy(*KEY, "_class").orderBy(F.desc("n"), F.desc("size"))
+    # Spark limits the rank ahead of the shuffle
+    waiting = cut_lineage(classed.withColumn("_at", F.row_number().over(front)).filter(F.col("_at") <= makers).drop("_at"))
+    others = classed.join(waiting.select(*KEY, "size"), [*KEY, "size"], "left_anti")
+    run = Window.partitionBy(*KEY, "_class").orderBy(F.desc("size")).rowsBetween(Window.unboundedPreceding, 0)
+    upto = F.sum(F.col("n") * F.col("rate")).over(run)
+    summed = others.withColumn("_upto", upto)
+    before = F.coalesce(F.lag("_upto").over(Window.partitionBy(*KEY, "_class").orderBy(F.desc("size"))), F.lit(0.0))
+    dealt = cut_lineage(
+        summed.withColumn("_copies", (F.round("_upto") - F.round(before)).cast("long")).withColumn(
+            "_copies", F.when(F.col("size") > 0, F.least(F.col("n") * most, "_copies")).otherwise(F.lit(0).cast("long"))
+        )
+    )
+    left = dealt.groupBy(*KEY).agg(F.sum(F.col("size") * (F.col("n") * F.col("rate") - F.col("_copies"))).alias("_due"))
+    groups = waiting.groupBy(*KEY, "source_size", "target").agg(F.sort_array(F.collect_list(F.struct("size", "n", "rate")), asc=False).alias("_sizes"))
+
+    def fold(a: Column, g: Column) -> Column:
+        due = a["due"] + g["n"] * g["size"] * g["rate"]
+        want = F.when(g["size"] > 0, F.round(due / g["size"])).otherwise(F.lit(0.0)).cast("long")
+        copies = F.greatest(F.lit(0).cast("long"), F.least(g["n"] * most, want))
+        return F.struct((due - copies * g["size"]).alias("due"), F.concat(a["copies"], F.array(copies)).alias("copies"))
+
+    # a rounded due: sums of doubles depend on their order in the last digits
+    start = F.struct(F.round(F.coalesce("_due", F.lit(0.0)), 3).alias("due"), F.array().cast("array<bigint>").alias("copies"))
+    folded = groups.join(left, KEY, "left").withColumn("_copies", F.aggregate("_sizes", start, fold)["copies"])
+    made = folded.select(
+        *KEY, "source_size", "target",
+        F.inline(F.zip_with("_sizes", "_copies", lambda s, c: F.struct(s["size"].alias("size"), s["n"].alias("n"), s["rate"].alias("rate"), c.alias("_copies")))),
+    )
+    return made.unionByName(dealt.select(*made.columns))
+
+
 def mix(docs: DataFrame, key: list[str], weights=WEIGHTS, share: float = SHARE, most: int = MOST, salt_rows: int = SALT_ROWS) -> DataFrame:
     """``docs`` has the key columns, ``source`` and ``size``; the result adds source_size, target, rate, copies and taken."""
     rows = cut_lineage(
@@ -125,24 +169,7 @@ def mix(docs: DataFrame, key: list[str], weights=WEIGHTS, share: float = SHARE,
         rate(F.round("_l", 6), F.col("size") / F.col("_scale"), most)
     )
     rated = histogram.join(state, KEY).withColumn("rate", r)
-    groups = rated.groupBy(*KEY).agg(
-        F.first("source_size").alias("source_size"), F.first("target").alias("target"),
-        F.sort_array(F.collect_list(F.struct("size", "n", "rate")), asc=False).alias("_sizes"),
-    )
-
-    def fold(a: Column, g: Column) -> Column:
-        due = a["due"] + g["n"] * g["size"] * g["rate"]
-        most_here = g["n"] * most
-        want = F.when(g["size"] > 0, F.round(due / g["size"])).otherwise(F.lit(0.0)).cast("long")
-        copies = F.greatest(F.lit(0).cast("long"), F.least(most_here, want))
-        return F.struct((due - copies * g["size"]).alias("due"), F.concat(a["copies"], F.array(copies)).alias("copies"))
-
-    start = F.struct(F.lit(0.0).alias("due"), F.array().cast("array<bigint>").alias("copies"))
-    folded = groups.withColumn("_copies", F.aggregate("_sizes", start, fold)["copies"])
-    plan = folded.select(
-        *KEY, "source_size", "target",
-        F.inline(F.zip_with("_sizes", "_copies", lambda s, c: F.struct(s["size"].alias("size"), s["n"].alias("n"), s["rate"].alias("rate"), c.alias("_copies")))),
-    )
+    plan = rounded(cut_lineage(rated), most)
     drawn = F.xxhash64(F.lit(1), *key)
     salt = F.pmod(F.xxhash64(F.lit(2), *key), F.ceil(F.col("n") / salt_rows))
     dealt = rows.join(plan, [*KEY, "size"]).withColumns({"_h": drawn, "_salt": salt})
