@@ -185,12 +185,22 @@ def assign_shards(rows: DataFrame, shards: int = SHARDS, seed: int = SEED, block
 
 
 def shard_rows(df: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
-    """All columns of a table with ``shard`` and ``slot``; only places move through the draws, texts once at the end."""
+    """All columns of a table with ``shard`` and ``slot``; only places move through the draws, texts once at the end.
+
+    A column of the table that has one of these names, in any case, stays with underscores at its end.
+    """
     placed = with_place(df)
     assigned = assign_shards(placed.select(FILE, ROW), shards, seed)
-    kept = [c for c in df.columns if c not in ("shard", "slot")]
+    kept, taken = [], {c.lower() for c in df.columns} | {"shard", "slot"}
+    for c in df.columns:
+        name = c
+        if c.lower() in ("shard", "slot"):
+            while name.lower() in taken:
+                name += "_"
+            taken.add(name.lower())
+        kept.append(F.col(f"`{c}`").alias(name))
     return placed.join(assigned.withColumnsRenamed({"shard": "_rl_shard", "slot": "_rl_slot"}), [FILE, ROW]).select(
-        *[f"`{c}`" for c in kept], F.col("_rl_shard").cast("int").alias("shard"), F.col("_rl_slot").cast("long").alias("slot")
+        *kept, F.col("_rl_shard").cast("int").alias("shard"), F.col("_rl_slot").cast("long").alias("slot")
     )
 
 
