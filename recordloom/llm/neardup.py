@@ -12,7 +12,10 @@ Nodes that share a band value form a bucket. Not all pairs of a bucket are looke
 2. Components follow. In buckets that still hold several components, pairs from different components are
    compared, in blocks of parts: nodes outside the bucket's largest component with each other and with that one.
    Pairs that may be links by their estimate are confirmed; the others cannot be but for an error of the estimate
-   of more than five standard deviations.
+   of more than five standard deviations. Buckets with more than ``CROWD`` nodes outside the largest component (pages of one
+   template, say, all below the threshold) are dealt again by shingles: with the shingles of each set in order of
+   frequency, rare ones first, linked sets have one in common among the first ``n - ceil(n * threshold) + 1``. What the
+   template gives stands behind these, so its pages do not meet; no link is lost by it.
 3. Components of all confirmed links give the result. A link that no forest needed joins nothing new.
 
 With 20 bands of 4 rows a pair of similarity 0.85 is missed with probability 4e-7, one of 0.8 with 3e-5. A set of n shingles
@@ -29,7 +32,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from recordloom.llm.common import FILE, ROW, cut_lineage, stage, table, with_place
@@ -41,6 +44,8 @@ BINS, BITS = 2048, 2048
 #: Standard deviations that an estimate may lie below the similarity of a link, and what the parities may add.
 SIGMAS, PARITY = 5, 0.015
 PART = 1024
+#: Nodes outside the largest component beyond which a bucket is dealt again.
+CROWD = 64
 
 _numbers = np.random.default_rng(3)
 FACTORS = _numbers.integers(0, 2**63, BANDS * ROWS, dtype=np.uint64) * U(2) + U(1)
@@ -181,10 +186,10 @@ def forests(link: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
     return run
 
 
-def crossings(link: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def crossings(link: float, banded: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Pairs of different components in a block; ``side`` 0 rows are compared with each other (if the block is square) and with side 1.
 
-    A pair that meets in several buckets is named in the one of its first common band.
+    A pair that meets in several buckets of bands is named in the one of its first common band.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,15 +197,16 @@ def crossings(link: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
             sigs, sketches = group.column("sig").to_pylist(), Sketches(group, link)
             numbers: dict[bytes, int] = {}
             labels = np.array([numbers.setdefault(x, len(numbers)) for x in group.column("label").to_pylist()])
-            bands = np.array(group.column("bands").to_pylist(), np.int64)
+            bands = np.array(group.column("bands").to_pylist(), np.int64) if banded else None
             key, side, square = group.column("key")[0].as_py(), group.column("side").to_numpy(), group.column("square")[0].as_py()
             pairs = []
             for i in np.flatnonzero(side == 0):
                 others = np.flatnonzero((labels != labels[i]) & ((side == 1) | (square & (np.arange(len(side)) > i))))
                 if len(others):
                     near = others[sketches.excess(int(i), others) >= 0]
-                    first = np.argmax(bands[near] == bands[i], axis=1)
-                    pairs += [(sigs[i], sigs[j]) for j in near[bands[i][first] == key]]
+                    if banded:
+                        near = near[bands[i][np.argmax(bands[near] == bands[i], axis=1)] == key]
+                    pairs += [(sigs[i], sigs[j]) for j in near]
             yield pair_batch(pairs)
 
     return run
@@ -225,12 +231,65 @@ def confirmer(width: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]],
     return run
 
 
+def divided(labelled: DataFrame) -> DataFrame:
+    """(key, main, mains, held) of the buckets of ``labelled`` (key, sig, label) that hold several components."""
+    sizes = labelled.groupBy("key", "label").count()
+    return sizes.groupBy("key").agg(
+        F.max_by("label", F.struct("count", "label")).alias("main"), F.max("count").alias("mains"), F.sum("count").alias("held"), F.count(F.lit(1)).alias("parts")
+    ).filter("parts > 1").drop("parts")
+
+
+def across(labelled: DataFrame, split: DataFrame, sketches: DataFrame, percent: int, banded: bool) -> DataFrame:
+    """Possible links (a, b) between the components of each bucket; no task holds more than two parts of one."""
+    rest = labelled.join(split, "key").withColumn("others", F.col("held") - F.col("mains"))
+    small, large = F.ceil(F.col("others") / PART), F.ceil(F.col("mains") / PART)
+    h = F.xxhash64("sig")
+    # others: rows of a square of parts, and of a rectangle against the parts of the main component
+    own = F.pmod(h, small)
+    outside = F.concat(
+        F.transform(F.sequence(F.lit(0).cast("long"), small - 1), lambda j: F.struct(F.least(own, j).alias("i"), F.greatest(own, j).alias("j"), F.when(j < own, 1).otherwise(0).alias("side"), (own == j).alias("square"), F.lit(0).alias("kind"))),
+        F.transform(F.sequence(F.lit(0).cast("long"), large - 1), lambda j: F.struct(own.alias("i"), j.alias("j"), F.lit(0).alias("side"), F.lit(False).alias("square"), F.lit(1).alias("kind"))),
+    )
+    inside = F.transform(F.sequence(F.lit(0).cast("long"), small - 1), lambda i: F.struct(i.alias("i"), F.pmod(h, large).alias("j"), F.lit(1).alias("side"), F.lit(False).alias("square"), F.lit(1).alias("kind")))
+    blocks = rest.select("key", "sig", "label", F.explode(F.when(F.col("label") == F.col("main"), inside).otherwise(outside)).alias("b"))
+    flat = blocks.select(
+        "key", F.xxhash64("b.i", "b.j", "b.kind").alias("block"), "sig", "label", F.col("b.side").alias("side"), F.col("b.square").alias("square")
+    )
+    columns = ["odd", "minima", "n", *(["bands"] if banded else [])]
+    withs = flat.join(sketches.select("sig", *columns), "sig").select("key", "block", "sig", "label", "side", "square", *columns)
+    ready = withs.repartition("key", "block").sortWithinPartitions("key", "block", "side", "sig")
+    return ready.mapInArrow(crossings(percent / 100, banded), "a binary, b binary")
+
+
+def shingler(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.unique(runs).view(np.int64) for _, runs, _ in shingle_lists(batch.column("text"), width)]
+            yield pa.RecordBatch.from_arrays([batch.column("sig"), pa.array(sets, pa.list_(pa.int64()))], ["sig", "shingles"])
+
+    return run
+
+
+def rare_shingles(labelled: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """(key, sig, label): the shingles by which linked sets of ``labelled`` (sig, label) must meet, rare ones, each in two sets or more.
+
+    Seen from the frequent end, a shingle is among a set's first ``n - ceil(n * percent / 100) + 1`` if at least
+    ``ceil(n * percent / 100) - 1`` stand behind it; shingles of one set alone come first and need not be ranked.
+    """
+    asked = texts.join(labelled.select("sig"), "sig", "left_semi").select("sig", "text")
+    sets = stage(asked.mapInArrow(shingler(width), "sig binary, shingles array<long>"))
+    behind = F.ceil(F.size("shingles") * percent / F.lit(100)) - 1
+    flat = sets.select("sig", behind.alias("behind"), F.explode("shingles").alias("key"))
+    often = flat.groupBy("key").count().filter("count > 1")
+    ranked = flat.join(often, "key").withColumn("rank", F.row_number().over(Window.partitionBy("sig").orderBy(F.desc("count"), F.desc("key"))))
+    return ranked.filter("rank > behind").select("key", "sig").join(labelled, "sig")
+
+
 def duplicate_links(nodes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """Confirmed links (a, b) between nodes, enough to join all that are linked.
 
     ``nodes`` has sig, bands, odd, minima; ``texts`` gives sig and one text for the nodes that ``members`` names.
     """
-    spark = nodes.sparkSession
     banded = nodes.filter("bands is not null").select("sig", F.explode("bands").alias("key"))
     shared = banded.groupBy("key").count().filter("count > 1").withColumnRenamed("count", "held")
     members = stage(banded.join(shared, "key"))
@@ -251,32 +310,17 @@ def duplicate_links(nodes: DataFrame, texts: DataFrame, width: int, percent: int
     labelled = members.join(components(links), members["sig"] == F.col("node"), "left").select(
         "key", members["sig"], F.coalesce("label", members["sig"]).alias("label")
     )
-    sizes = labelled.groupBy("key", "label").count()
-    split = stage(
-        sizes.groupBy("key").agg(
-            F.max_by("label", F.struct("count", "label")).alias("main"), F.max("count").alias("mains"), F.sum("count").alias("held"), F.count(F.lit(1)).alias("parts")
-        ).filter("parts > 1").drop("parts")
-    )
+    split = stage(divided(labelled))
     if split.isEmpty():
         return links
-    rest = labelled.join(split, "key").withColumn("others", F.col("held") - F.col("mains"))
-    small, large = F.ceil(F.col("others") / PART), F.ceil(F.col("mains") / PART)
-    h = F.xxhash64("sig")
-    # others: rows of a square of parts, and of a rectangle against the parts of the main component
-    own = F.pmod(h, small)
-    outside = F.concat(
-        F.transform(F.sequence(F.lit(0).cast("long"), small - 1), lambda j: F.struct(F.least(own, j).alias("i"), F.greatest(own, j).alias("j"), F.when(j < own, 1).otherwise(0).alias("side"), (own == j).alias("square"), F.lit(0).alias("kind"))),
-        F.transform(F.sequence(F.lit(0).cast("long"), large - 1), lambda j: F.struct(own.alias("i"), j.alias("j"), F.lit(0).alias("side"), F.lit(False).alias("square"), F.lit(1).alias("kind"))),
-    )
-    inside = F.transform(F.sequence(F.lit(0).cast("long"), small - 1), lambda i: F.struct(i.alias("i"), F.pmod(h, large).alias("j"), F.lit(1).alias("side"), F.lit(False).alias("square"), F.lit(1).alias("kind")))
-    blocks = rest.select("key", "sig", "label", F.explode(F.when(F.col("label") == F.col("main"), inside).otherwise(outside)).alias("b"))
-    flat = blocks.select(
-        "key", F.xxhash64("b.i", "b.j", "b.kind").alias("block"), "sig", "label", F.col("b.side").alias("side"), F.col("b.square").alias("square")
-    )
-    withs = flat.join(sketches, "sig").select("key", "block", "sig", "label", "side", "square", "odd", "minima", "n", "bands")
-    ready = withs.repartition("key", "block").sortWithinPartitions("key", "block", "side", "sig")
-    more = confirm(ready.mapInArrow(crossings(percent / 100), "a binary, b binary"))
-    return spark.createDataFrame([], "a binary, b binary").unionByName(links).unionByName(more)
+    crowded = F.col("held") - F.col("mains") > CROWD
+    found = links.unionByName(confirm(across(labelled, split.filter(~crowded), sketches, percent, True)))
+    again = split.filter(crowded)
+    if not again.isEmpty():
+        nodes_again = labelled.join(again.select("key"), "key", "left_semi").select("sig", "label").distinct()
+        dealt_again = stage(rare_shingles(nodes_again, wanted, width, percent))
+        found = found.unionByName(confirm(across(dealt_again, divided(dealt_again), sketches, percent, False)))
+    return found
 
 
 def near_duplicates(placed: DataFrame, width: int, percent: int) -> DataFrame:
