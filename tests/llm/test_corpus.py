@@ -112,6 +112,25 @@ def test_near_duplicates_of_few_shingles(spark, width, percent, sizes):
     assert got == {10 * k + n: (n, 10 * k + (n if n == sizes[0] else sizes[1])) for k in range(8) for n in sizes}
 
 
+@pytest.mark.parametrize("crowd", [0, 64])
+def test_near_duplicates_in_crowded_buckets(spark, monkeypatch, crowd):
+    # pages of one template share bands but are not linked (similarity 0.74); some have a near copy, some of these another
+    monkeypatch.setattr(neardup, "CROWD", crowd)
+    r = random.Random(11)
+    common = [f"c{i}" for i in range(180)]
+    rows, want = [], {}
+    for k in range(240):
+        words = common + [f"o{k}x{i}" for i in range(30)]
+        for copy in range(3 if k % 9 == 0 else 2 if k % 3 == 0 else 1):
+            if copy:
+                words[r.randrange(60)] = f"e{k}x{copy}"
+            rows.append((1000 * copy + k, " ".join(words)))
+            want[1000 * copy + k] = k
+    placed = neardup.with_place(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {x["doc_id"]: x["component"] for x in neardup.near_duplicates(placed, 3, 85).collect()}
+    assert got == want
+
+
 @pytest.mark.parametrize("most", [1, 256])
 def test_repeated_passages(docs, empty, most):
     rows = [(r["doc_id"], (r["text"] or "").encode()) for r in docs.collect()]
@@ -203,6 +222,28 @@ def test_sharding(docs, empty, spark):
     assert sharding.shard_rows(docs, 40).count() == docs.count() and sharding.shard_rows(empty).isEmpty()
 
 
+def test_sharding_keeps_columns(spark):
+    df = spark.range(100).selectExpr("id", "id * 2 as Slot", "cast(null as string) as shard", "id as slot_")
+    got = sharding.shard_rows(df, 3)
+    assert got.columns == ["id", "Slot__", "shard_", "slot_", "shard", "slot"]
+    rows = got.collect()
+    assert {(r["id"], r["Slot__"], r["slot_"]) for r in rows} == {(i, 2 * i, i) for i in range(100)}
+    assert sorted((r["shard"], r["slot"]) for r in rows) == [(k, j) for k in range(3) for j in range(34 if k == 0 else 33)]
+
+
+def test_mixing_of_many_sizes(spark):
+    # one source with every size once and one with a few: words come near the targets, whole texts only
+    rows = [(i, "a", i + 1) for i in range(20000)] + [(20000 + i, "b", 50 + i % 7) for i in range(4000)] + [(30000, "b", 300000), (30001, "a", 0)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, source string, size long"), ["doc_id"]).collect()
+    assert len(got) == len(rows) and all(r["copies"] in (0, 1, 2) and r["taken"] == r["copies"] * r["size"] for r in got)
+    taken, target = collections.Counter(), {}
+    for r in got:
+        taken[r["source"]] += r["taken"]
+        target[r["source"]] = r["target"]
+    # multipliers are found to a millionth of the target; the smallest documents have one word and 50
+    assert all(abs(taken[s] - target[s]) <= 1e-6 * target[s] + least for s, least in (("a", 1), ("b", 25)))
+
+
 def test_licenses(docs, empty):
     rows = {r["doc_id"]: r for r in licenses.scan_licenses(docs).collect()}
     last = rows[max(i for i in rows if i is not None)]
