@@ -206,8 +206,10 @@ def leave_balance(reports: DataFrame, from_date: str, to_date: str) -> DataFrame
     Where the report lists its ``employees``, only theirs count, each once. A missing unit is ``Day``; ``raw_vals`` keeps the figures as they came.
     """
     if "employees" in reports.columns:
-        listed = F.map_filter("report", lambda k, v: F.array_contains(F.col("employees").cast("array<string>"), k))
-        reports = reports.withColumn("report", listed)
+        # two maps meet by a hash of their keys; a search of the list for each key would be quadratic
+        names = F.array_distinct(F.array_compact(F.col("employees").cast("array<string>")))
+        listed = F.map_from_entries(F.transform(names, lambda e: F.struct(e, F.lit(True))))
+        reports = reports.withColumn("report", F.map_zip_with("report", listed, lambda k, v, there: F.when(there, v)))
     entries = reports.select(F.explode("report").alias("employee_id", "_m")).select("employee_id", F.explode("_m").alias("leave_type_id", "_v"))
     names = entries.schema["_v"].dataType.fieldNames()
 
