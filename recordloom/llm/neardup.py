@@ -15,7 +15,8 @@ Nodes that share a band value form a bucket. Not all pairs of a bucket are looke
    of more than five standard deviations. Buckets with more than ``CROWD`` nodes outside the largest component (pages of one
    template, say, all below the threshold) are dealt again by shingles: with the shingles of each set in order of
    frequency, rare ones first, linked sets have one in common among the first ``n - ceil(n * threshold) + 1``. What the
-   template gives stands behind these, so its pages do not meet; no link is lost by it.
+   template gives stands behind these, so its pages do not meet; no link is lost by it. Any order that is the same for all sets will
+   do: shingles are counted by ``SLOTS`` hash slots, so that each task orders its sets alone and only these first ones leave it.
 3. Components of all confirmed links give the result. A link that no forest needed joins nothing new.
 
 With 20 bands of 4 rows a pair of similarity 0.85 is missed with probability 4e-7, one of 0.8 with 3e-5. A set of n shingles
@@ -32,7 +33,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recordloom.llm.common import FILE, ROW, cut_lineage, stage, table, with_place
@@ -46,6 +47,8 @@ SIGMAS, PARITY = 5, 0.015
 PART = 1024
 #: Nodes outside the largest component beyond which a bucket is dealt again.
 CROWD = 64
+#: Hash slots by which shingles are counted; two sets that meet by several shingles name their pair once if two of ``HEAD`` agree.
+SLOTS, HEAD = 2**20, 64
 
 _numbers = np.random.default_rng(3)
 FACTORS = _numbers.integers(0, 2**63, BANDS * ROWS, dtype=np.uint64) * U(2) + U(1)
@@ -186,10 +189,20 @@ def forests(link: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
     return run
 
 
+def padded(lists: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """Lists of at most ``HEAD`` numbers as rows of a matrix, and which of its places they fill."""
+    rows = lists.to_pylist()
+    there = np.arange(HEAD) < np.array([len(r) for r in rows])[:, None]
+    out = np.zeros(there.shape, np.int64)
+    out[there] = np.concatenate([np.array(r, np.int64) for r in rows])
+    return out, there
+
+
 def crossings(link: float, banded: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Pairs of different components in a block; ``side`` 0 rows are compared with each other (if the block is square) and with side 1.
 
-    A pair that meets in several buckets of bands is named in the one of its first common band.
+    A pair that meets in several buckets of bands is named in the one of its first common band, one that meets by several shingles by the
+    smallest of those that both have among their ``HEAD`` smallest, or by each if there is none.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,6 +211,7 @@ def crossings(link: float, banded: bool) -> Callable[[Iterator[pa.RecordBatch]],
             numbers: dict[bytes, int] = {}
             labels = np.array([numbers.setdefault(x, len(numbers)) for x in group.column("label").to_pylist()])
             bands = np.array(group.column("bands").to_pylist(), np.int64) if banded else None
+            heads, there = (None, None) if banded else padded(group.column("heads"))
             key, side, square = group.column("key")[0].as_py(), group.column("side").to_numpy(), group.column("square")[0].as_py()
             pairs = []
             for i in np.flatnonzero(side == 0):
@@ -206,6 +220,10 @@ def crossings(link: float, banded: bool) -> Callable[[Iterator[pa.RecordBatch]],
                     near = others[sketches.excess(int(i), others) >= 0]
                     if banded:
                         near = near[bands[i][np.argmax(bands[near] == bands[i], axis=1)] == key]
+                    elif len(near):
+                        same = there[near] & np.isin(heads[near], heads[i][there[i]])
+                        first = heads[near, np.argmax(same, axis=1)]
+                        near = near[~same.any(axis=1) | (first == key)]
                     pairs += [(sigs[i], sigs[j]) for j in near]
             yield pair_batch(pairs)
 
@@ -255,7 +273,7 @@ def across(labelled: DataFrame, split: DataFrame, sketches: DataFrame, percent:
     flat = blocks.select(
         "key", F.xxhash64("b.i", "b.j", "b.kind").alias("block"), "sig", "label", F.col("b.side").alias("side"), F.col("b.square").alias("square")
     )
-    columns = ["odd", "minima", "n", *(["bands"] if banded else [])]
+    columns = ["odd", "minima", "n", "bands" if banded else "heads"]
     withs = flat.join(sketches.select("sig", *columns), "sig").select("key", "block", "sig", "label", "side", "square", *columns)
     ready = withs.repartition("key", "block").sortWithinPartitions("key", "block", "side", "sig")
     return ready.mapInArrow(crossings(percent / 100, banded), "a binary, b binary")
@@ -270,19 +288,48 @@ def shingler(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
     return run
 
 
-def rare_shingles(labelled: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """(key, sig, label): the shingles by which linked sets of ``labelled`` (sig, label) must meet, rare ones, each in two sets or more.
+def slots_of(shingles: np.ndarray) -> np.ndarray:
+    return (mix(shingles.view(U) ^ STEP) % U(SLOTS)).astype(np.int64)
+
+
+def slot_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held = np.zeros(SLOTS, np.int64)
+    for batch in batches:
+        held += np.bincount(slots_of(batch.column("shingles").flatten().to_numpy(zero_copy_only=False)), minlength=SLOTS)
+    slots = np.flatnonzero(held)
+    for at in range(0, len(slots), 65536):
+        part = slots[at : at + 65536]
+        yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(held[part])], ["slot", "held"])
+
+
+def rarest(held: np.ndarray, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The first ``n - ceil(n * percent / 100) + 1`` shingles of each set, sorted by value, without those that no other set has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for i in range(batch.num_rows):
+                shingles = batch.column("shingles")[i].values.to_numpy(zero_copy_only=False)
+                often = held[slots_of(shingles)]
+                first = np.lexsort((shingles, often))[: len(shingles) + -len(shingles) * percent // 100 + 1]
+                out.append(np.sort(shingles[first[often[first] > 1]]))
+            yield pa.RecordBatch.from_arrays([batch.column("sig"), pa.array(out, pa.list_(pa.int64()))], ["sig", "keys"])
+
+    return run
+
+
+def rare_shingles(asked: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """(sig, keys): the shingles by which linked sets of ``asked`` (sig) must meet, the rare ones.
 
-    Seen from the frequent end, a shingle is among a set's first ``n - ceil(n * percent / 100) + 1`` if at least
-    ``ceil(n * percent / 100) - 1`` stand behind it; shingles of one set alone come first and need not be ranked.
+    Shingles are ordered by the count of their slot, then by value. A slot's count is that of a shingle or more, so a shingle
+    whose slot counts one is in one set only. Counts of slots above one, ``SLOTS`` at most, go to all tasks.
     """
-    asked = texts.join(labelled.select("sig"), "sig", "left_semi").select("sig", "text")
-    sets = stage(asked.mapInArrow(shingler(width), "sig binary, shingles array<long>"))
-    behind = F.ceil(F.size("shingles") * percent / F.lit(100)) - 1
-    flat = sets.select("sig", behind.alias("behind"), F.explode("shingles").alias("key"))
-    often = flat.groupBy("key").count().filter("count > 1")
-    ranked = flat.join(often, "key").withColumn("rank", F.row_number().over(Window.partitionBy("sig").orderBy(F.desc("count"), F.desc("key"))))
-    return ranked.filter("rank > behind").select("key", "sig").join(labelled, "sig")
+    sets = stage(texts.join(asked, "sig", "left_semi").select("sig", "text").mapInArrow(shingler(width), "sig binary, shingles array<long>"))
+    counts = sets.select("shingles").mapInArrow(slot_counts, "slot int, held long").groupBy("slot").agg(F.sum("held").alias("held"))
+    often = counts.filter("held > 1").toArrow()
+    held = np.ones(SLOTS, np.int32)
+    held[often.column("slot").to_numpy()] = np.minimum(often.column("held").to_numpy(), np.iinfo(np.int32).max)
+    return stage(sets.mapInArrow(rarest(held, percent), "sig binary, keys array<long>"))
 
 
 def duplicate_links(nodes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
@@ -318,8 +365,10 @@ def duplicate_links(nodes: DataFrame, texts: DataFrame, width: int, percent: int
     again = split.filter(crowded)
     if not again.isEmpty():
         nodes_again = labelled.join(again.select("key"), "key", "left_semi").select("sig", "label").distinct()
-        dealt_again = stage(rare_shingles(nodes_again, wanted, width, percent))
-        found = found.unionByName(confirm(across(dealt_again, divided(dealt_again), sketches, percent, False)))
+        rare = rare_shingles(nodes_again.select("sig"), wanted, width, percent)
+        dealt_again = stage(rare.select("sig", F.explode("keys").alias("key")).join(nodes_again, "sig"))
+        headed = sketches.join(rare.select("sig", F.slice("keys", 1, HEAD).alias("heads")), "sig")
+        found = found.unionByName(confirm(across(dealt_again, divided(dealt_again), headed, percent, False)))
     return found
 
 

@@ -131,6 +131,29 @@ def test_near_duplicates_in_crowded_buckets(spark, monkeypatch, crowd):
     assert got == want
 
 
+def test_pairs_of_crowded_buckets_are_named_once(spark, monkeypatch):
+    """Pairs that meet by several rare shingles came once for each of them, and every shared shingle of a crowded page was joined."""
+    seen = []
+
+    def across(labelled, split, sketches, percent, banded):
+        pairs = real(labelled, split, sketches, percent, banded)
+        if not banded:
+            seen.append((labelled.count(), pairs.count(), pairs.distinct().count()))
+        return pairs
+
+    real = neardup.across
+    monkeypatch.setattr(neardup, "across", across)
+    monkeypatch.setattr(neardup, "CROWD", 8)
+    # pages of one template, just below the threshold with each other and close enough for the estimate
+    common = [f"c{i}" for i in range(180)]
+    rows = [(k, " ".join([*common, *(f"o{k // 2 if i < 10 else k}x{i}" for i in range(28))])) for k in range(80)]
+    placed = neardup.with_place(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {x["doc_id"]: (x["n"], x["component"]) for x in neardup.near_duplicates(placed, 3, 85).collect()}
+    assert got == {k: (206, k) for k in range(80)}
+    # each page keeps no more of its 206 shingles than the 31 by which linked sets must meet, and only those that others have
+    assert seen and all(keys <= 80 * 31 and pairs == distinct > 0 for keys, pairs, distinct in seen)
+
+
 @pytest.mark.parametrize("most", [1, 256])
 def test_repeated_passages(docs, empty, most):
     rows = [(r["doc_id"], (r["text"] or "").encode()) for r in docs.collect()]
