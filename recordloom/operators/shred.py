@@ -200,8 +200,10 @@ def bridge(
         sources.insert(0, F.when(one.isNotNull(), F.array(one)))
     if scope:
         sources.append(F.array(at(scope).cast("string")))
-    left = [*[at(c) for c in carry], at(a).cast("string").alias(a_as or a)]
-    pairs = _rows_of(df, left, F.coalesce(*sources), b).filter(F.col(a_as or a).isNotNull())
+    key = at(a).cast("string")
+    left = [*[at(c) for c in carry], key.alias(a_as or a)]
+    # said of the array: a filter on the key alone goes below the parsing of a record, which is then parsed for it as well
+    pairs = _rows_of(df, left, F.when(key.isNotNull(), F.coalesce(*sources)), b)
     return pairs.distinct() if distinct else pairs
 
 

@@ -7,6 +7,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recordloom.store import stage
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -44,10 +46,12 @@ def nest(
     Each key is split into as many documents as its own rows need, so no array grows without bound and small keys
     stay whole. The split is by file and row number, which spreads equal rows as well and is the same again when a
     task is repeated. Rows per key are counted before the shuffle; only keys that need several documents, of which there are few, are joined back.
+    These keys are written down first: their size is known then, and where it is small the rows are not shuffled to meet them.
     ``part_as`` names a column for the number of the document within its key.
     """
     place = F.xxhash64("_metadata.file_path", "_metadata.row_index")
     held = df.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(F.count("*").alias("_held")).filter(F.col("_held") > per_document)
+    held = stage(held)
     same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
     rows = df.withColumn("_place", place).join(held, same, "left")
     parts = F.coalesce(F.ceil(F.col("_held") / per_document), F.lit(1))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from recordloom.operators.flatten import flatten_prefix, project_deep, stamp
 from recordloom.operators.keys import require_key
@@ -34,6 +35,7 @@ from recordloom.operators.shred import (
 from recordloom.plans.pos import ORDER_TREE, VOIDED_PAYMENT
 from recordloom.queries.registry import cents, day, nest, query, table
 from recordloom.sources import as_record
+from recordloom.spec import fields_only
 from recordloom.store import stage
 
 # ---- the order document: header, checks, selections, taxes, payments --------------------------
@@ -62,22 +64,27 @@ def order_documents(spark, sf, *extra):
     An order with very many lines comes as several documents that repeat its header, so what is
     read from the header is made distinct, or taken from ``page`` 0.
     """
-    line_id = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    tax = F.struct(
-        F.when(F.col("l_returnflag") == "A", F.concat(F.lit("tax-"), line_id)).alias("guid"),
-        F.lit("VAT").alias("name"),
-        F.col("l_tax").alias("rate"),
-        F.struct(F.col("l_suppkey").cast("string").alias("guid")).alias("taxRate"),
-    )
-    line = F.struct(
-        line_id.alias("guid"),
-        F.struct(F.col("l_partkey").cast("string").alias("guid"), F.lit("MenuItem").alias("entityType")).alias("item"),
-        F.col("l_quantity").alias("quantity"),
-        F.col("l_extendedprice").alias("price"),
-        (F.col("l_linestatus") == "O").alias("deferred"),
-        F.array(tax).alias("appliedTaxes"),
-    )
-    lines = nest(table(spark, sf, "lineitem"), ["l_orderkey"], line, "selections", part_as="page")
+    read = "l_linenumber l_partkey l_suppkey l_quantity l_extendedprice l_tax l_returnflag l_linestatus".split()
+
+    def line(x):
+        line_id = F.concat_ws("-", "l_orderkey", x["l_linenumber"], x["l_partkey"], x["l_suppkey"])
+        tax = F.struct(
+            F.when(x["l_returnflag"] == "A", F.concat(F.lit("tax-"), line_id)).alias("guid"),
+            F.lit("VAT").alias("name"),
+            x["l_tax"].alias("rate"),
+            F.struct(x["l_suppkey"].cast("string").alias("guid")).alias("taxRate"),
+        )
+        return F.struct(
+            line_id.alias("guid"),
+            F.struct(x["l_partkey"].cast("string").alias("guid"), F.lit("MenuItem").alias("entityType")).alias("item"),
+            x["l_quantity"].alias("quantity"),
+            x["l_extendedprice"].alias("price"),
+            (x["l_linestatus"] == "O").alias("deferred"),
+            F.array(tax).alias("appliedTaxes"),
+        )
+
+    # the lists that are grouped and shuffled hold the columns of the lines; the much wider selections are made behind the join
+    lines = nest(table(spark, sf, "lineitem"), ["l_orderkey"], F.struct(*read), "lines", part_as="page")
     key = F.col("o_orderkey").cast("string")
     status = F.col("o_orderstatus")
     payment = F.struct(
@@ -98,7 +105,7 @@ def order_documents(spark, sf, *extra):
         F.col("o_totalprice").alias("amount"),
         (status == "F").alias("deleted"),
         F.struct(F.col("o_custkey").cast("string").alias("guid"), F.col("o_orderpriority").alias("name")).alias("customer"),
-        F.col("selections"),
+        F.transform("lines", line).alias("selections"),
         F.array(payment).alias("payments"),
     )
     order = F.struct(
@@ -119,9 +126,13 @@ def order_documents(spark, sf, *extra):
     return with_lines.unionByName(bare, allowMissingColumns=True).select(*extra, F.to_json(order).alias("body"))
 
 
-def staged_orders(spark, sf):
-    documents = order_documents(spark, sf)
-    return documents.select(F.from_json("body", ORDER_SCHEMA).alias("o")).select("o.*")
+def staged_orders(spark, sf, *fields, carry=()):
+    """Parsed order documents with the fields at dotted paths that their tables are made of, and columns of ``order_documents`` to carry.
+
+    Spark prunes what it parses only where a single field is read, so the schema says it.
+    """
+    schema = fields_only(T._parse_datatype_string(ORDER_SCHEMA), fields)
+    return order_documents(spark, sf, *carry).select(*carry, F.from_json("body", schema).alias("o")).select(*carry, "o.*")
 
 
 @query(
@@ -134,7 +145,8 @@ def staged_orders(spark, sf):
     """,
 )
 def shred_orders_header(spark, sf):
-    return shred_tree(staged_orders(spark, sf), ORDER_TREE, "restaurant_id")["orders"].select(
+    orders = staged_orders(spark, sf, "guid", "restaurant_id", "openedDate", "deleted", "server", "diningOption")
+    return shred_tree(orders, ORDER_TREE, "restaurant_id")["orders"].select(
         "id", "restaurant_id", "openedDate", "deleted", "server_id", "server_entityType",
         "diningOption_guid",
     ).distinct()
@@ -150,7 +162,8 @@ def shred_orders_header(spark, sf):
     """,
 )
 def shred_orders_checks(spark, sf):
-    return shred_tree(staged_orders(spark, sf), ORDER_TREE, "restaurant_id")["orders_check"].distinct()
+    orders = staged_orders(spark, sf, "guid", "restaurant_id", "checks.guid", "checks.amount", "checks.deleted", "checks.customer")
+    return shred_tree(orders, ORDER_TREE, "restaurant_id")["orders_check"].distinct()
 
 
 @query(
@@ -163,7 +176,8 @@ def shred_orders_checks(spark, sf):
     """,
 )
 def shred_orders_lines(spark, sf):
-    return shred_tree(staged_orders(spark, sf), ORDER_TREE, "restaurant_id")["orders_check_selection"]
+    fields = [f"checks.selections.{name}" for name in ("guid", "item", "quantity", "price", "deferred")]
+    return shred_tree(staged_orders(spark, sf, "guid", "restaurant_id", "checks.guid", *fields), ORDER_TREE, "restaurant_id")["orders_check_selection"]
 
 
 @query(
@@ -177,7 +191,8 @@ def shred_orders_lines(spark, sf):
     """,
 )
 def hash_key_taxes(spark, sf):
-    return shred_tree(staged_orders(spark, sf), ORDER_TREE, "restaurant_id")["orders_check_selection_applied_tax"]
+    orders = staged_orders(spark, sf, "guid", "restaurant_id", "checks.guid", "checks.selections.guid", "checks.selections.appliedTaxes")
+    return shred_tree(orders, ORDER_TREE, "restaurant_id")["orders_check_selection_applied_tax"]
 
 
 @query(
@@ -189,7 +204,7 @@ def hash_key_taxes(spark, sf):
     """,
 )
 def payment_pairs(spark, sf):
-    return payment_junction(staged_orders(spark, sf))[0].distinct()
+    return payment_junction(staged_orders(spark, sf, "guid", "restaurant_id", "checks.guid", "checks.payments.guid"))[0].distinct()
 
 
 @query(
@@ -205,7 +220,7 @@ def payment_pairs(spark, sf):
     """,
 )
 def voided_payments(spark, sf):
-    payments = payment_junction(staged_orders(spark, sf))[1]
+    payments = payment_junction(staged_orders(spark, sf, "guid", "restaurant_id", "checks.guid", "checks.payments"))[1]
     flat = project_deep(payments, VOIDED_PAYMENT, drop=["voidInfo"])
     flat = flatten_prefix(flat, ["refund"])
     return flat.drop("void_info_user_guid", "void_info_reason_entity_type", "void_info_reason_guid").distinct()
@@ -219,7 +234,7 @@ def voided_payments(spark, sf):
     """,
 )
 def pricing_features(spark, sf):
-    orders = staged_orders(spark, sf)
+    orders = staged_orders(spark, sf, "guid", "restaurant_id", "pricingFeatures")
     return bridge(orders, "guid", "pricingFeatures", "pricing_feature", a_as="orders_id", carry=["restaurant_id"])
 
 

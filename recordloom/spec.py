@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from enum import Enum
 
@@ -118,6 +118,23 @@ def struct_field(schema: T.StructType, name: str) -> T.StructField | None:
     return next((f for f in schema.fields if f.name == name), None)
 
 
+def fields_only(t: T.StructType, paths: Sequence[str]) -> T.StructType:
+    """Objects with the fields at dotted paths only, in their old order; lists are passed through. A path that is not there fails."""
+    wanted: dict[str, list[str]] = {}
+    for path in paths:
+        name, _, inner = path.partition(".")
+        wanted.setdefault(name, []).append(inner)
+    if lacking := wanted.keys() - {f.name for f in t.fields}:
+        raise KeyError(f"no such field: {', '.join(sorted(lacking))}")
+
+    def cut(t: T.DataType, inner: list[str]) -> T.DataType:
+        if "" in inner:
+            return t
+        return T.ArrayType(cut(t.elementType, inner), t.containsNull) if isinstance(t, T.ArrayType) else fields_only(t, inner)
+
+    return T.StructType([T.StructField(f.name, cut(f.dataType, wanted[f.name]), f.nullable) for f in t.fields if f.name in wanted])
+
+
 def ddl_of(t: T.DataType) -> str:
     """Type as text with every field name quoted, so that any name survives."""
     if isinstance(t, T.StructType):

@@ -1,6 +1,7 @@
 """Named queries: shape, agreement with their SQL on the small tables, and behaviour under skew."""
 
 import os
+import re
 
 import duckdb
 import pytest
@@ -78,3 +79,46 @@ def test_nest_splits_a_hot_key(spark, tmp_path):
     assert sum(r["n"] for r in sizes) == 9000
     hot = [r["n"] for r in sizes if r["k"] == 0]
     assert len(hot) > 20 and max(hot) < 250
+
+
+def test_nest_shuffles_rows_once(spark, tmp_path):
+    """The keys that need several documents are known before the rows move; nothing else is shuffled with them."""
+    spark.createDataFrame([(i % 50, "x") for i in range(500)], "k int, v string").write.parquet(str(tmp_path / "rows"))
+    df = nest(spark.read.parquet(str(tmp_path / "rows")), ["k"], F.struct("v"), "items")
+    assert df._jdf.queryExecution().executedPlan().toString().count("hashpartitioning") == 1
+    assert sorted((r["k"], len(r["items"])) for r in df.collect()) == [(i, 10) for i in range(50)]
+
+
+def _order_tables(spark, folder):
+    """Orders with and without lines, one without a key, one of two documents, and one whose customer is not there."""
+    orders = [(1, 7, "O", 10.5, "1-URGENT"), (2, 7, "F", 20.0, None), (3, 8, "P", 30.0, "5-LOW"), (None, 8, "O", 1.0, "2-HIGH"), (4, 99, "O", 2.0, "5-LOW")]
+    frame = spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderpriority string")
+    frame.withColumn("o_orderdate", F.lit("2024-01-02").cast("timestamp_ntz")).write.parquet(f"{folder}/orders.parquet")
+    lines = [(k, 5, 6, n, 1.0, 0.01 * n, 0.0, 0.1, "A", "O") for k, some in ((1, 450), (2, 3), (None, 2), (77, 1)) for n in range(some)]
+    schema = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double"
+    spark.createDataFrame(lines, f"{schema}, l_returnflag string, l_linestatus string").write.parquet(f"{folder}/lineitem.parquet")
+    spark.createDataFrame([(7, "A"), (8, "B")], "c_custkey long, c_mktsegment string").write.parquet(f"{folder}/customer.parquet")
+    return str(folder)
+
+
+def test_bridge_of_orders_parses_its_fields_once(spark, tmp_path, rows_of):
+    from recordloom.queries import shapes
+
+    sf = _order_tables(spark, tmp_path)
+    got = shapes.pricing_features(spark, sf)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    # once for the orders with lines and once for those without, and no more of a document than the bridge takes
+    assert plan.count("from_json(") == 2 and "StructField(selections" not in "".join(re.findall(r"from_json\((.*?)invoke\(", plan))
+    assert rows_of(got, "orders_id", "pricing_feature") == sorted(
+        [("1", "1-URGENT"), ("1", "O"), ("2", "F"), ("3", "5-LOW"), ("3", "P"), ("4", "5-LOW"), ("4", "O")]
+    )
+
+
+def test_fields_only():
+    from pyspark.sql import types as T
+    from recordloom.spec import ddl_of, fields_only
+
+    whole = T._parse_datatype_string("a string, b array<struct<c:int, d:struct<e:int,f:int>>>, g int")
+    assert ddl_of(fields_only(whole, ["b.d.f", "a", "b.c"])) == "struct<`a`:string,`b`:array<struct<`c`:int,`d`:struct<`f`:int>>>>"
+    with pytest.raises(KeyError):
+        fields_only(whole, ["b.x"])

@@ -50,6 +50,15 @@ def test_bridge(records, rows_of):
     assert rows_of(got, "a", "b") == [("1", "5"), ("1", "6"), ("2", "7"), ("3", "w")]
 
 
+def test_bridge_parses_a_document_once(spark, rows_of):
+    """A filter on the key below the parsing would parse each document for it as well."""
+    texts = ['{"id":"1","many":["x",null,"y"],"c":"k"}', '{"many":["z"],"c":"k"}', '{"id":"2","c":"k"}']
+    parsed = spark.createDataFrame([(t,) for t in texts], "body string").select(F.from_json("body", "id string, many array<string>, c string").alias("r"))
+    got = S.bridge(parsed.select("r.*"), "id", "many", "b", a_as="a", carry=["c"])
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
+    assert rows_of(got) == [("k", "1", "x"), ("k", "1", "y")]
+
+
 def test_grandchild_bridge(records, rows_of):
     df = records('{"InvoiceID":"i","LineItems":[{"LineItemID":"l","Tracking":[{"TrackingCategoryID":"c","Option":"o"}]},{"Tracking":[]}]}')
     got = S.grandchild_bridge(
