@@ -257,7 +257,9 @@ def segment_revenue(spark, sf):
 
 def _closed_orders(spark, sf):
     """Headers after the second delivery, and figures of the lines by order. The documents are parsed once, and each side reads its own columns."""
-    documents = order_documents(spark, sf, "page").select("page", F.from_json("body", ORDER_SCHEMA).alias("o")).select("page", "o.*")
+    # what is written is not pruned by what is read of it, so it is the fields that the two tables below need
+    fields = ("guid", "restaurant_id", "diningOption", "checks.guid", "checks.selections.guid", "checks.selections.price")
+    documents = staged_orders(spark, sf, *fields, carry=["page"])
     staged = stage(documents.withColumn("order_id", F.col("guid")))
     tables = shred_tree(staged, ORDER_TREE, ("restaurant_id", "order_id", "page"))
     header, _ = require_key(tables["orders"], ["id"])

@@ -101,6 +101,19 @@ def _order_tables(spark, folder):
     return str(folder)
 
 
+def test_report_writes_only_what_it_reads(spark, tmp_path, monkeypatch, rows_of):
+    from recordloom.queries import shapes
+
+    written = []
+    monkeypatch.setattr(shapes, "stage", lambda df, put=shapes.stage: written.append(df.schema) or put(df))
+    sf = _order_tables(spark, tmp_path)
+    columns = ("segment", "status", "orders", "lines", "revenue_cents")
+    cents = sum(range(450))
+    assert rows_of(shapes.segment_revenue(spark, sf), *columns) == [("A", "F", 2, 453, cents + 3)]
+    assert "price" in written[0].simpleString() and not {"taxRate", "payments", "quantity"} & set(re.findall(r"\w+", written[0].simpleString()))
+    assert ("B", "P", 1, 0, 0) in rows_of(shapes.segment_revenue_all(spark, sf), *columns)
+
+
 def test_bridge_of_orders_parses_its_fields_once(spark, tmp_path, rows_of):
     from recordloom.queries import shapes
 
